@@ -1,0 +1,26 @@
+"""Reviews: give each review an existing product and client."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tillwater.functions.hashing import hash_number
+from tillwater.operators.keys import number_rows
+
+
+def assign_key(df: DataFrame, row_key: str, dim: DataFrame, dim_key: str, name: str) -> DataFrame:
+    """Add a key of ``dim`` to each row, chosen by a hash of ``row_key``.
+
+    The dim keys are numbered and each row joins the number its hash falls on, so
+    rows spread evenly over the keys and nothing is collected.  An empty dim gives NULL.
+    """
+    numbered = number_rows(dim, dim_key, "_number").withColumnRenamed(dim_key, name)
+    total = dim.agg(F.count_distinct(dim_key)).scalar()
+    drawn = F.try_mod(hash_number(row_key, F.lit(name)), total)
+    return df.withColumn("_number", drawn).join(numbered, "_number", "left").drop("_number")
+
+
+def assign_keys(reviews: DataFrame, products: DataFrame, clients: DataFrame, row_key: str) -> DataFrame:
+    with_product = assign_key(reviews, row_key, products, "product_id", "ProductId")
+    return assign_key(with_product, row_key, clients, "client_id", "UserId")
