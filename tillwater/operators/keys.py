@@ -33,6 +33,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     key before the shuffle and a hot key costs at most one row per task.
     """
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     window = Window.partitionBy(*keys).orderBy(*order, *rest)
     return df.withColumn("row_num", F.row_number().over(window)).filter("row_num = 1").drop("row_num")
 
@@ -52,13 +54,13 @@ def only_new(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return df.join(existing.select(key), key, "left_anti")
 
 
-def resolve(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
+def resolve(df: DataFrame, dim: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Add ``value`` of the matching dim row, NULL when there is none; no row is repeated.
 
     The dim shrinks to one row per key by partial aggregation (smallest value wins).
     """
-    lookup = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
-    return df.join(lookup, key, "left")
+    lookup = dim.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(value).alias(value))
+    return df.join(lookup, list(keys), "left")
 
 
 def surrogate(df: DataFrame, name: str, *keys: str) -> DataFrame:

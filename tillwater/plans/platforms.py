@@ -1,9 +1,13 @@
-"""Silver users, posts, tags and mentions from each platform's bronze rows."""
+"""Silver users, posts, tags and mentions from each platform's bronze rows.
+
+Each platform is a projection to common row layouts; the rows of all platforms are
+unioned before the first shuffle, so each silver table is deduplicated once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,32 +20,25 @@ from tillwater.functions.text import (
 )
 from tillwater.operators.keys import dedup_on, resolve
 from tillwater.operators.shape import align_union, typed_nulls
-from tillwater.sources.schemas import SILVER_POST, SILVER_USER
 from tillwater.sources.tables import publish, read_table
 
+TAG_SCOPE = "hashtag"
 
-@dataclass
-class SocialTables:
-    user: DataFrame
-    post: DataFrame
-    hashtag: DataFrame | None = None
-    post_hashtag: DataFrame | None = None
-    user_mentions: DataFrame | None = None
 
+@dataclass
+class PlatformRows:
+    """Rows of one platform before deduplication; None where it has no such rows."""
 
-SILVER_KEYS = {
-    "user": ["user_id"],
-    "post": ["post_id"],
-    "hashtag": ["hastag_id"],
-    "post_hashtag": ["post_id", "hashtag_id"],
-    "user_mentions": ["post_id", "mentioned_user_id"],
-}
+    users: DataFrame
+    posts: DataFrame
+    tagged: DataFrame | None = None
+    mentioned: DataFrame | None = None
 
 
 def _users(
     df: DataFrame, user_id: Column, display_name: Column, biography: Column, user_type: str
 ) -> DataFrame:
-    rows = df.select(
+    return df.select(
         user_id.cast("string").alias("user_id"),
         display_name.alias("display_name"),
         biography.alias("biography"),
@@ -49,14 +46,13 @@ def _users(
         *typed_nulls({"following": "int", "followed": "int", "post": "int"}),
         F.lit(user_type).alias("user_type"),
     )
-    return dedup_on(rows, ["user_id"]).select(*SILVER_USER.names)
 
 
 def _posts(
     df: DataFrame, post_id: Column, user_id: Column, content: Column, url: Column, kind: str, as_of
 ) -> DataFrame:
-    """One row per post; the day before ``as_of`` stands for the unknown date."""
-    rows = df.select(
+    """The day before ``as_of`` stands for the unknown date of a post."""
+    return df.select(
         post_id.cast("string").alias("post_id"),
         user_id.cast("string").alias("user_id"),
         content.cast("string").alias("post_content"),
@@ -64,124 +60,137 @@ def _posts(
         url.alias("post_url"),
         F.lit(kind).alias("post_type"),
     )
-    return dedup_on(rows, ["post_id"]).select(*SILVER_POST.names)
-
-
-def tag_rows(df: DataFrame, post_id: Column, tag_list: str, bracketed: bool) -> DataFrame:
-    """Distinct (post_id, hashtag_text) with normalized text, one row per tag of a list."""
-    return (
-        df.select(
-            post_id.cast("string").alias("post_id"),
-            F.explode(tags(tag_list, bracketed)).alias("tag"),
-        )
-        .select("post_id", normalize("tag").alias("hashtag_text"))
-        .distinct()
+
+
+def tagged_posts(df: DataFrame, post_id: Column, tag_list: str, bracketed: bool) -> DataFrame:
+    """(post_id, hashtag_text) with normalized text, one row per tag of a list."""
+    exploded = df.select(
+        post_id.cast("string").alias("post_id"), F.explode(tags(tag_list, bracketed)).alias("tag")
     )
+    return exploded.select("post_id", normalize("tag").alias("hashtag_text"))
 
 
 def hashtag_table(tagged: DataFrame) -> DataFrame:
     return tagged.select("hashtag_text").distinct().select(
-        hash_id(F.lit("hashtag"), "hashtag_text").alias("hastag_id"), "hashtag_text"
+        _hashtag_id().alias("hastag_id"), "hashtag_text"
     )
 
 
+def _hashtag_id() -> Column:
+    return hash_id(F.lit(TAG_SCOPE), "hashtag_text")
+
+
 def link_hashtags(tagged: DataFrame, hashtags: DataFrame) -> DataFrame:
-    """(post_id, hashtag_id) by equal text.
+    """(post_id, hashtag_id) for the tags that a given hashtag table holds, by equal text.
 
-    The tag table has one row per text and is the right side, so a tag that a third
-    of all posts use can be split by adaptive execution.
+    The table has one row per text and is the right side, so a tag that a third of
+    all posts use can be split by adaptive execution.
     """
     ids = hashtags.select("hashtag_text", F.col("hastag_id").alias("hashtag_id"))
-    return tagged.join(ids, "hashtag_text").select("post_id", "hashtag_id").distinct()
+    return tagged.distinct().join(ids, "hashtag_text").select("post_id", "hashtag_id")
 
 
-def mention_rows(
-    df: DataFrame, post_id: Column, columns: Sequence[str], users: DataFrame
-) -> DataFrame:
-    """Distinct (post, mentioned user) from the mention columns; unknown names give NULL."""
-    named = (
-        df.select(
-            post_id.cast("string").alias("post_id"),
-            F.explode(F.array(*columns)).alias("mention"),
-        )
-        .filter(F.col("mention").isNotNull() & (F.col("mention") != NO_TAG))
-        .select("post_id", last_segment(F.trim("mention")).alias("display_name"))
-        .distinct()
+def _mentioned(df: DataFrame, post_id: Column, columns: Sequence[str], user_type: str) -> DataFrame:
+    exploded = df.select(
+        post_id.cast("string").alias("post_id"), F.explode(F.array(*columns)).alias("mention")
     )
-    found = resolve(named, users.select("display_name", "user_id"), "display_name", "user_id")
+    return exploded.filter(F.col("mention").isNotNull() & (F.col("mention") != NO_TAG)).select(
+        "post_id",
+        F.lit(user_type).alias("user_type"),
+        last_segment(F.trim("mention")).alias("display_name"),
+    )
+
+
+def resolve_mentions(mentioned: DataFrame, users: DataFrame) -> DataFrame:
+    """Distinct (post, mentioned user of the same platform); unknown names give NULL."""
+    keys = ["user_type", "display_name"]
+    found = resolve(mentioned.distinct(), users.select(*keys, "user_id"), keys, "user_id")
     return found.select("post_id", F.col("user_id").alias("mentioned_user_id")).distinct()
 
 
-def facebook(df: DataFrame, as_of=None) -> SocialTables:
-    user_id = F.col("user_id")
-    no_text = F.lit(None)
-    return SocialTables(
-        user=_users(df, user_id, F.col("user_name"), F.col("user_url"), "Facebook"),
-        post=_posts(df, F.col("post_id"), user_id, no_text, F.col("post_url"), "Facebook", as_of),
+def facebook(df: DataFrame, as_of=None) -> PlatformRows:
+    name, user_id = "Facebook", F.col("user_id")
+    return PlatformRows(
+        users=_users(df, user_id, F.col("user_name"), F.col("user_url"), name),
+        posts=_posts(df, F.col("post_id"), user_id, F.lit(None), F.col("post_url"), name, as_of),
     )
 
 
-def instagram(df: DataFrame, as_of=None) -> SocialTables:
-    url, post_id = F.coalesce("comment_user_url", F.lit("")), F.col("post_id")
-    user_id = hash_id(F.lit("Instagram"), url)
-    users = _users(df, user_id, instagram_handle(url, url), url, "Instagram")
-    tagged = tag_rows(df, post_id, "hashtag_comment", bracketed=True)
-    hashtags = hashtag_table(tagged)
-    return SocialTables(
-        user=users,
-        post=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), "Instagram", as_of),
-        hashtag=hashtags,
-        post_hashtag=link_hashtags(tagged, hashtags),
-        user_mentions=mention_rows(df, post_id, ["tagged_users_in_comment"], users),
+def instagram(df: DataFrame, as_of=None) -> PlatformRows:
+    name, post_id = "Instagram", F.col("post_id")
+    url = F.coalesce("comment_user_url", F.lit(""))
+    user_id = hash_id(F.lit(name), url)
+    return PlatformRows(
+        users=_users(df, user_id, instagram_handle(url, url), url, name),
+        posts=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), name, as_of),
+        tagged=tagged_posts(df, post_id, "hashtag_comment", bracketed=True),
+        mentioned=_mentioned(df, post_id, ["tagged_users_in_comment"], name),
     )
 
 
-def tiktok(df: DataFrame, as_of=None) -> SocialTables:
-    url = F.coalesce("commenter_url", F.lit(""))
-    user_id = hash_id(F.lit("TikTok"), url)
-    return SocialTables(
-        user=_users(df, user_id, tiktok_handle(url, url), url, "TikTok"),
-        post=_posts(df, F.col("post_id"), user_id, F.lit(None), F.col("post_url"), "TikTok", as_of),
+def tiktok(df: DataFrame, as_of=None) -> PlatformRows:
+    name, url = "TikTok", F.coalesce("commenter_url", F.lit(""))
+    user_id = hash_id(F.lit(name), url)
+    return PlatformRows(
+        users=_users(df, user_id, tiktok_handle(url, url), url, name),
+        posts=_posts(df, F.col("post_id"), user_id, F.lit(None), F.col("post_url"), name, as_of),
     )
 
 
-def twitter(df: DataFrame, as_of=None) -> SocialTables:
+def twitter(df: DataFrame, as_of=None) -> PlatformRows:
     """The only platform whose rows are the posts themselves, with their text."""
-    name = twitter_name("user_posted", F.coalesce("user_posted", F.lit("")))
-    user_id, post_id = hash_id(F.lit("Twitter"), name), F.col("id")
-    users = _users(df, user_id, name, twitter_profile(name), "Twitter")
-    tagged = tag_rows(df, post_id, "hashtags", bracketed=False)
-    hashtags = hashtag_table(tagged)
-    return SocialTables(
-        user=users,
-        post=_posts(df, post_id, user_id, F.col("description"), F.col("url"), "Twitter", as_of),
-        hashtag=hashtags,
-        post_hashtag=link_hashtags(tagged, hashtags),
-        user_mentions=mention_rows(df, post_id, ["tagged_users"], users),
+    name, post_id = "Twitter", F.col("id")
+    display_name = twitter_name("user_posted", F.coalesce("user_posted", F.lit("")))
+    user_id = hash_id(F.lit(name), display_name)
+    return PlatformRows(
+        users=_users(df, user_id, display_name, twitter_profile(display_name), name),
+        posts=_posts(df, post_id, user_id, F.col("description"), F.col("url"), name, as_of),
+        tagged=tagged_posts(df, post_id, "hashtags", bracketed=False),
+        mentioned=_mentioned(df, post_id, ["tagged_users"], name),
     )
 
 
 PLATFORMS = {"facebook": facebook, "instagram": instagram, "tiktok": tiktok, "twitter": twitter}
 
 
-def silver_tables(bronze: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """The silver tables of the given platforms together, one row per key."""
+def platform_rows(bronze: Mapping[str, DataFrame], as_of=None) -> PlatformRows:
+    """The rows of the given platforms together."""
     parts = [PLATFORMS[name](df, as_of) for name, df in bronze.items()]
-    tables = {}
-    for table in (f.name for f in fields(SocialTables)):
-        frames = [getattr(part, table) for part in parts if getattr(part, table) is not None]
-        if frames:
-            tables[table] = dedup_on(align_union(*frames), SILVER_KEYS[table])
+
+    def together(frames: list[DataFrame | None]) -> DataFrame | None:
+        present = [df for df in frames if df is not None]
+        return align_union(*present) if present else None
+
+    return PlatformRows(
+        users=together([p.users for p in parts]),
+        posts=together([p.posts for p in parts]),
+        tagged=together([p.tagged for p in parts]),
+        mentioned=together([p.mentioned for p in parts]),
+    )
+
+
+def silver_tables(bronze: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
+    """The silver tables of the given platforms, one row per key.
+
+    A tag's id is a hash of its text, so the post-hashtag pairs need no join here.
+    """
+    rows = platform_rows(bronze, as_of)
+    tables = {"user": dedup_on(rows.users, ["user_id"]), "post": dedup_on(rows.posts, ["post_id"])}
+    if rows.tagged is not None:
+        tables["hashtag"] = hashtag_table(rows.tagged)
+        pairs = rows.tagged.select("post_id", _hashtag_id().alias("hashtag_id"))
+        tables["post_hashtag"] = pairs.distinct()
+    if rows.mentioned is not None:
+        tables["user_mentions"] = resolve_mentions(rows.mentioned, rows.users)
     return tables
 
 
 def refresh_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet", as_of=None
 ) -> None:
-    """One union of all platforms and one write per table, from all bronze rows."""
+    """One write per table for all platforms together, from all bronze rows."""
     bronze = {
         name: read_table(spark, f"{bronze_path.rstrip('/')}/{name}", fmt) for name in PLATFORMS
     }
     for table, rows in silver_tables(bronze, as_of).items():
-        path = f"{silver_path.rstrip('/')}/{table}"
-        publish(rows, path, "overwrite", fmt, replace_schema=True)
+        publish(rows, f"{silver_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)

@@ -68,5 +68,7 @@ def export_csv(df: DataFrame, path: str, single_file_bytes: int = SINGLE_FILE_BY
     rows = spark.read.schema(df.schema).parquet(staged)
     if files.size_in_bytes(spark, staged) <= single_file_bytes:
         rows = rows.coalesce(1)
-    rows.write.option("header", True).mode("overwrite").csv(path)
+    rows.write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).mode("overwrite").csv(path)
     files.delete(spark, staged)

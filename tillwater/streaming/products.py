@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillwater.functions.dates import as_timestamp
 from tillwater.functions.text import level
@@ -49,7 +49,7 @@ def read_message_files(spark: SparkSession, folder: str, files_per_trigger: int
 
 def parse_json(column: Column, schema: StructType) -> Column:
     """JSON text to a struct; text that does not fit the schema is kept in _corrupt_record."""
-    with_corrupt = StructType([*schema.fields]).add(CORRUPT, "string")
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     return F.from_json(column, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
 
 
