@@ -24,6 +24,29 @@ def _digest_number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("bigint")
 
 
+def row_numbers(*columns: str) -> tuple[Column, Column]:
+    """Two independent 60-bit numbers from one md5 over the columns of a row."""
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
+    first, second = F.substring(digest, 1, _HEX_DIGITS), F.substring(digest, 16, _HEX_DIGITS)
+    return F.conv(first, 16, 10).cast("bigint"), F.conv(second, 16, 10).cast("bigint")
+
+
+def draws(number: str, ranges: dict[str, tuple[int, int]]) -> dict[str, Column]:
+    """One value in [low, high] per name, each from its own digits of a number column.
+
+    The number is read in a mixed base, so the values are independent and cost a
+    division each; the product of the range sizes must stay below 2**60.
+    """
+    picked, weight = {}, 1
+    for name, (low, high) in ranges.items():
+        size = high - low + 1
+        picked[name] = F.expr(f"({number} div {weight}L) % {size}L + {low}L")
+        weight *= size
+    if weight >= 2 ** (4 * _HEX_DIGITS):
+        raise ValueError("one number holds too few digits for these ranges")
+    return picked
+
+
 def hash_number(*keys: Column | str) -> Column:
     """A number in [0, 2**60) from the keys; NULL keys are left out."""
     return _digest_number(F.concat_ws("|", *[_as_text(k) for k in keys]))
@@ -52,8 +75,13 @@ def digits_id(digits: int, *keys: Column | str) -> Column:
 
 def pick(options: Sequence[str], *keys: Column | str) -> Column:
     """One of ``options``, chosen by the keys."""
+    return option_at(options, hash_number(*keys) % len(options))
+
+
+def option_at(options: Sequence[str], place: Column) -> Column:
+    """The option at a place counted from 0."""
     choices = F.array(*[F.lit(option) for option in options])
-    return F.element_at(choices, (hash_number(*keys) % len(options) + 1).cast("int"))
+    return F.element_at(choices, (place + 1).cast("int"))
 
 
 def chunk_of(chunks: Column | int, *keys: Column | str) -> Column:

@@ -12,13 +12,32 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def repair_int(column: Column | str, default: Column) -> Column:
-    return F.coalesce(_col(column).try_cast("int"), default.cast("int"))
+# Whole numbers that fit a bigint, with blanks around them.
+WHOLE_NUMBER = r"^\s*[+-]?0*[0-9]{1,18}\s*$"
+INT_RANGE = (-(2**31), 2**31 - 1)
 
 
-def repair_long(column: Column | str, default: Column) -> Column:
-    """As an int if it parses as one; the default may need more digits."""
-    return F.coalesce(_col(column).try_cast("int").cast("bigint"), default.cast("bigint"))
+def parsed_int(column: Column | str) -> Column:
+    """An int from text, NULL where the text is none.
+
+    The pattern comes first since a failing string cast is costly: it builds an
+    exception for each bad row, about ten times the price of the pattern.
+    """
+    text = _col(column).cast("string")
+    number = F.when(F.rlike(text, F.lit(WHOLE_NUMBER)), text.try_cast("bigint"))
+    return F.when(number.between(*INT_RANGE), number.cast("int"))
+
+
+def repair_int(column: Column | str, default: Column, is_int: bool = False) -> Column:
+    """The int a text holds, else the default; an int column only has its NULLs filled."""
+    value = _col(column) if is_int else parsed_int(column)
+    return F.coalesce(value, default.cast("int"))
+
+
+def repair_long(column: Column | str, default: Column, is_int: bool = False) -> Column:
+    """As :func:`repair_int`, where the default may need more digits."""
+    value = _col(column) if is_int else parsed_int(column)
+    return F.coalesce(value.cast("bigint"), default.cast("bigint"))
 
 
 def repair_ts(column: Column | str, as_of, days: int) -> Column:

@@ -1,14 +1,15 @@
 """Repair the raw rows of each platform's CSV and append them to bronze.
 
-Replacement values are picked by a hash of the whole raw row and the column name.
+Replacement values come from one hash of the whole raw row, so they differ between rows
+and are the same on every run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType
 
-from tillwater.functions.hashing import digits_id, pick, pick_int
+from tillwater.functions.hashing import draws, option_at, row_numbers
 from tillwater.functions.repair import (
     repair_id, repair_int, repair_long, repair_name, repair_text, repair_ts, repair_url,
 )
@@ -29,55 +30,66 @@ TWITTER_COUNTERS = [
 ]
 TWITTER_DAYS, TIKTOK_DAYS = 10, 1
 
-_ROW = "_row"
+# Ranges of the replacement values.
+SMALL = (1, 20)
+PERCENT = (0, 100)
+TEN_DIGITS = (10**9, 10**10 - 1)
+TWELVE_DIGITS = (10**11, 10**12 - 1)
+NAME_PLACE = (0, len(FALLBACK_NAMES) - 1)
 
+FIRST, SECOND = "_first", "_second"
 
-def _with_row_hash(df: DataFrame) -> DataFrame:
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])
-    return df.withColumn(_ROW, F.md5(text))
 
+def _with_row_numbers(df: DataFrame) -> DataFrame:
+    first, second = row_numbers(*df.columns)
+    return df.withColumns({FIRST: first, SECOND: second})
 
-def _small_int(low: int, high: int, column: str) -> Column:
-    return pick_int(low, high, _ROW, F.lit(column))
+
+def _int_columns(df: DataFrame) -> set[str]:
+    """Columns the CSV schema has read as ints: a bad text is NULL there already."""
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, IntegerType)}
 
 
 def repair_instagram(df: DataFrame) -> DataFrame:
-    rows = _with_row_hash(df)
-    repaired = rows.withColumns(
+    made = draws(FIRST, {"likes_number": PERCENT, "replies_number": PERCENT, "comment_id": TWELVE_DIGITS})
+    made |= draws(SECOND, {"post_id": TWELVE_DIGITS})
+    ints = _int_columns(df)
+    repaired = _with_row_numbers(df).withColumns(
         {
-            **{
-                c: repair_int(c, _small_int(0, 100, c)) for c in ("likes_number", "replies_number")
-            },
-            **{c: repair_id(c, digits_id(12, _ROW, F.lit(c))) for c in ("comment_id", "post_id")},
+            **{c: repair_int(c, made[c], c in ints) for c in ("likes_number", "replies_number")},
+            **{c: repair_id(c, made[c]) for c in ("comment_id", "post_id")},
         }
     )
-    return repaired.drop(_ROW).fillna(UNKNOWN)
+    return repaired.drop(FIRST, SECOND).fillna(UNKNOWN)
 
 
 def repair_twitter(df: DataFrame, as_of=None) -> DataFrame:
-    rows = _with_row_hash(df)
-    a_name = lambda column: pick(FALLBACK_NAMES, _ROW, F.lit(column))
-    repaired = rows.withColumns(
+    made = draws(
+        FIRST,
+        {"user_posted": NAME_PLACE, "name": NAME_PLACE, **{c: SMALL for c in TWITTER_COUNTERS}},
+    )
+    made |= draws(SECOND, {"id": TEN_DIGITS})
+    a_name = {c: option_at(FALLBACK_NAMES, made[c]) for c in ("user_posted", "name")}
+    ints = _int_columns(df)
+    repaired = _with_row_numbers(df).withColumns(
         {
-            "id": repair_long("id", digits_id(10, _ROW, F.lit("id"))),
-            "user_posted": repair_name("user_posted", a_name("user_posted"), [UNKNOWN, ""], ['"']),
-            "name": repair_name("name", a_name("name"), [UNKNOWN], NAME_PREFIXES),
+            "id": repair_long("id", made["id"], "id" in ints),
+            "user_posted": repair_name("user_posted", a_name["user_posted"], [UNKNOWN, ""], ['"']),
+            "name": repair_name("name", a_name["name"], [UNKNOWN], NAME_PREFIXES),
             "date_posted": repair_ts("date_posted", as_of, TWITTER_DAYS),
             "tagged_users": repair_text("tagged_users", UNKNOWN),
-            **{c: repair_int(c, _small_int(1, 20, c)) for c in TWITTER_COUNTERS},
+            **{c: repair_int(c, made[c], c in ints) for c in TWITTER_COUNTERS},
         }
     )
-    return repaired.withColumn("url", repair_url("url", TWITTER_URL, "id")).drop(_ROW)
+    return repaired.withColumn("url", repair_url("url", TWITTER_URL, "id")).drop(FIRST, SECOND)
 
 
 def repair_tiktok(df: DataFrame, as_of=None) -> DataFrame:
-    rows = _with_row_hash(df)
-    repaired = rows.withColumns(
+    numbers = ("num_likes", "num_replies", "comment_id", "post_id")
+    made = draws(FIRST, {c: SMALL for c in numbers})
+    repaired = _with_row_numbers(df).withColumns(
         {
-            **{
-                c: repair_int(c, _small_int(1, 20, c))
-                for c in ("num_likes", "num_replies", "comment_id", "post_id")
-            },
+            **{c: repair_int(c, made[c]) for c in numbers},
             **{
                 c: repair_ts(c, as_of, TIKTOK_DAYS) for c in ("post_date_created", "date_created")
             },
@@ -91,7 +103,7 @@ def repair_tiktok(df: DataFrame, as_of=None) -> DataFrame:
     # The repaired comment_id goes into the default URLs.
     return repaired.withColumns(
         {c: repair_url(c, TIKTOK_VIDEO, "comment_id") for c in ("url", "post_url", "comment_url")}
-    ).drop(_ROW)
+    ).drop(FIRST, SECOND)
 
 
 def load_platforms(

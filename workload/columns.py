@@ -8,7 +8,7 @@ from tillwater.functions.dates import date_key
 from tillwater.functions.hashing import digits_id, hash_id, pick, pick_int
 from tillwater.functions.regions import provinces_by_region, region_of
 from tillwater.functions.repair import (
-    repair_id, repair_int, repair_name, repair_text, repair_ts, repair_url,
+    parsed_int, repair_id, repair_int, repair_name, repair_text, repair_ts, repair_url,
 )
 from tillwater.functions.text import (
     FALLBACK_NAMES, first_post_id, instagram_handle, last_segment, level, tag_pairs, tags,
@@ -40,7 +40,7 @@ def repair_numeric(spark, sf_dir):
     return rows.select(
         "comment_url", "comment_id", "post_url", "url",
         repair_int("num_likes", pick_int(1, 20, "url", "comment_id")).alias("num_likes"),
-        F.when(F.col("num_likes").try_cast("int").isNull(), "made").otherwise("kept").alias("origin"),
+        F.when(parsed_int("num_likes").isNull(), "made").otherwise("kept").alias("origin"),
     )
 
 
@@ -92,13 +92,27 @@ def fill_unknown(spark, sf_dir):
     )
 
 
-def _row_hash(name: str, columns: list[str]) -> str:
+def _numbered(name: str, columns: list[str]) -> str:
+    """The rows with two numbers from the md5 of all columns."""
     listed = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
-    return f"(SELECT *, md5(concat_ws('|', {listed})) AS _row FROM {name})"
+    digest = f"md5(concat_ws('|', {listed}))"
+    return f"""(SELECT *, CAST('0x' || substr({digest}, 1, 15) AS BIGINT) AS h1,
+        CAST('0x' || substr({digest}, 16, 15) AS BIGINT) AS h2 FROM {name})"""
 
 
-def _made_int(low, high, column):
-    return f"CAST(coalesce({duck.parsed_int(column)}, {duck.pick_int(low, high, '_row', duck.text(column))}) AS INTEGER) AS {column}"
+def _draw(number: str, weight: int, low: int, high: int) -> str:
+    return f"(({number} // {weight}) % {high - low + 1} + {low})"
+
+
+def _int(column: str, draw: str) -> str:
+    return f"CAST(coalesce({duck.parsed_int(column)}, {draw}) AS INTEGER) AS {column}"
+
+
+def _twelve(column: str, draw: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match({column}, '[0-9]{{12}}') THEN CAST({column} AS BIGINT) "
+        f"ELSE {draw} END AS {column}"
+    )
 
 
 INSTAGRAM_COLUMNS = [
@@ -111,18 +125,13 @@ INSTAGRAM_TEXTS = [
 ]
 
 
-def _made_id(column):
-    return (
-        f"CASE WHEN regexp_full_match({column}, '[0-9]{{12}}') THEN CAST({column} AS BIGINT) "
-        f"ELSE {duck.digits_id(12, '_row', duck.text(column))} END AS {column}"
-    )
-
-
 @query(ctes("instagram") + "SELECT " + ", ".join([
     *[f"coalesce({c}, 'unknown') AS {c}" for c in INSTAGRAM_TEXTS],
-    *[_made_int(0, 100, c) for c in ("likes_number", "replies_number")],
-    *[_made_id(c) for c in ("comment_id", "post_id")],
-]) + f" FROM {_row_hash('instagram', INSTAGRAM_COLUMNS)}")
+    _int("likes_number", _draw("h1", 1, 0, 100)),
+    _int("replies_number", _draw("h1", 101, 0, 100)),
+    _twelve("comment_id", _draw("h1", 101 * 101, 10**11, 10**12 - 1)),
+    _twelve("post_id", _draw("h2", 1, 10**11, 10**12 - 1)),
+]) + f" FROM {_numbered('instagram', INSTAGRAM_COLUMNS)}")
 def repair_instagram(spark, sf_dir):
     return social_repair.repair_instagram(frame(spark, sf_dir, "instagram"))
 
@@ -134,13 +143,14 @@ TIKTOK_COLUMNS = [
 
 
 @query(ctes("tiktok", fixed="SELECT " + ", ".join([
-    *[_made_int(1, 20, c) for c in ("num_likes", "num_replies", "comment_id", "post_id")],
+    *[_int(c, _draw("h1", 20**place, 1, 20))
+      for place, c in enumerate(("num_likes", "num_replies", "comment_id", "post_id"))],
     *[f"coalesce(TRY_CAST({c} AS TIMESTAMP), {AS_OF_SQL} - INTERVAL 1 DAY) AS {c}"
       for c in ("post_date_created", "date_created")],
     *[f"coalesce({c}, 'unknown') AS {c}" for c in ("comment_text", "commenter_user_name", "commenter_id")],
     "coalesce(commenter_url, 'https://tiktok.com/@username') AS commenter_url",
     "url", "post_url", "comment_url",
-]) + f" FROM {_row_hash('tiktok', TIKTOK_COLUMNS)}") + "SELECT * REPLACE (" + ", ".join(
+]) + f" FROM {_numbered('tiktok', TIKTOK_COLUMNS)}") + "SELECT * REPLACE (" + ", ".join(
     f"coalesce({c}, 'https://tiktok.com/@username/video/' || comment_id) AS {c}"
     for c in ("url", "post_url", "comment_url")
 ) + ") FROM fixed")
@@ -158,19 +168,22 @@ TWITTER_KEPT = [
     "description", "external_url", "hashtags", "biography", "profile_image_link", "is_verified",
     "quotes", "bookmarks", "parent_post_details", "external_image_urls", "quoted_post", "url",
 ]
+NAMES = len(FALLBACK_NAMES)
+NAME_LIST = "[" + ", ".join(duck.text(n) for n in FALLBACK_NAMES) + "]"
 
 
 @query(ctes("twitter", fixed="SELECT " + ", ".join([
     *TWITTER_KEPT,
-    f"CAST(coalesce(id, {duck.digits_id(10, '_row', duck.text('id'))}) AS BIGINT) AS id",
+    f"CAST(coalesce(id, {_draw('h2', 1, 10**9, 10**10 - 1)}) AS BIGINT) AS id",
     f"""CASE WHEN user_posted IN ('unknown', '') OR user_posted LIKE '"%'
-        THEN {duck.fallback_name('_row', duck.text('user_posted'))} ELSE user_posted END AS user_posted""",
+        THEN {NAME_LIST}[1 + {_draw('h1', 1, 0, NAMES - 1)}] ELSE user_posted END AS user_posted""",
     f"""CASE WHEN name = 'unknown' OR name LIKE 'https%' OR name LIKE '"%' OR name LIKE 'm%'
-        THEN {duck.fallback_name('_row', duck.text('name'))} ELSE name END AS name""",
+        THEN {NAME_LIST}[1 + {_draw('h1', NAMES, 0, NAMES - 1)}] ELSE name END AS name""",
     f"coalesce(TRY_CAST(date_posted AS TIMESTAMP), {AS_OF_SQL} - INTERVAL 10 DAY) AS date_posted",
     "coalesce(tagged_users, 'unknown') AS tagged_users",
-    *[_made_int(1, 20, c) for c in social_repair.TWITTER_COUNTERS],
-]) + f" FROM {_row_hash('twitter', TWITTER_COLUMNS)}") + """
+    *[_int(c, _draw("h1", NAMES**2 * 20**place, 1, 20))
+      for place, c in enumerate(social_repair.TWITTER_COUNTERS)],
+]) + f" FROM {_numbered('twitter', TWITTER_COLUMNS)}") + """
     SELECT * REPLACE (coalesce(url, 'https://x.com/starwars/' || id) AS url) FROM fixed""")
 def repair_twitter(spark, sf_dir):
     return social_repair.repair_twitter(frame(spark, sf_dir, "twitter"), AS_OF)
