@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tillwater.functions.dates import days_before
 from tillwater.operators.keys import latest, recent, require_columns, require_key
-from tillwater.operators.upsert import merge_cols, require_single_match, same_named
-from tillwater.sources.tables import publish, read_table, table_exists, upsert_table
+from tillwater.operators.upsert import merge_cols, same_named
+from tillwater.sources.tables import read_table, upsert_table
 
 # A purchase row is one product of one transaction.
 KEYS = {
@@ -63,22 +63,18 @@ def gold_rows(silver: DataFrame, table: str) -> DataFrame:
     return require_key(silver.select(*GOLD_COLUMNS[table]), KEYS[table][0])
 
 
-def merge_gold(target: DataFrame, silver: DataFrame, table: str) -> DataFrame:
+def merge_gold(target: DataFrame, rows: DataFrame, table: str) -> DataFrame:
     """Update every gold column but the key, add new keys, keep the other rows."""
     columns, keys = GOLD_COLUMNS[table], KEYS[table]
     changed = [c for c in columns if c not in keys]
-    return merge_cols(
-        target, gold_rows(silver, table), keys, set=same_named(changed), values=same_named(columns)
-    )
+    return merge_cols(target, rows, keys, set=same_named(changed), values=same_named(columns))
 
 
 def refresh_gold(
     spark: SparkSession, table: str, silver_path: str, gold_path: str, fmt: str = "parquet"
 ) -> None:
-    silver = read_table(spark, silver_path, fmt)
-    if not table_exists(spark, gold_path):
-        publish(gold_rows(silver, table), gold_path, "overwrite", fmt)
-        return
-    target = read_table(spark, gold_path, fmt)
-    require_single_match(target, gold_rows(silver, table), KEYS[table])
-    publish(merge_gold(target, silver, table), gold_path, "overwrite", fmt)
+    rows = gold_rows(read_table(spark, silver_path, fmt), table)
+    upsert_table(
+        spark, gold_path, rows, KEYS[table], fmt,
+        merge=lambda target, source: merge_gold(target, source, table),
+    )

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.dates import date_key
-from tillwater.operators.upsert import merge_cols, require_single_match, same_named
+from tillwater.operators.upsert import merge_cols, same_named
 from tillwater.plans.retail import KEYS
-from tillwater.sources.tables import publish, read_table, table_exists, upsert_table
+from tillwater.sources.tables import publish, read_table, upsert_table
 
 # Fixed values of the first build.
 DISCOUNT_RATE = 0.05
@@ -70,11 +70,11 @@ def increment_facts(purchases: DataFrame) -> DataFrame:
     ).select(*INCREMENT_COLUMNS)
 
 
-def merge_facts(facts: DataFrame, purchases: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
+def merge_facts(facts: DataFrame, batch: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
     """Upsert a batch; a column only the first build has keeps its value, NULL on new rows."""
     changed = [c for c in INCREMENT_COLUMNS if c not in keys]
     return merge_cols(
-        facts, increment_facts(purchases), keys, set=same_named(changed), values=same_named(INCREMENT_COLUMNS)
+        facts, batch, keys, set=same_named(changed), values=same_named(INCREMENT_COLUMNS)
     )
 
 
@@ -86,14 +86,8 @@ def refresh_facts(
     partition_by: Sequence[str] = (),
 ) -> None:
     """Fold silver purchases into the facts; partitioned facts rewrite touched partitions only."""
-    purchases = read_table(spark, silver_path, fmt)
-    batch = increment_facts(purchases)
-    if not table_exists(spark, facts_path) or partition_by:
-        upsert_table(spark, facts_path, batch, FACT_KEYS, fmt, partition_by)
-        return
-    facts = read_table(spark, facts_path, fmt)
-    require_single_match(facts, batch, FACT_KEYS)
-    publish(merge_facts(facts, purchases), facts_path, "overwrite", fmt)
+    batch = increment_facts(read_table(spark, silver_path, fmt))
+    upsert_table(spark, facts_path, batch, FACT_KEYS, fmt, partition_by, merge=merge_facts)
 
 
 def build_warehouse(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +107,17 @@ def publish(
         files.delete(spark, _previous(path))
 
 
+def stage(df: DataFrame, purpose: str = "batch") -> tuple[DataFrame, str]:
+    """``df`` computed once into the shared scratch folder, and that folder.
+
+    Later steps then read it back instead of computing it again, also after an executor
+    is lost, and the optimizer knows its size when it chooses the joins.
+    """
+    spark, folder = df.sparkSession, files.scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -115,9 +126,12 @@ def upsert_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     check: bool = True,
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> None:
     """Create the table on the first write; later replace rows by key and add new ones.
 
+    ``merge`` combines (target, source) where replacing whole rows is not wanted.
+
     With ``partition_by``, only the partitions that ``source`` touches are read and
     rewritten.  A batch that moves a row to another partition, or has NULL in a
     partition column, rewrites the whole table, which is exact in every case.
@@ -125,24 +139,32 @@ def upsert_table(
     if not table_exists(spark, path):
         publish(source, path, "overwrite", fmt, partition_by=partition_by)
         return
-    # The batch is read several times below: compute it once, in the shared folder.
-    batch = files.scratch_folder(spark, "batch")
-    source.write.parquet(batch)
-    source = spark.read.schema(source.schema).parquet(batch)
-    target = read_table(spark, path, fmt, source.schema if partition_by else None)
+    source, batch = stage(source)
+    target = read_table(spark, path, fmt)
+    if partition_by and fmt in FILE_FORMATS:
+        # Directory names carry no types: read them with the types of the batch.
+        target = read_table(spark, path, fmt, _with_types_of(source, target.schema, partition_by))
     if check:
         require_single_match(target, source, keys)
+    if merge is None:
+        merge = lambda target, source: merge_all(target, source, keys)
     if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by):
         touched = source.select(*partition_by).distinct()
-        merged = merge_all(target.join(touched, list(partition_by), "left_semi"), source, keys)
+        merged = merge(target.join(touched, list(partition_by), "left_semi"), source)
         merged.write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
     else:
-        publish(merge_all(target, source, keys), path, "overwrite", fmt, partition_by=partition_by)
+        publish(merge(target, source), path, "overwrite", fmt, partition_by=partition_by)
     files.delete(spark, batch)
 
 
+def _with_types_of(
+    source: DataFrame, existing: StructType, columns: Sequence[str]
+) -> StructType:
+    return StructType([source.schema[f.name] if f.name in columns else f for f in existing.fields])
+
+
 def _moves(
     target: DataFrame, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
 ) -> bool:

@@ -8,6 +8,7 @@ from tillwater.operators.aggregates import high_water
 from tillwater.operators.keys import dedup_on, latest, number_rows, recent
 from tillwater.operators.upsert import merge_all, merge_cols, require_single_match
 from tillwater.plans import calendar, retail, reviews, sales
+from tillwater.sources.tables import stage
 from workload import duck
 from workload.registry import query
 from workload.standins import ctes, frame
@@ -100,8 +101,8 @@ def _merged(existing: str, columns: str, keys: list[str]) -> str:
 
 
 def _silver(spark, sf_dir, table, existing):
-    batch = _batch(spark, sf_dir, table)
     # One row per key by construction, so repeated keys need no check.
+    batch, _ = stage(_batch(spark, sf_dir, table))
     return merge_all(frame(spark, sf_dir, existing), batch, retail.KEYS[table])
 
 
@@ -183,7 +184,7 @@ def _gold(existing: str, batch: str, columns: str, key: str) -> str:
 
 def _merge_gold(spark, sf_dir, table):
     target, silver = frame(spark, sf_dir, f"gold_{table}"), frame(spark, sf_dir, table)
-    return retail.merge_gold(target, silver, table)
+    return retail.merge_gold(target, retail.gold_rows(silver, table), table)
 
 
 @query(ctes("gold_clients", "clients") + _gold(
@@ -230,7 +231,9 @@ def fact_sales_incr(spark, sf_dir):
         built, sales.FACT_KEYS,
         [F.col(c).asc_nulls_last() for c in ("client_id", "store_id", "product_quantity", "regular_points_received")],
     )
-    return sales.merge_facts(facts, _batch(spark, sf_dir, "purchases"))
+    table, _ = stage(facts, "facts")
+    batch, _ = stage(sales.increment_facts(_batch(spark, sf_dir, "purchases")))
+    return sales.merge_facts(table, batch)
 
 
 ORDER_SPAN = """SELECT CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
