@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwater.functions.hashing import chunk_of
+from tillwater.operators.keys import lookup_join
 
 # Most ids that one list row should hold.
 LIST_LIMIT = 10_000
@@ -41,7 +42,7 @@ def id_lists(df: DataFrame, value: str, id_column: str, limit: int = LIST_LIMIT)
     )
     chunk = F.when(F.col("_chunks") > 1, chunk_of(F.col("_chunks"), id_column)).otherwise(0)
     return (
-        rows.join(sizes, value)
+        lookup_join(rows, sizes, [value], "inner")
         .withColumn("chunk", chunk)
         .groupBy(value, "chunk")
         .agg(F.sort_array(F.collect_list(id_column)).alias("ids"))

@@ -54,13 +54,28 @@ def only_new(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return df.join(existing.select(key), key, "left_anti")
 
 
+def lookup_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a dim with one row per key, so that a hot key of ``df`` can be split.
+
+    Adaptive execution splits a skewed partition only where both sides were shuffled
+    for this join.  A dim that was just grouped by the key is partitioned by it already,
+    which rules the split out; a hash of the key as one more join column asks for the
+    shuffle.  A dim within the broadcast limit is broadcast and nothing is shuffled.
+    """
+    tag = F.xxhash64(*keys)
+    joined = df.withColumn("_key_hash", tag).join(
+        dim.withColumn("_key_hash", tag), [*keys, "_key_hash"], how
+    )
+    return joined.drop("_key_hash")
+
+
 def resolve(df: DataFrame, dim: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Add ``value`` of the matching dim row, NULL when there is none; no row is repeated.
 
     The dim shrinks to one row per key by partial aggregation (smallest value wins).
     """
     lookup = dim.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(value).alias(value))
-    return df.join(lookup, list(keys), "left")
+    return lookup_join(df, lookup, keys)
 
 
 def surrogate(df: DataFrame, name: str, *keys: str) -> DataFrame:

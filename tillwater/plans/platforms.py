@@ -18,7 +18,7 @@ from tillwater.functions.text import (
     NO_TAG, instagram_handle, last_segment, normalize, tags, tiktok_handle, twitter_name,
     twitter_profile,
 )
-from tillwater.operators.keys import dedup_on, resolve
+from tillwater.operators.keys import dedup_on, lookup_join, resolve
 from tillwater.operators.shape import align_union, typed_nulls
 from tillwater.sources.tables import publish, read_table
 
@@ -83,11 +83,11 @@ def _hashtag_id() -> Column:
 def link_hashtags(tagged: DataFrame, hashtags: DataFrame) -> DataFrame:
     """(post_id, hashtag_id) for the tags that a given hashtag table holds, by equal text.
 
-    The table has one row per text and is the right side, so a tag that a third of
-    all posts use can be split by adaptive execution.
+    The table has one row per text, so a tag that a third of all posts use can be split.
     """
     ids = hashtags.select("hashtag_text", F.col("hastag_id").alias("hashtag_id"))
-    return tagged.distinct().join(ids, "hashtag_text").select("post_id", "hashtag_id")
+    joined = lookup_join(tagged.distinct(), ids, ["hashtag_text"], "inner")
+    return joined.select("post_id", "hashtag_id")
 
 
 def _mentioned(df: DataFrame, post_id: Column, columns: Sequence[str], user_type: str) -> DataFrame:

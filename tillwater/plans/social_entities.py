@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillwater.functions.hashing import hash_id
 from tillwater.functions.text import first_post_id, last_segment, normalize
 from tillwater.operators.aggregates import first_date
-from tillwater.operators.keys import dedup_on
+from tillwater.operators.keys import dedup_on, lookup_join
 from tillwater.operators.shape import align_union, harmonize, typed_nulls
 from tillwater.sources.csv import read_csv
 from tillwater.sources.tables import publish, read_table
@@ -160,7 +160,7 @@ def mentions(rows: DataFrame) -> DataFrame:
     )
     reachable = F.filter("known", lambda entry: entry["place"] <= F.col("place"))
     return (
-        named.join(directory, "display_name", "left")
+        lookup_join(named, directory, ["display_name"])
         .select("post_id", F.get(F.reverse(reachable), F.lit(0))["user_id"].alias("mentioned_user_id"))
         .distinct()
     )

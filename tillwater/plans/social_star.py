@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.text import composite_id
-from tillwater.operators.keys import date_ids
+from tillwater.operators.keys import date_ids, lookup_join
 from tillwater.operators.shape import typed_nulls
 from tillwater.sources.tables import publish, read_table, upsert_table
 
@@ -75,7 +75,7 @@ def post_dates(posts: DataFrame, dates: DataFrame) -> DataFrame:
 def hashtag_usage(post_hashtags: DataFrame, dated: DataFrame) -> DataFrame:
     """Keeps pairs whose post has no date or is not known."""
     links = post_hashtags.withColumn("post_id", F.col("post_id").cast("string"))
-    return links.join(dated, "post_id", "left").select(
+    return lookup_join(links, dated, ["post_id"]).select(
         composite_id("post_id", "hashtag_id").alias("usage_id"),
         "post_id",
         "hashtag_id",
@@ -85,7 +85,7 @@ def hashtag_usage(post_hashtags: DataFrame, dated: DataFrame) -> DataFrame:
 
 
 def user_mention(mentions: DataFrame, dated: DataFrame) -> DataFrame:
-    return mentions.join(dated, "post_id", "left").select(
+    return lookup_join(mentions, dated, ["post_id"]).select(
         composite_id("post_id", "mentioned_user_id").alias("mention_id"),
         "post_id",
         "mentioned_user_id",

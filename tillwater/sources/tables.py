@@ -149,7 +149,9 @@ def upsert_table(
     if merge is None:
         merge = lambda target, source: merge_all(target, source, keys)
     if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by):
-        touched = source.select(*partition_by).distinct()
+        # One row per partition folder of the batch.  Broadcast, it prunes the target's
+        # folders; shuffled, it would put each partition's rows into one task.
+        touched = F.broadcast(source.select(*partition_by).distinct())
         merged = merge(target.join(touched, list(partition_by), "left_semi"), source)
         merged.write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
