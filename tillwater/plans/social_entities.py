@@ -17,8 +17,9 @@ from tillwater.functions.text import first_post_id, last_segment, normalize
 from tillwater.operators.aggregates import first_date
 from tillwater.operators.keys import dedup_on, lookup_join
 from tillwater.operators.shape import align_union, harmonize, typed_nulls
+from tillwater.sources import files
 from tillwater.sources.csv import read_csv
-from tillwater.sources.tables import publish, read_table
+from tillwater.sources.tables import publish, read_table, stage
 
 # Column names of the platforms and the common name; the first that applies wins
 # (fixed values, order matters).
@@ -166,8 +167,8 @@ def mentions(rows: DataFrame) -> DataFrame:
     )
 
 
-def entities(raw: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    rows = unify(raw)
+def entities(rows: DataFrame, as_of=None) -> dict[str, DataFrame]:
+    """The five tables of the unified rows."""
     return {
         "dim_users": users(rows),
         "dim_posts": posts(rows, as_of),
@@ -180,11 +181,16 @@ def entities(raw: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
 def load_entities(
     spark: SparkSession, csv_paths: Mapping[str, str], bronze_path: str, fmt: str = "parquet", as_of=None
 ) -> None:
-    """Platform name -> CSV file: read as strings, derive the entities, write bronze tables."""
+    """Platform name -> CSV file: read as strings, derive the entities, write bronze tables.
+
+    The CSV text is parsed once, into the few columns that the five tables share.
+    """
     raw = {name: read_csv(spark, path, infer=False) for name, path in csv_paths.items()}
-    for table, rows in entities(raw, as_of).items():
+    unified, staged = stage(unify(raw), "unified")
+    for table, rows in entities(unified, as_of).items():
         stamped = rows.withColumn("ingestion_time", F.current_timestamp())
         publish(stamped, f"{bronze_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)
+    files.delete(spark, staged)
 
 
 def clean_posts(posts: DataFrame, days_back: int = 0) -> DataFrame:

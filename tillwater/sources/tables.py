@@ -88,7 +88,7 @@ def publish(
                 "columns differ from the table; pass replace_schema=True to replace them"
             )
 
-    writer = df.write.format(fmt)
+    writer = _gathered(df, partition_by).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -107,6 +107,15 @@ def publish(
         files.delete(spark, _previous(path))
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition folder together, so that it gets few, full files.
+
+    Rebalancing splits a large folder over several tasks and joins small ones, where a
+    plain write would make one file per task and folder.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def stage(df: DataFrame, purpose: str = "batch") -> tuple[DataFrame, str]:
     """``df`` computed once into the shared scratch folder, and that folder.
 
@@ -153,7 +162,7 @@ def upsert_table(
         # folders; shuffled, it would put each partition's rows into one task.
         touched = F.broadcast(source.select(*partition_by).distinct())
         merged = merge(target.join(touched, list(partition_by), "left_semi"), source)
-        merged.write.format(fmt).mode("overwrite").option(
+        _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
     else:

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tillwater.functions.dates import date_key
 from tillwater.functions.hashing import digits_id, hash_id, pick, pick_int
-from tillwater.functions.regions import provinces_by_region, region_of
+from tillwater.functions.regions import provinces_by_region
 from tillwater.functions.repair import (
     parsed_int, repair_id, repair_int, repair_name, repair_text, repair_ts, repair_url,
 )
+from tillwater.functions.sql import register_functions
 from tillwater.functions.text import (
     FALLBACK_NAMES, first_post_id, instagram_handle, last_segment, level, tag_pairs, tags,
     tiktok_handle, twitter_name, twitter_profile,
@@ -18,11 +19,12 @@ from tillwater.operators.aggregates import first_date, id_lists, last_writer, pr
 from tillwater.operators.keys import resolve, surrogate
 from tillwater.operators.shape import harmonize
 from tillwater.plans import social_repair
+from tillwater.plans.retail import STORE_FORMATS, described_stores
 from tillwater.plans.social_entities import RENAMES, clean_posts
 from tillwater.sources.schemas import layout
 from tillwater.streaming.products import parse_json
 from workload import duck
-from workload.registry import query
+from workload.registry import SQL, query
 from workload.standins import ctes, frame
 
 AS_OF = "2024-02-01 00:00:00"
@@ -275,6 +277,18 @@ def hashtag_pairs(spark, sf_dir):
     return pairs.select("event_id", "pair.key", "pair.value")
 
 
+@query(SQL["hashtag_pairs"])
+def parse_hashtags(spark, sf_dir):
+    """The same pairs through the function registered for SQL."""
+    register_functions(spark)
+    rows = spark.sql(PAIRS, events=frame(spark, sf_dir, "events"))
+    return spark.sql(
+        "SELECT event_id, pair.key, pair.value FROM "
+        "(SELECT event_id, parse_hashtags(pairs) AS found FROM {rows}) LATERAL VIEW explode(found) p AS pair",
+        rows=rows,
+    )
+
+
 @query("""SELECT * FROM (SELECT event_id, unnest([nullif('u' || user_id % 7, 'u0'),
         CASE WHEN event_id % 3 = 0 THEN event_type END]) AS mention FROM events) WHERE mention IS NOT NULL""")
 def mention_explode(spark, sf_dir):
@@ -314,10 +328,12 @@ REGION_CASE = "CASE WHEN store_location IS NULL THEN NULL " + " ".join(
             AS folded FROM stores""",
        named="""SELECT *, array_to_string(list_transform(string_split(folded, ' '),
             lambda w: upper(w[1]) || lower(w[2:])), ' ') AS province FROM folded""")
-       + f"SELECT store_id, store_location, {REGION_CASE} AS region FROM named")
+       + f"""SELECT store_id, store_location, {REGION_CASE} AS region,
+           {duck.pick(STORE_FORMATS, 'store_id')} AS store_format FROM named""")
 def region_lookup(spark, sf_dir):
-    stores = frame(spark, sf_dir, "stores")
-    return stores.select("store_id", "store_location", region_of("store_location").alias("region"))
+    """The region a store's location lies in, and a format picked by its id."""
+    stores = described_stores(frame(spark, sf_dir, "stores"))
+    return stores.select("store_id", "store_location", "region", "store_format")
 
 
 @query("""SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
@@ -328,15 +344,6 @@ def json_parse(spark, sf_dir):
     return events.select("event_id", "event_type", "p.k")
 
 
-FORMATS = ["Flagship store", "Department store", "Supermarket", "Convenience store"]
-
-
-@query(f"""SELECT s_suppkey, {duck.pick(FORMATS, 's_suppkey')} AS store_format FROM supplier""")
-def format_pick(spark, sf_dir):
-    """A store format for each store, picked by its key."""
-    return frame(spark, sf_dir, "supplier").select("s_suppkey", pick(FORMATS, "s_suppkey").alias("store_format"))
-
-
 # --- ids, lookups, lists ------------------------------------------------------------
 
 @query(f"""SELECT DISTINCT event_type, user_id, {duck.hash_id('event_type', 'user_id')} AS surrogate_id

@@ -14,7 +14,7 @@ from tillwater.operators.shape import align_union, conform
 from tillwater.plans import loads, marketplace, retail
 from tillwater.sources.csv import export_csv, read_csv, read_folder, with_platform
 from tillwater.sources.files import scratch_folder
-from tillwater.sources.schemas import PRODUCTS, SILVER_USER
+from tillwater.sources.schemas import PRODUCTS, SILVER_USER, TIKTOK_COMMENTS
 from tillwater.sources.tables import landed, publish, read_table, upsert_table
 from workload import duck
 from workload.registry import query
@@ -59,7 +59,7 @@ def csv_schema(spark, sf_dir):
     rows.write.options(
         header=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(folder)
-    return read_csv(spark, folder, schema=rows.schema)
+    return read_csv(spark, folder, schema=TIKTOK_COMMENTS)
 
 
 @query("""SELECT event_id, user_id, CAST(ts AS DATE) AS day, event_type AS platform FROM events""")
