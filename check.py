@@ -6,6 +6,7 @@ Compares row count, column names and types, and the sorted rows.
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from datetime import date, datetime
@@ -20,10 +21,13 @@ TABLES = (
 ).split()
 
 
-def spark_session(cpus: str = "8") -> SparkSession:
+def spark_session(cpus: str = "8", checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session; ``CHECK_CONF="key=value key=value"`` changes its settings."""
+    builder = SparkSession.builder.master(f"local[{cpus}]")
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     session = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("check")
+        builder.appName("check")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -33,6 +37,8 @@ def spark_session(cpus: str = "8") -> SparkSession:
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    for setting in os.environ.get("CHECK_CONF", "").split():
+        session.conf.set(*setting.split("=", 1))
     return session
 
 

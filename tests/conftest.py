@@ -12,12 +12,7 @@ SF_DIR = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config(
-        "spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint"))
-    )
-    session = spark_session("4")
+    session = spark_session("4", str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -70,6 +70,11 @@ def test_a_swap_cut_short_is_finished(spark, tmp_path):
     assert not table_exists(spark, f"{tmp_path}/none")
 
 
+def test_scratch_is_in_the_folder_the_session_names(spark, tmp_path):
+    folder = files.scratch_folder(spark, "x")
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+
+
 def test_upsert_twice_changes_nothing(spark, tmp_path):
     path = f"{tmp_path}/t"
     upsert_table(spark, path, frame(spark, [(1, "a"), (2, "b")]), ["k"])

@@ -85,6 +85,6 @@ def option_at(options: Sequence[str], place: Column) -> Column:
 
 
 def chunk_of(chunks: Column | int, *keys: Column | str) -> Column:
-    """A bucket number in [0, chunks)."""
+    """A bucket number in [0, chunks), never NULL."""
     count = F.lit(chunks) if isinstance(chunks, int) else chunks
-    return (hash_number(*keys) % count).cast("int")
+    return F.coalesce((hash_number(*keys) % count).cast("int"), F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwater.functions.hashing import chunk_of
-from tillwater.operators.keys import lookup_join
+from tillwater.operators.keys import lookup_join, require_key
 
 # Most ids that one list row should hold.
 LIST_LIMIT = 10_000
@@ -36,7 +36,7 @@ def id_lists(df: DataFrame, value: str, id_column: str, limit: int = LIST_LIMIT)
     A value with more than ``limit`` ids is spread over several chunks by a hash of
     the id, so no task holds one value's whole list; together the chunks hold every id.
     """
-    rows = df.select(value, id_column).dropna()
+    rows = require_key(df.select(value, id_column), value, id_column)
     sizes = rows.groupBy(value).agg(
         F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("_chunks")
     )

@@ -17,8 +17,11 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"required columns {missing} not found in {df.columns}")
 
 
-def require_key(df: DataFrame, key: str) -> DataFrame:
-    return df.filter(F.col(key).isNotNull())
+def require_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys are all filled, as plain IS NOT NULL filters the scan can use."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def recent(df: DataFrame, ts: str, days: int, as_of) -> DataFrame:
@@ -74,7 +77,7 @@ def resolve(df: DataFrame, dim: DataFrame, keys: Sequence[str], value: str) -> D
 
     The dim shrinks to one row per key by partial aggregation (smallest value wins).
     """
-    lookup = dim.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(value).alias(value))
+    lookup = require_key(dim, *keys).groupBy(*keys).agg(F.min(value).alias(value))
     return lookup_join(df, lookup, keys)
 
 
@@ -89,7 +92,7 @@ def number_rows(df: DataFrame, key: str, name: str, buckets: int = 256) -> DataF
     of the buckets before it.  Only the ``buckets`` bucket sizes meet in one task.
     """
     bucketed = (
-        df.select(key).dropna().distinct().withColumn("_bucket", chunk_of(buckets, key))
+        require_key(df.select(key), key).distinct().withColumn("_bucket", chunk_of(buckets, key))
     )
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,11 +14,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwater.operators.keys import require_key
+
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Non-NULL keys that occur on more than one row."""
     return (
-        df.dropna(subset=list(keys))
+        require_key(df.select(*keys), *keys)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter("rows > 1")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillwater.functions.hashing import hash_id
 from tillwater.functions.text import first_post_id, last_segment, normalize
 from tillwater.operators.aggregates import first_date
-from tillwater.operators.keys import dedup_on, lookup_join
+from tillwater.operators.keys import dedup_on, lookup_join, require_key
 from tillwater.operators.shape import align_union, harmonize, typed_nulls
 from tillwater.sources import files
 from tillwater.sources.csv import read_csv
@@ -67,9 +67,8 @@ def unify(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 def users(rows: DataFrame) -> DataFrame:
     """One user per platform and display name; counters are not known here."""
-    names = rows.select(
-        "platform", last_segment("user_posted").alias("display_name")
-    ).dropna().distinct()
+    named = rows.select("platform", last_segment("user_posted").alias("display_name"))
+    names = require_key(named, "display_name").distinct()
     return names.select(
         _user_id(F.col("display_name")).alias("user_id"),
         "display_name",
@@ -112,14 +111,14 @@ def posts(rows: DataFrame, as_of=None) -> DataFrame:
 
 def hashtags(rows: DataFrame) -> DataFrame:
     texts = rows.select("platform", normalize("hashtag_comment").alias("hashtag_text"))
-    return texts.dropna().distinct().select(
+    return require_key(texts, "hashtag_text").distinct().select(
         "hashtag_text", hash_id("platform", "hashtag_text").alias("hashtag_id")
     )
 
 
 def post_hashtags(rows: DataFrame) -> DataFrame:
     return (
-        rows.dropna(subset=["post_url", "hashtag_comment"])
+        require_key(rows, "post_url", "hashtag_comment")
         .select(
             last_segment("post_url").alias("post_id"),
             hash_id("platform", normalize("hashtag_comment")).alias("hashtag_id"),
@@ -147,8 +146,10 @@ def mentions(rows: DataFrame) -> DataFrame:
         .distinct()
     )
     directory = (
-        rows.select("place", "platform", last_segment("user_posted").alias("display_name"))
-        .dropna()
+        require_key(
+            rows.select("place", "platform", last_segment("user_posted").alias("display_name")),
+            "display_name",
+        )
         .distinct()
         .groupBy("display_name")
         .agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.text import composite_id
-from tillwater.operators.keys import date_ids, lookup_join
+from tillwater.operators.keys import date_ids, lookup_join, require_key
 from tillwater.operators.shape import typed_nulls
 from tillwater.sources.tables import publish, read_table, upsert_table
 
@@ -128,6 +128,7 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str
     for name, rows in tables.items():
         path = f"{gold_path.rstrip('/')}/{name}"
         if name in DIMENSION_KEYS:
-            upsert_table(spark, path, rows.dropna(subset=DIMENSION_KEYS[name]), DIMENSION_KEYS[name], fmt)
+            keys = DIMENSION_KEYS[name]
+            upsert_table(spark, path, require_key(rows, *keys), keys, fmt)
         else:
             publish(rows, path, "overwrite", fmt, replace_schema=True)

@@ -42,7 +42,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     A local session without that setting gets a temporary folder; a cluster session
     must name one, since a machine-local folder is not visible to its executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

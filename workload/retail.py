@@ -204,36 +204,26 @@ def gold_store(spark, sf_dir):
     return _merge_gold(spark, sf_dir, "stores")
 
 
-OLD_FACTS = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
-    PARTITION BY transaction_id, product_id ORDER BY client_id NULLS LAST, store_id NULLS LAST,
-      product_quantity NULLS LAST, regular_points_received NULLS LAST) AS rn
-    FROM (SELECT transaction_id, product_id, client_id, store_id, date_key, transaction_datetime,
-      CAST(product_quantity AS DOUBLE) AS product_quantity, unit_price, discount_amount, purchase_sum,
-      regular_points_received, payment_method FROM ({FACTS}))) WHERE rn = 1"""
-PAID = """CASE WHEN r.product_quantity <> 0 THEN r.purchase_sum / r.product_quantity END"""
-
-
-@query(ctes("purchases", "products", "bronze_purchases", rows=NEW_PURCHASES, facts=OLD_FACTS) + f"""
-    SELECT r.transaction_id, r.product_id, r.client_id, r.store_id,
-        CAST(strftime(r.transaction_datetime, '%Y%m%d') AS INTEGER) AS date_key,
-        CAST(r.transaction_datetime AS DATE) AS transaction_datetime,
-        r.product_quantity, {PAID} AS unit_price, CAST(0 AS DOUBLE) AS discount_amount,
-        r.purchase_sum, r.regular_points_received, f.payment_method
-    FROM rows r LEFT JOIN facts f ON r.transaction_id = f.transaction_id AND r.product_id = f.product_id
+NEW_COLUMNS = """r.client_id, r.store_id,
+    CAST(strftime(r.transaction_datetime, '%Y%m%d') AS INTEGER) AS date_key,
+    CAST(r.transaction_datetime AS DATE) AS transaction_datetime, r.product_quantity,
+    CASE WHEN r.product_quantity <> 0 THEN r.purchase_sum / r.product_quantity END AS unit_price,
+    CAST(0 AS DOUBLE) AS discount_amount, r.purchase_sum, r.regular_points_received"""
+SAME_LINE = "r.transaction_id = f.transaction_id AND r.product_id = f.product_id"
+
+
+@query(ctes("purchases", "products", "bronze_purchases", rows=NEW_PURCHASES, facts=FACTS) + f"""
+    SELECT r.transaction_id, r.product_id, {NEW_COLUMNS}, f.payment_method
+    FROM rows r LEFT JOIN facts f ON {SAME_LINE}
     UNION ALL
-    SELECT * FROM facts f WHERE NOT EXISTS (
-        SELECT 1 FROM rows r WHERE r.transaction_id = f.transaction_id AND r.product_id = f.product_id)""")
+    SELECT * REPLACE (CAST(product_quantity AS DOUBLE) AS product_quantity) FROM facts f
+    WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE {SAME_LINE})""")
 def fact_sales_incr(spark, sf_dir):
-    """The newest purchases folded into the facts of the first build, one fact per key."""
+    """The newest purchases folded into the facts of the first build; all facts of a line change."""
     built = sales.initial_facts(frame(spark, sf_dir, "purchases"), frame(spark, sf_dir, "products"))
-    built = built.withColumn("product_quantity", F.col("product_quantity").cast("double"))
-    facts = dedup_on(
-        built, sales.FACT_KEYS,
-        [F.col(c).asc_nulls_last() for c in ("client_id", "store_id", "product_quantity", "regular_points_received")],
-    )
-    table, _ = stage(facts, "facts")
+    facts = built.withColumn("product_quantity", F.col("product_quantity").cast("double"))
     batch, _ = stage(sales.increment_facts(_batch(spark, sf_dir, "purchases")))
-    return sales.merge_facts(table, batch)
+    return sales.merge_facts(facts, batch)
 
 
 ORDER_SPAN = """SELECT CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
