@@ -112,6 +112,16 @@ def test_partitioned_upsert_of_a_moved_row_is_exact(spark, tmp_path, day):
     )
 
 
+def test_partition_columns_among_the_keys(spark, tmp_path):
+    path, schema, keys = f"{tmp_path}/t", "k int, v string, day string", ["k", "day"]
+    upsert_table(spark, path, frame(spark, [(1, "a", "007"), (2, "b", "008")], schema), keys, partition_by=["day"])
+    before = _dirs(path)
+    upsert_table(spark, path, frame(spark, [(1, "A", "008"), (2, "B", "008")], schema), keys, partition_by=["day"])
+    assert before["day=007"] == _dirs(path)["day=007"]
+    want = [(1, "A", "008"), (1, "a", "007"), (2, "B", "008")]
+    assert rows(read_table(spark, path, schema=schema)) == want
+
+
 def test_landed(spark, tmp_path):
     df = frame(spark, [(1, "2024-01-01"), (2, "2024-01-01")]).withColumn("ingestion_date", F.col("v").cast("date"))
     assert [tuple(r)[1:] for r in landed(df, "2024-01-01").collect()] == [(2, True)]
@@ -269,14 +279,16 @@ def test_social_layers_end_to_end(spark, tmp_path):
         assert named["7"] is not None and named["123456789012"] is not None
 
 
-def test_retail_layers_end_to_end(spark, tmp_path, sf_dir):
+def test_retail_layers_end_to_end(spark, tmp_path):
     from workload.standins import frame as standin
 
+    sf_dir = "/root/testdata/sf0.001"
+
     bronze, silver, facts = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "facts"))
     publish(standin(spark, sf_dir, "bronze_purchases"), bronze)
     for as_of in ("1999-01-08", "2000-01-08", "2000-01-08"):
         retail.refresh_silver(spark, "purchases", bronze, silver, as_of)
-        sales.refresh_facts(spark, silver, facts, partition_by=["date_key"])
+        sales.refresh_facts(spark, silver, facts, partition_by=["store_id"])
         table = read_table(spark, facts)
         assert table.count() == read_table(spark, silver).count()
         assert table.groupBy("transaction_id", "product_id").count().filter("count > 1").isEmpty()

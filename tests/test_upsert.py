@@ -54,7 +54,7 @@ keyed = st.dictionaries(st.integers(0, 8), st.text("ab", max_size=2), max_size=6
 null_rows = st.lists(st.text("cd", max_size=2), max_size=2)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keyed, null_rows, keyed, null_rows)
 def test_upsert_laws(spark, target_map, target_nulls, source_map, source_nulls):
     target_rows = [*target_map.items(), *[(None, v) for v in target_nulls]]

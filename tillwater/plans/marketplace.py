@@ -39,6 +39,10 @@ def shop_products(products: DataFrame) -> DataFrame:
     return dedup_on(rows, ["product_id"])
 
 
+def shop_categories(categories: DataFrame) -> DataFrame:
+    return categories.select(F.col("category_id").alias("id"), "category_name")
+
+
 def category_edges(products: DataFrame) -> DataFrame:
     """(product_id, category_id) for each category in the JSON text; none for bad JSON."""
     parsed = F.from_json("categories", CATEGORY_LIST)

@@ -175,13 +175,15 @@ def silver_tables(bronze: Mapping[str, DataFrame], as_of=None) -> dict[str, Data
     A tag's id is a hash of its text, so the post-hashtag pairs need no join here.
     """
     rows = platform_rows(bronze, as_of)
-    tables = {"user": dedup_on(rows.users, ["user_id"]), "post": dedup_on(rows.posts, ["post_id"])}
+    # A user has many equal rows, one per comment: hash them away before any sort.
+    users = rows.users.distinct()
+    tables = {"user": dedup_on(users, ["user_id"]), "post": dedup_on(rows.posts, ["post_id"])}
     if rows.tagged is not None:
         tables["hashtag"] = hashtag_table(rows.tagged)
         pairs = rows.tagged.select("post_id", _hashtag_id().alias("hashtag_id"))
         tables["post_hashtag"] = pairs.distinct()
     if rows.mentioned is not None:
-        tables["user_mentions"] = resolve_mentions(rows.mentioned, rows.users)
+        tables["user_mentions"] = resolve_mentions(rows.mentioned, users)
     return tables
 
 

@@ -141,9 +141,10 @@ def upsert_table(
 
     ``merge`` combines (target, source) where replacing whole rows is not wanted.
 
-    With ``partition_by``, only the partitions that ``source`` touches are read and
-    rewritten.  A batch that moves a row to another partition, or has NULL in a
-    partition column, rewrites the whole table, which is exact in every case.
+    With ``partition_by``, only the partitions that ``source`` touches are rewritten.  A
+    batch that moves a row to another partition, or has NULL in a partition column,
+    rewrites the whole table, which is exact in every case.  To tell, the keys of the
+    whole table are read; not so where the partition columns are among the keys.
     """
     if not table_exists(spark, path):
         publish(source, path, "overwrite", fmt, partition_by=partition_by)
@@ -185,6 +186,8 @@ def _moves(
         no_partition = no_partition | F.col(column).isNull()
     if not source.filter(no_partition).isEmpty():
         return True
+    if set(partition_by) <= set(keys):
+        return False
     stays = F.lit(True)
     for column in partition_by:
         stays = stays & F.col(f"source.{column}").eqNullSafe(F.col(f"target.{column}"))
