@@ -77,8 +77,12 @@ def provinces_by_region() -> dict[str, list[str]]:
 def region_of(location: Column | str) -> Column:
     """Region name, 'unknown' for a province outside the table, NULL for NULL."""
     text = F.col(location) if isinstance(location, str) else location
-    province = province_name(text)
-    region = F.when(text.isNull(), F.lit(None).cast("string"))
-    for name, provinces in provinces_by_region().items():
-        region = region.when(province.isin(*provinces), F.lit(name))
-    return region.otherwise(F.lit(UNKNOWN_REGION))
+    entries = [
+        F.lit(entry)
+        for region, provinces in provinces_by_region().items()
+        for province in provinces
+        for entry in (province, region)
+    ]
+    # A lookup in a map evaluates the province once, where CASE branches would repeat it.
+    region = F.try_element_at(F.create_map(*entries), province_name(text))
+    return F.when(text.isNotNull(), F.coalesce(region, F.lit(UNKNOWN_REGION)))

@@ -54,8 +54,11 @@ def parse_json(column: Column, schema: StructType) -> Column:
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
+    """(message, p, fits).  Exploding a one-entry array makes the parsed struct a column of
+    its own: a filter on it cannot be pushed below, where it would parse the text again."""
     text = messages.select(F.col("value").cast("string").alias("message"))
-    parsed = text.withColumn("p", parse_json(F.col("message"), PRODUCT_MESSAGE))
+    one_entry = F.array(parse_json(F.col("message"), PRODUCT_MESSAGE))
+    parsed = text.select("message", F.explode(one_entry).alias("p"))
     # Without a message there is no struct; a message that fits has no corrupt text.
     return parsed.withColumn("fits", F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull())
 
