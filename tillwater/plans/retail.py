@@ -57,8 +57,9 @@ def refresh_silver(
     as_of=None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    keys: Sequence[str] | None = None,
 ) -> None:
-    keys = KEYS[table]
+    keys = keys or KEYS[table]
     rows = silver_rows(read_table(spark, bronze_path, fmt), keys, as_of)
     # One row per key by construction: no need to look for repeated keys.
     upsert_table(spark, silver_path, rows, keys, fmt, partition_by, check=False)

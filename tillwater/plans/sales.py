@@ -84,10 +84,17 @@ def refresh_facts(
     facts_path: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    keys: Sequence[str] = FACT_KEYS,
 ) -> None:
-    """Fold silver purchases into the facts; partitioned facts rewrite touched partitions only."""
+    """Fold silver purchases into the facts; partitioned facts rewrite touched partitions only.
+
+    With the partition column among the keys, the other partitions are not read either.
+    """
     batch = increment_facts(read_table(spark, silver_path, fmt))
-    upsert_table(spark, facts_path, batch, FACT_KEYS, fmt, partition_by, merge=merge_facts)
+    upsert_table(
+        spark, facts_path, batch, keys, fmt, partition_by,
+        merge=lambda facts, batch: merge_facts(facts, batch, keys),
+    )
 
 
 def build_warehouse(
