@@ -2,7 +2,9 @@
 
 import os
 
+import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 
 from tillwater.streaming import products
 
@@ -47,3 +49,14 @@ def test_time_limit_stops_the_query(spark, tmp_path):
     query = products.write_stream(stream, f"{tmp_path}/out", f"{tmp_path}/ckpt", every="1 second")
     products.run_for(query, minutes=0.05)
     assert not query.isActive
+
+
+def test_the_broker_source_needs_its_connector(spark):
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        products.read_messages(spark, "localhost:9092", "new_product", max_offsets_per_trigger=1000)
+
+
+def test_stream_parses_each_message_once(spark):
+    plan = products.product_rows(spark.createDataFrame([(GOOD,)], "value string"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwater.operators.aggregates import high_water
-from tillwater.operators.keys import dedup_on, latest, number_rows, recent
+from tillwater.operators.keys import dedup_on, number_rows, recent
 from tillwater.operators.upsert import merge_all, merge_cols, require_single_match
 from tillwater.plans import calendar, retail, reviews, sales
 from tillwater.sources.tables import stage
