@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tillwater.operators.aggregates import id_lists
 from tillwater.operators.keys import dedup_on, resolve
-from tillwater.plans import platforms, sales, social_star
+from tillwater.operators.upsert import merge_all, merge_cols, same_named
+from tillwater.plans import platforms, sales, social_entities, social_star
+from tillwater.sources.tables import publish, read_table, stage, touched_rows
 
 
 @pytest.fixture
@@ -80,10 +82,64 @@ def test_a_hot_value_is_listed_by_many_tasks(spark, eager_splits):
     lists = id_lists(skewed(spark), "name", "id", limit=1000)
     assert sorted(i for r in lists.filter("name = 'hot'").collect() for i in r.ids) == list(range(0, 60_000, 3))
     # The lists are grouped on (value, chunk), not on the value alone.
-    assert re.search(r"hashpartitioning\(name#\d+, chunk#\d+", executed_plan(lists))
+    plan = executed_plan(lists)
+    assert re.search(r"hashpartitioning\(name#\d+, chunk#\d+", plan) and "skew=true" in plan
 
 
 def test_one_row_per_key_before_the_shuffle(spark):
     plan = executed_plan(dedup_on(skewed(spark), ["name"]))
     final, partial = plan.split("Exchange hashpartitioning")[:2]
     assert "WindowGroupLimit" in final and "WindowGroupLimit" in partial
+
+
+def test_a_small_batch_leaves_the_target_unshuffled(spark, tmp_path):
+    publish(skewed(spark), f"{tmp_path}/target")
+    target = read_table(spark, f"{tmp_path}/target")
+    batch, _ = stage(spark.range(10).select("id", F.lit("new").alias("name"), F.lit("p").alias("pad")))
+    plan = executed_plan(merge_all(target, batch, ["id"]))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    columns = merge_cols(target, batch, ["id"], set={"name": "source.name"}, values=same_named(target.columns))
+    plan = executed_plan(columns)
+    # The one shuffle is of the keys found on both sides, after the target was cut down to them.
+    assert "SortMergeJoin" not in plan
+
+
+def test_upsert_of_a_hot_target_key_is_split(spark, eager_splits, tmp_path):
+    publish(skewed(spark), f"{tmp_path}/target")
+    target = read_table(spark, f"{tmp_path}/target")
+    batch, _ = stage(target.groupBy("name").agg(F.max("id").alias("id"), F.max("pad").alias("pad")))
+    merged = merge_cols(target, batch, ["name"], set={"id": "source.id"}, values=same_named(["name", "id", "pad"]))
+    assert "skew=true" in executed_plan(merged)
+    assert merged.count() == 60_000 and merged.filter("name = 'hot'").select("id").distinct().count() == 1
+
+
+def test_merge_all_splits_a_hot_target_key(spark, eager_splits, tmp_path):
+    publish(skewed(spark), f"{tmp_path}/target")
+    target = read_table(spark, f"{tmp_path}/target")
+    batch, _ = stage(target.filter("name <> 'hot'").groupBy("name").agg(F.max("id").alias("id"), F.max("pad").alias("pad")))
+    merged = merge_all(target, batch, ["name"])
+    assert "skew=true" in executed_plan(merged)
+    assert merged.filter("name = 'hot'").count() == 20_000
+
+
+def test_mentions_split_a_hot_name(spark, eager_splits):
+    rows = skewed(spark).select(
+        F.concat(F.lit("u/"), "name").alias("user_posted"),
+        F.concat(F.lit("p/"), "id", "pad").alias("post_url"),
+        F.concat(F.lit("u/"), "name").alias("tagged_users"),
+    )
+    found = social_entities.mentions(social_entities.unify({"A": rows}))
+    assert "skew=true" in executed_plan(found)
+    assert found.filter("mentioned_user_id IS NOT NULL").count() == 60_000
+
+
+def test_touched_partitions_prune_the_target(spark, tmp_path, monkeypatch):
+    days = skewed(spark, 300).withColumn("day", (F.col("id") % 10).cast("int"))
+    publish(days, f"{tmp_path}/target", partition_by=["day"])
+    batch, _ = stage(days.filter("day = 3"))
+    rows = touched_rows(read_table(spark, f"{tmp_path}/target"), batch, ["day"])
+    assert re.search(r"PartitionFilters: \[[^\]]*\(day#\d+ = 3\)", executed_plan(rows))
+    assert rows.count() == 30
+    monkeypatch.setattr("tillwater.sources.tables.PRUNE_LIMIT", 0)
+    unnamed = touched_rows(read_table(spark, f"{tmp_path}/target"), batch, ["day"])
+    assert unnamed.count() == 30

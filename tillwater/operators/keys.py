@@ -61,9 +61,10 @@ def lookup_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "
     """Join a dim with one row per key, so that a hot key of ``df`` can be split.
 
     Adaptive execution splits a skewed partition only where both sides were shuffled
-    for this join.  A dim that was just grouped by the key is partitioned by it already,
-    which rules the split out; a hash of the key as one more join column asks for the
-    shuffle.  A dim within the broadcast limit is broadcast and nothing is shuffled.
+    for this join, and where no later step relies on the join's partitioning.  A dim that
+    was just grouped by the key, or a later grouping by it, rules the split out.  A hash of
+    the key as one more join column gives the join a partitioning that nothing else uses.
+    A dim within the broadcast limit is broadcast and nothing is shuffled.
     """
     tag = F.xxhash64(*keys)
     joined = df.withColumn("_key_hash", tag).join(

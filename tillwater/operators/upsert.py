@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.operators.keys import require_key
+from tillwater.operators.keys import lookup_join, require_key
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,7 +74,9 @@ def merge_cols(
         ]
     )
     # Keys present on both sides: at most one row per source key, whatever the target holds.
-    present = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    # The lookup join leaves the distinct a shuffle of its own; without it a split of a hot
+    # key would break the partitioning that the distinct relies on, and would not be done.
+    present = lookup_join(target.select(*keys), source.select(*keys), keys, "left_semi").distinct()
     added = source.join(present, list(keys), "left_anti").alias("source").select(
         *[
             F.expr(values.get(c, "NULL")).cast(target.schema[c].dataType).alias(c)

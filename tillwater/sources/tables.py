@@ -18,6 +18,10 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 TYPED_FORMATS = {"parquet", "orc", "delta"}
 
 
+# Most partition values that a scan filter names.
+PRUNE_LIMIT = 10_000
+
+
 def _previous(path: str) -> str:
     return f"{path.rstrip('/')}.previous"
 
@@ -159,10 +163,7 @@ def upsert_table(
     if merge is None:
         merge = lambda target, source: merge_all(target, source, keys)
     if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by):
-        # One row per partition folder of the batch.  Broadcast, it prunes the target's
-        # folders; shuffled, it would put each partition's rows into one task.
-        touched = F.broadcast(source.select(*partition_by).distinct())
-        merged = merge(target.join(touched, list(partition_by), "left_semi"), source)
+        merged = merge(touched_rows(target, source, partition_by), source)
         _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
@@ -177,6 +178,22 @@ def _with_types_of(
     return StructType([source.schema[f.name] if f.name in columns else f for f in existing.fields])
 
 
+def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The target's rows in the partitions that ``source`` has rows for.
+
+    There is one value per partition folder of the batch: few enough to name in a filter,
+    so that the scan lists only these folders.  The join keeps the result exact where
+    several columns, or too many folders to name, make the filter wider than needed.  It
+    is broadcast; shuffled, it would put each partition's rows into one task.
+    """
+    touched = source.select(*partition_by).distinct()
+    for column in partition_by:
+        values = touched.select(column).distinct().limit(PRUNE_LIMIT + 1).collect()
+        if len(values) <= PRUNE_LIMIT:
+            target = target.filter(F.col(column).isin([row[0] for row in values]))
+    return target.join(F.broadcast(touched), list(partition_by), "left_semi")
+
+
 def _moves(
     target: DataFrame, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
 ) -> bool:
