@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwater.llm import quality_rules
+from tillwater.llm import near_dedup, quality_rules
 from tillwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,10 @@ def query(function: Query) -> Query:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
