@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +20,21 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset (as in tests), one below the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared folder, so that a lost executor costs no rerun.
-
-    The folder is the one named by ``spark.checkpoint.dir``; only where that is unset (as
-    in tests) a folder below the warehouse is taken.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        )
+    """``df`` computed once into the shared folder, so that a lost executor costs no rerun."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

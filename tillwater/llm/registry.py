@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwater.llm import near_dedup, quality_rules
-from tillwater.llm.common import table
+from tillwater.llm import mixing, near_dedup, packing, quality_rules, sharding
+from tillwater.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +30,26 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "slot-map")
+    first = sharding.first_map()
+    sharding.write_map(spark, first, 1, path)
+    sharding.write_map(spark, sharding.rebalance(first, sharding.slot_bytes(docs), sharding.SHARDS), 2, path)
+    return sharding.place(docs, sharding.read_map(spark, path)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "vslot",
+    )
