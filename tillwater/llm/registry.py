@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat_format, mixing, near_dedup, packing, quality_rules, sharding, top_k
+from tillwater.llm import chat_format, license_scan, mixing, near_dedup, packing, quality_rules, sharding, top_k
 from tillwater.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,11 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length('<|im_start|>') + length(role) + 1 + n + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_license_scan"] = license_scan.oracle()
