@@ -1,4 +1,10 @@
-"""The corpus pipeline: each stage works on all that the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept.
+
+Rows of ``documents`` pass the quality classifier, the quality rules and near-duplicate removal,
+are mixed to the sources' target weights (a row may then come twice), and are packed into
+sequences; the last stage gives one row per piece. Rows with NULLs, empty texts, repeated rows
+and extra columns follow the stage's operator, see there.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +12,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwater.llm import quality_rules
-from tillwater.llm.common import table
+from tillwater.llm import mixing, near_dedup, packing, quality_classifier, quality_rules
+from tillwater.llm.common import scratch_path, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised scorer does not reject."""
+    return quality_classifier.keep(docs)
+
+
+def rule(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the likelihood ratio."""
     return quality_rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", rule_stage)]
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return near_dedup.keep(docs, size=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a packed sequence."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", classify),
+    ("quality rules", rule),
+    ("near dedup", deduplicate),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-#: No SQL: models, hashes and a tokenizer decide.
+#: No SQL: trained models, MinHash, hashed draws and a tokenizer decide.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what each one gives is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    base = scratch_path(spark, "pipeline")
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{base}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat_format, license_scan, mixing, near_dedup, packing, quality_rules, sharding, top_k
+from tillwater.llm import (
+    chat_format,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    top_k,
+    toxicity,
+)
 from tillwater.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +124,13 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op8_license_scan"] = license_scan.oracle()
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"))
