@@ -17,7 +17,7 @@ from workload import QUERIES
 
 HEADLINE = [
     "fact_sales_init", "fact_sales_incr", "latest_per_key", "silver_purchase", "silver_client",
-    "gold_client", "merge_all", "merge_cols", "dim_time", "dedup_key", "hash_pick",
+    "gold_client", "merge_all", "merge_cols", "dim_time", "dedup_key",
     "social_users", "social_posts", "mentions", "platform_users", "platform_posts", "post_hashtag",
     "hashtag_usage", "user_mention", "repair_instagram", "repair_twitter", "repair_tiktok",
     "hashtag_list", "region_lookup", "conform_schema", "csv_infer", "bronze_ingest",

@@ -4,7 +4,8 @@ import os
 
 import pytest
 from conftest import rows
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import functions as F
 
 from tillwater.streaming import products
 
@@ -23,12 +24,9 @@ def test_good_and_bad_messages(spark):
         [(GOOD,), ('{"productid":2}',), ("junk",), ('{"productId":"x"}',), (None,)], "value string"
     )
     got = products.bronze_products(products.product_rows(messages, "2024-01-02")).drop("first_issue_date")
-    assert rows(got) == [
-        ("1", "7", "8", None, None, "b", "cup", 2.5),
-        (None, None, None, None, None, None, None, None),
-    ]
+    assert rows(got) == [("1", "7", "8", None, None, "b", "cup", 2.5)]
     bad = products.quarantined(messages, "2024-01-02")
-    assert rows(bad.select("message")) == [("junk",), ('{"productId":"x"}',), (None,)]
+    assert rows(bad.select("message")) == [("junk",), ('{"productId":"x"}',), ('{"productid":2}',), (None,)]
 
 
 def test_restart_adds_no_rows_and_partitions_by_date(spark, tmp_path):
@@ -47,10 +45,40 @@ def test_time_limit_stops_the_query(spark, tmp_path):
     _write(f"{tmp_path}/in", "a.txt", [GOOD])
     stream = products.product_rows(products.read_message_files(spark, f"{tmp_path}/in"))
     query = products.write_stream(stream, f"{tmp_path}/out", f"{tmp_path}/ckpt", every="1 second")
-    products.run_for(query, minutes=0.05)
+    products.run_for([query], minutes=0.05)
     assert not query.isActive
 
 
+def test_a_drain_has_no_time_limit(spark, tmp_path):
+    source, out, bad, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "out", "bad", "ckpt"))
+    for k in range(6):
+        _write(source, f"{k}.txt", [GOOD.replace("1", str(k + 1), 1), f"junk {k}"])
+    messages = products.read_message_files(spark, source, files_per_trigger=1)
+    products.listen(messages, out, bad, checkpoint, minutes=0.0001, drain=True)
+    assert spark.read.parquet(out).count() == 6 and spark.read.parquet(bad).count() == 6
+
+
+def test_a_failed_query_stops_the_others_and_is_raised(spark, tmp_path):
+    _write(f"{tmp_path}/in", "a.txt", [GOOD])
+    messages = products.read_message_files(spark, f"{tmp_path}/in")
+    broken = messages.select(F.raise_error(F.lit("boom")).cast("string").alias("message"), F.lit(1).alias("day"))
+    queries = [
+        products.write_stream(products.product_rows(messages), f"{tmp_path}/a", f"{tmp_path}/ca", "1 second"),
+        products.write_stream(broken, f"{tmp_path}/b", f"{tmp_path}/cb", "1 second", partition_by=["day"]),
+    ]
+    with pytest.raises(StreamingQueryException, match="boom"):
+        products.run_for(queries, minutes=1)
+    assert not any(query.isActive for query in queries)
+
+
+def test_broker_options():
+    assert products.broker_options("b:9092", "t", "earliest", True, 5) == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest",
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "5",
+    }
+    assert products.broker_options("b:9092", "t")["failOnDataLoss"] == "false"
+
+
 def test_the_broker_source_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         products.read_messages(spark, "localhost:9092", "new_product", max_offsets_per_trigger=1000)

@@ -5,7 +5,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tillwater.operators.keys import dedup_on, latest, number_rows, resolve
+from tillwater.operators.keys import dedup_on, latest, resolve
 from tillwater.operators.upsert import merge_all, merge_cols, require_single_match, same_named
 from tillwater.plans import retail, sales
 
@@ -95,15 +95,6 @@ def test_resolve_repeats_no_row(spark):
     assert rows(resolve(df, dim, ["name"], "id")) == [("a", 1), ("a", 1), ("x", None), (None, None)]
 
 
-def test_number_rows_is_dense(spark):
-    numbered = number_rows(spark.range(1000).union(spark.range(500)), "id", "place", buckets=16)
-    places = sorted(r["place"] for r in numbered.collect())
-    assert places == list(range(1000))
-
-
-BRONZE = "client_id string, name string, ingestion_time timestamp, source_file string"
-
-
 def test_silver_rows_window_and_helpers(spark):
     bronze = spark.createDataFrame(
         [("1", "old", None, "f"), ("1", "a", None, "f")], BRONZE

@@ -12,19 +12,24 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-# Whole numbers that fit a bigint, with blanks around them.
-WHOLE_NUMBER = r"^\s*[+-]?0*[0-9]{1,18}\s*$"
+# Whole numbers of a bigint's length, with blanks around them.
+WHOLE_NUMBER = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
 INT_RANGE = (-(2**31), 2**31 - 1)
 
 
-def parsed_int(column: Column | str) -> Column:
-    """An int from text, NULL where the text is none.
+def parsed_long(column: Column | str) -> Column:
+    """A bigint from text, NULL where the text is none.
 
     The pattern comes first since a failing string cast is costly: it builds an
     exception for each bad row, about ten times the price of the pattern.
     """
     text = _col(column).cast("string")
-    number = F.when(F.rlike(text, F.lit(WHOLE_NUMBER)), text.try_cast("bigint"))
+    return F.when(F.rlike(text, F.lit(WHOLE_NUMBER)), text.try_cast("bigint"))
+
+
+def parsed_int(column: Column | str) -> Column:
+    """An int from text, NULL where the text is none."""
+    number = parsed_long(column)
     return F.when(number.between(*INT_RANGE), number.cast("int"))
 
 
@@ -34,10 +39,15 @@ def repair_int(column: Column | str, default: Column, is_int: bool = False) -> C
     return F.coalesce(value, default.cast("int"))
 
 
-def repair_long(column: Column | str, default: Column, is_int: bool = False) -> Column:
-    """As :func:`repair_int`, where the default may need more digits."""
-    value = _col(column) if is_int else parsed_int(column)
-    return F.coalesce(value.cast("bigint"), default.cast("bigint"))
+def repair_number_id(column: Column | str, default: Column) -> Column:
+    """An id that is a whole number of up to 64 bits, as text without blanks; else the default."""
+    return F.coalesce(parsed_long(column).cast("string"), default)
+
+
+def repair_text_id(column: Column | str, default: Column) -> Column:
+    """A text id as it is; the default where it is NULL or blank."""
+    text = _col(column).cast("string")
+    return F.when(F.trim(text) != "", text).otherwise(default)
 
 
 def repair_ts(column: Column | str, as_of, days: int) -> Column:

@@ -9,10 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwater.functions.hashing import chunk_of
-from tillwater.operators.keys import lookup_join, require_key
-
-# Most ids that one list row should hold.
-LIST_LIMIT = 10_000
+from tillwater.operators.keys import require_key
 
 
 def high_water(df: DataFrame, column: str) -> DataFrame:
@@ -30,20 +27,15 @@ def first_date(
     )
 
 
-def id_lists(df: DataFrame, value: str, id_column: str, limit: int = LIST_LIMIT) -> DataFrame:
+def id_lists(df: DataFrame, value: str, id_column: str, chunks: int) -> DataFrame:
     """Sorted id lists per value, as rows (value, chunk, ids).
 
-    A value with more than ``limit`` ids is spread over several chunks by a hash of
-    the id, so no task holds one value's whole list; together the chunks hold every id.
+    A hash of the id deals every value's ids out over ``chunks`` lists, which the caller
+    chooses, so that no task holds a hot value's whole list; together they hold every id.
     """
     rows = require_key(df.select(value, id_column), value, id_column)
-    sizes = rows.groupBy(value).agg(
-        F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("_chunks")
-    )
-    chunk = F.when(F.col("_chunks") > 1, chunk_of(F.col("_chunks"), id_column)).otherwise(0)
     return (
-        lookup_join(rows, sizes, [value], "inner")
-        .withColumn("chunk", chunk)
+        rows.withColumn("chunk", chunk_of(chunks, id_column))
         .groupBy(value, "chunk")
         .agg(F.sort_array(F.collect_list(id_column)).alias("ids"))
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillwater.functions.dates import days_before
 from tillwater.functions.hashing import hash_id
 from tillwater.functions.text import (
-    NO_TAG, instagram_handle, last_segment, normalize, tags, tiktok_handle, twitter_name,
+    NO_TAG, first_post_id, instagram_handle, last_segment, normalize, tags, tiktok_handle, twitter_name,
     twitter_profile,
 )
 from tillwater.operators.keys import dedup_on, lookup_join, resolve
@@ -23,6 +23,8 @@ from tillwater.operators.shape import align_union, typed_nulls
 from tillwater.sources.tables import publish, read_table
 
 TAG_SCOPE = "hashtag"
+# One id may stand for posts of two platforms.
+POST_KEYS = ["post_type", "post_id"]
 
 
 @dataclass
@@ -51,12 +53,19 @@ def _users(
 def _posts(
     df: DataFrame, post_id: Column, user_id: Column, content: Column, url: Column, kind: str, as_of
 ) -> DataFrame:
-    """The day before ``as_of`` stands for the unknown date of a post."""
+    """The day before a row came in stands for the unknown date of a post.
+
+    Rows without an ingestion time take the day before ``as_of``.
+    """
+    if "ingestion_time" in df.columns:
+        dated = F.col("ingestion_time") - F.expr("INTERVAL 1 DAY")
+    else:
+        dated = days_before(as_of, 1)
     return df.select(
         post_id.cast("string").alias("post_id"),
         user_id.cast("string").alias("user_id"),
         content.cast("string").alias("post_content"),
-        days_before(as_of, 1).alias("post_date"),
+        dated.alias("post_date"),
         url.alias("post_url"),
         F.lit(kind).alias("post_type"),
     )
@@ -110,9 +119,10 @@ def resolve_mentions(mentioned: DataFrame, users: DataFrame) -> DataFrame:
 
 def facebook(df: DataFrame, as_of=None) -> PlatformRows:
     name, user_id = "Facebook", F.col("user_id")
+    post_id = first_post_id("post_id", F.lit(None).cast("string"), "post_url")
     return PlatformRows(
         users=_users(df, user_id, F.col("user_name"), F.col("user_url"), name),
-        posts=_posts(df, F.col("post_id"), user_id, F.lit(None), F.col("post_url"), name, as_of),
+        posts=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), name, as_of),
     )
 
 
@@ -172,12 +182,20 @@ def platform_rows(bronze: Mapping[str, DataFrame], as_of=None) -> PlatformRows:
 def silver_tables(bronze: Mapping[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     """The silver tables of the given platforms, one row per key.
 
-    A tag's id is a hash of its text, so the post-hashtag pairs need no join here.
+    A tag's id is a hash of its text, so the post-hashtag pairs need no join here.  Of a
+    post's rows the one that came first counts, so later runs leave its date alone.  Posts
+    without any id cannot be told apart and go to ``post_rejected``, each row as it is.
     """
     rows = platform_rows(bronze, as_of)
     # A user has many equal rows, one per comment: hash them away before any sort.
     users = rows.users.distinct()
-    tables = {"user": dedup_on(users, ["user_id"]), "post": dedup_on(rows.posts, ["post_id"])}
+    has_id = F.coalesce(F.trim("post_id") != "", F.lit(False))
+    posts = dedup_on(rows.posts.filter(has_id), POST_KEYS, [F.col("post_date").asc_nulls_last()])
+    tables = {
+        "user": dedup_on(users, ["user_type", "user_id"]),
+        "post": posts,
+        "post_rejected": rows.posts.filter(~has_id),
+    }
     if rows.tagged is not None:
         tables["hashtag"] = hashtag_table(rows.tagged)
         pairs = rows.tagged.select("post_id", _hashtag_id().alias("hashtag_id"))

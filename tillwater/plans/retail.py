@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.dates import days_before
-from tillwater.functions.hashing import pick
 from tillwater.functions.regions import region_of
 from tillwater.operators.keys import latest, recent, require_columns, require_key
 from tillwater.operators.upsert import merge_cols, same_named
@@ -32,9 +31,6 @@ GOLD_COLUMNS = {
     "stores": ["store_id", "store_name", "store_location", "region", "store_format", "first_issue_date"],
 }
 
-# Store formats to pick from where a store has none (fixed values).
-STORE_FORMATS = ["Flagship store", "Department store", "Supermarket", "Convenience store"]
-
 BRONZE_HELPERS = ("source_file", "ingestion_time", "ingestion_date")
 RECENT_DAYS = 7
 
@@ -66,10 +62,8 @@ def refresh_silver(
 
 
 def described_stores(stores: DataFrame) -> DataFrame:
-    """Stores with the region their location lies in and a format picked by their id."""
-    return stores.withColumns(
-        {"region": region_of("store_location"), "store_format": pick(STORE_FORMATS, "store_id")}
-    )
+    """Stores with the region their location lies in."""
+    return stores.withColumn("region", region_of("store_location"))
 
 
 def gold_rows(silver: DataFrame, table: str) -> DataFrame:

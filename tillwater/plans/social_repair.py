@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType
 
-from tillwater.functions.hashing import draws, option_at, row_numbers
+from tillwater.functions.hashing import draws, option_at, row_id, row_numbers
 from tillwater.functions.repair import (
-    repair_id, repair_int, repair_long, repair_name, repair_text, repair_ts, repair_url,
+    repair_id, repair_int, repair_name, repair_number_id, repair_text, repair_text_id, repair_ts, repair_url,
 )
 from tillwater.functions.text import FALLBACK_NAMES
-from tillwater.sources.csv import read_csv
+from tillwater.sources.csv import read_csv, with_provenance
 from tillwater.sources.schemas import INSTAGRAM_COMMENTS, TIKTOK_COMMENTS, TWITTER_POSTS
 from tillwater.sources.tables import publish
 
@@ -33,15 +33,20 @@ TWITTER_DAYS, TIKTOK_DAYS = 10, 1
 # Ranges of the replacement values.
 SMALL = (1, 20)
 PERCENT = (0, 100)
-TEN_DIGITS = (10**9, 10**10 - 1)
 TWELVE_DIGITS = (10**11, 10**12 - 1)
 NAME_PLACE = (0, len(FALLBACK_NAMES) - 1)
 
 FIRST, SECOND = "_first", "_second"
+PROVENANCE = ("ingestion_time", "source_file")
+
+
+def _source_columns(df: DataFrame) -> list[str]:
+    """The columns of the file; when and from where a row came does not change its repair."""
+    return [c for c in df.columns if c not in PROVENANCE]
 
 
 def _with_row_numbers(df: DataFrame) -> DataFrame:
-    first, second = row_numbers(*df.columns)
+    first, second = row_numbers(*_source_columns(df))
     return df.withColumns({FIRST: first, SECOND: second})
 
 
@@ -68,12 +73,11 @@ def repair_twitter(df: DataFrame, as_of=None) -> DataFrame:
         FIRST,
         {"user_posted": NAME_PLACE, "name": NAME_PLACE, **{c: SMALL for c in TWITTER_COUNTERS}},
     )
-    made |= draws(SECOND, {"id": TEN_DIGITS})
     a_name = {c: option_at(FALLBACK_NAMES, made[c]) for c in ("user_posted", "name")}
     ints = _int_columns(df)
     repaired = _with_row_numbers(df).withColumns(
         {
-            "id": repair_long("id", made["id"], "id" in ints),
+            "id": repair_number_id("id", row_id("post", *_source_columns(df))),
             "user_posted": repair_name("user_posted", a_name["user_posted"], [UNKNOWN, ""], ['"']),
             "name": repair_name("name", a_name["name"], [UNKNOWN], NAME_PREFIXES),
             "date_posted": repair_ts("date_posted", as_of, TWITTER_DAYS),
@@ -85,11 +89,13 @@ def repair_twitter(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def repair_tiktok(df: DataFrame, as_of=None) -> DataFrame:
-    numbers = ("num_likes", "num_replies", "comment_id", "post_id")
+    numbers = ("num_likes", "num_replies")
     made = draws(FIRST, {c: SMALL for c in numbers})
     repaired = _with_row_numbers(df).withColumns(
         {
             **{c: repair_int(c, made[c]) for c in numbers},
+            "comment_id": repair_text_id("comment_id", row_id("comment", *_source_columns(df))),
+            "post_id": repair_text_id("post_id", row_id("post", *_source_columns(df))),
             **{
                 c: repair_ts(c, as_of, TIKTOK_DAYS) for c in ("post_date_created", "date_created")
             },
@@ -109,16 +115,24 @@ def repair_tiktok(df: DataFrame, as_of=None) -> DataFrame:
 def load_platforms(
     spark: SparkSession, folder: str, bronze_path: str, fmt: str = "parquet", as_of=None
 ) -> None:
-    """Read the four platforms' CSV files, repair three of them, append each to bronze."""
+    """Read the four platforms' CSV files, repair three of them, append each to bronze.
+
+    Every row says when it was ingested and from which file, so that a second run of a file
+    can be told from new data and silver can date a post by its arrival.
+    """
     base, bronze = folder.rstrip("/"), bronze_path.rstrip("/")
-    instagram = read_csv(spark, f"{base}/Instagram-datasets.csv", schema=INSTAGRAM_COMMENTS)
-    twitter = read_csv(spark, f"{base}/Twitter-datasets.csv", schema=TWITTER_POSTS)
-    tiktok = read_csv(spark, f"{base}/TikTok-datasets.csv", schema=TIKTOK_COMMENTS)
+
+    def rows(file: str, schema=None) -> DataFrame:
+        return with_provenance(read_csv(spark, f"{base}/{file}", schema=schema), as_of)
+
+    instagram = rows("Instagram-datasets.csv", INSTAGRAM_COMMENTS)
+    twitter = rows("Twitter-datasets.csv", TWITTER_POSTS)
+    tiktok = rows("TikTok-datasets.csv", TIKTOK_COMMENTS)
     tables = {
-        "facebook": read_csv(spark, f"{base}/facebook_datasets.csv"),
+        "facebook": rows("facebook_datasets.csv"),
         "instagram": repair_instagram(instagram),
         "twitter": repair_twitter(twitter, as_of),
         "tiktok": repair_tiktok(tiktok, as_of),
     }
-    for name, rows in tables.items():
-        publish(rows, f"{bronze}/{name}", "append", fmt)
+    for name, repaired in tables.items():
+        publish(repaired, f"{bronze}/{name}", "append", fmt)

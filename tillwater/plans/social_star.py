@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.text import composite_id
-from tillwater.operators.keys import date_ids, lookup_join, require_key
+from tillwater.operators.aggregates import high_water
+from tillwater.operators.keys import date_ids, lookup_join, only_new, require_key
 from tillwater.operators.shape import typed_nulls
-from tillwater.sources.tables import publish, read_table, upsert_table
+from tillwater.sources import files
+from tillwater.sources.tables import publish, read_table, stage, table_exists, upsert_table
 
 DIMENSION_KEYS = {
     "dim_user": ["user_id"],
-    "dim_post": ["post_id"],
+    "dim_post": ["post_type", "post_id"],
     "dim_hashtag": ["hashtag_id"],
     "dim_date": ["full_date"],
 }
@@ -54,8 +56,15 @@ def dim_hashtag(hashtags: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(posts: DataFrame) -> DataFrame:
-    return date_ids(posts.select(F.to_date("post_date").alias("full_date")))
+def dim_date(posts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Every day of the posts with its id; days in ``known`` keep theirs, new ones go on above."""
+    days = posts.select(F.to_date("post_date").alias("full_date"))
+    if known is None:
+        return date_ids(days)
+    known = require_key(known.select("full_date", "date_id"), "full_date")
+    added = date_ids(only_new(require_key(days, "full_date").distinct(), known, "full_date"))
+    highest = high_water(known, "date_id").first()[0] or 0
+    return known.unionByName(added.withColumn("date_id", (F.col("date_id") + highest).cast("int")))
 
 
 def post_dates(posts: DataFrame, dates: DataFrame) -> DataFrame:
@@ -99,8 +108,9 @@ def star(
     hashtags: DataFrame,
     post_hashtags: DataFrame,
     mentions: DataFrame,
+    known_dates: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    dates = dim_date(posts)
+    dates = dim_date(posts, known_dates)
     dated = post_dates(posts, dates)
     return {
         "dim_user": dim_user(users),
@@ -115,15 +125,20 @@ def star(
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> None:
     """Upsert the dimensions by key and replace the facts.
 
-    Date ids are numbered over all silver posts each time, so the facts, which are
-    derived from all silver rows, are written anew with the ids that now apply.
+    Days that the date dimension holds keep their ids, and only new days are numbered, above
+    the highest; so the facts, written anew from all silver rows, say the same as before.
     """
     silver = {
         name: read_table(spark, f"{silver_path.rstrip('/')}/{name}", fmt)
         for name in ("user", "post", "hashtag", "post_hashtag", "user_mentions")
     }
+    dates_path = f"{gold_path.rstrip('/')}/dim_date"
+    known, staged = None, None
+    if table_exists(spark, dates_path):
+        # read once: the table is replaced below while the facts still look its ids up
+        known, staged = stage(read_table(spark, dates_path, fmt), "dates")
     tables = star(
-        silver["user"], silver["post"], silver["hashtag"], silver["post_hashtag"], silver["user_mentions"]
+        silver["user"], silver["post"], silver["hashtag"], silver["post_hashtag"], silver["user_mentions"], known
     )
     for name, rows in tables.items():
         path = f"{gold_path.rstrip('/')}/{name}"
@@ -132,3 +147,5 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str
             upsert_table(spark, path, require_key(rows, *keys), keys, fmt)
         else:
             publish(rows, path, "overwrite", fmt, replace_schema=True)
+    if staged:
+        files.delete(spark, staged)

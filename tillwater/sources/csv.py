@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwater.functions.dates import as_timestamp
-from tillwater.sources import files
-
-# One file is written only when the rows take at most this much as Parquet.
-SINGLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def read_csv(
@@ -56,19 +52,12 @@ def read_folder(spark: SparkSession, folder: str, as_of=None) -> DataFrame:
     return with_provenance(raw, as_of)
 
 
-def export_csv(df: DataFrame, path: str, single_file_bytes: int = SINGLE_FILE_BYTES) -> None:
-    """CSV with a header: one file for a small result, parallel part files for a larger one.
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header: parallel part files, or one file where the caller asks for it.
 
-    The rows are written once as Parquet and measured, so that the single writer
-    task only ever gets a result of a known size.
+    One file is written by one task, which suits a summary.
     """
-    spark = df.sparkSession
-    staged = files.scratch_folder(spark, "export")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
-    if files.size_in_bytes(spark, staged) <= single_file_bytes:
-        rows = rows.coalesce(1)
+    rows = df.coalesce(1) if single_file else df
     rows.write.options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).mode("overwrite").csv(path)
-    files.delete(spark, staged)

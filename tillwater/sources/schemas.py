@@ -63,7 +63,7 @@ TIKTOK_COMMENTS = layout(
 )
 
 TWITTER_POSTS = layout(
-    "id int, user_posted string, name string, description string, date_posted string, "
+    "id string, user_posted string, name string, description string, date_posted string, "
     "photos int, url string, tagged_users string, replies string, reposts string, "
     "likes string, views string, external_url string, hashtags string, followers int, "
     "biography string, posts_count int, profile_image_link string, following int, "

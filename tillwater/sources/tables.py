@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillwater.operators.keys import lookup_join
 from tillwater.operators.upsert import merge_all, require_single_match
 from tillwater.sources import files
 
@@ -18,10 +19,6 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 TYPED_FORMATS = {"parquet", "orc", "delta"}
 
 
-# Most partition values that a scan filter names.
-PRUNE_LIMIT = 10_000
-
-
 def _previous(path: str) -> str:
     return f"{path.rstrip('/')}.previous"
 
@@ -181,17 +178,15 @@ def _with_types_of(
 def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The target's rows in the partitions that ``source`` has rows for.
 
-    There is one value per partition folder of the batch: few enough to name in a filter,
-    so that the scan lists only these folders.  The join keeps the result exact where
-    several columns, or too many folders to name, make the filter wider than needed.  It
-    is broadcast; shuffled, it would put each partition's rows into one task.
+    The batch's lowest and highest value per partition column become a filter that the scan
+    lists its folders by; the join makes the result exact, and can split a large partition.
     """
-    touched = source.select(*partition_by).distinct()
+    bounds = source.agg(
+        *[f(c).alias(f"{c}{place}") for c in partition_by for place, f in ((0, F.min), (1, F.max))]
+    ).first()
     for column in partition_by:
-        values = touched.select(column).distinct().limit(PRUNE_LIMIT + 1).collect()
-        if len(values) <= PRUNE_LIMIT:
-            target = target.filter(F.col(column).isin([row[0] for row in values]))
-    return target.join(F.broadcast(touched), list(partition_by), "left_semi")
+        target = target.filter(F.col(column).between(bounds[f"{column}0"], bounds[f"{column}1"]))
+    return lookup_join(target, source.select(*partition_by).distinct(), list(partition_by), "left_semi")
 
 
 def _moves(

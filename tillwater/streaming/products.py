@@ -7,6 +7,7 @@ of the rows already written.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,15 +23,14 @@ CORRUPT = "_corrupt_record"
 PARTITION = "ingestion_date"
 
 
-def read_messages(
-    spark: SparkSession,
+def broker_options(
     brokers: str,
     topic: str,
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
-) -> DataFrame:
-    """A Kafka topic as a stream; needs the Kafka connector on the class path."""
+) -> dict[str, str]:
+    """The connector's options: where to read, from where on, and whether lost offsets are an error."""
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
@@ -39,6 +39,19 @@ def read_messages(
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
+
+
+def read_messages(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
+) -> DataFrame:
+    """A Kafka topic as a stream; needs the Kafka connector on the class path."""
+    options = broker_options(brokers, topic, starting_offsets, fail_on_data_loss, max_offsets_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
 
 
@@ -59,8 +72,10 @@ def _parsed(messages: DataFrame) -> DataFrame:
     text = messages.select(F.col("value").cast("string").alias("message"))
     one_entry = F.array(parse_json(F.col("message"), PRODUCT_MESSAGE))
     parsed = text.select("message", F.explode(one_entry).alias("p"))
-    # Without a message there is no struct; a message that fits has no corrupt text.
-    return parsed.withColumn("fits", F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull())
+    # Without a message there is no struct, a message that fits has no corrupt text, and a
+    # product has an id.
+    fits = F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull() & F.col("p.productId").isNotNull()
+    return parsed.withColumn("fits", fits)
 
 
 def product_rows(messages: DataFrame, as_of=None) -> DataFrame:
@@ -108,15 +123,26 @@ def write_stream(
     )
 
 
-def run_for(query: StreamingQuery, minutes: float = 30) -> None:
-    """Wait at most ``minutes`` (0 = no limit), then stop the query."""
+def run_for(queries: Sequence[StreamingQuery], minutes: float = 30) -> None:
+    """Wait until all queries have ended, at most ``minutes`` (0 = no limit), then stop them.
+
+    The first query that fails stops the others, and its error is raised.
+    """
+    deadline = time.monotonic() + minutes * 60 if minutes > 0 else None
     try:
-        if minutes > 0:
-            query.awaitTermination(int(minutes * 60))
-        else:
-            query.awaitTermination()
+        while any(query.isActive for query in queries):
+            for query in queries:
+                if query.exception() is not None:
+                    raise query.exception()
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            next(query for query in queries if query.isActive).awaitTermination(1)
+        for query in queries:
+            if query.exception() is not None:
+                raise query.exception()
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
 
 
 def listen(
@@ -127,18 +153,16 @@ def listen(
     minutes: float = 30,
     drain: bool = False,
 ) -> None:
-    """Products to ``path`` and bad messages to ``quarantine_path`` until the time is up."""
+    """Products to ``path`` and bad messages to ``quarantine_path`` until the time is up.
+
+    ``drain`` reads all there is, however long that takes.  Each output is a query of its
+    own, since the file sink commits a batch of one query once.
+    """
     queries = [
         write_stream(product_rows(messages), path, f"{checkpoint}/products", drain=drain),
         write_stream(quarantined(messages), quarantine_path, f"{checkpoint}/bad", drain=drain),
     ]
-    try:
-        run_for(queries[0], minutes)
-        if drain:
-            queries[1].awaitTermination()
-    finally:
-        for query in queries:
-            query.stop()
+    run_for(queries, 0 if drain else minutes)
 
 
 def bronze_products(rows: DataFrame) -> DataFrame:

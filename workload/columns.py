@@ -19,7 +19,7 @@ from tillwater.operators.aggregates import first_date, id_lists, last_writer, pr
 from tillwater.operators.keys import resolve, surrogate
 from tillwater.operators.shape import harmonize
 from tillwater.plans import social_repair
-from tillwater.plans.retail import STORE_FORMATS, described_stores
+from tillwater.plans.retail import described_stores
 from tillwater.plans.social_entities import RENAMES, clean_posts
 from tillwater.sources.schemas import layout
 from tillwater.streaming.products import parse_json
@@ -145,8 +145,9 @@ TIKTOK_COLUMNS = [
 
 
 @query(ctes("tiktok", fixed="SELECT " + ", ".join([
-    *[_int(c, _draw("h1", 20**place, 1, 20))
-      for place, c in enumerate(("num_likes", "num_replies", "comment_id", "post_id"))],
+    *[_int(c, _draw("h1", 20**place, 1, 20)) for place, c in enumerate(("num_likes", "num_replies"))],
+    *[f"CASE WHEN trim({c}_id) <> '' THEN {c}_id ELSE {duck.row_id(c, *TIKTOK_COLUMNS)} END AS {c}_id"
+      for c in ("comment", "post")],
     *[f"coalesce(TRY_CAST({c} AS TIMESTAMP), {AS_OF_SQL} - INTERVAL 1 DAY) AS {c}"
       for c in ("post_date_created", "date_created")],
     *[f"coalesce({c}, 'unknown') AS {c}" for c in ("comment_text", "commenter_user_name", "commenter_id")],
@@ -176,7 +177,7 @@ NAME_LIST = "[" + ", ".join(duck.text(n) for n in FALLBACK_NAMES) + "]"
 
 @query(ctes("twitter", fixed="SELECT " + ", ".join([
     *TWITTER_KEPT,
-    f"CAST(coalesce(id, {_draw('h2', 1, 10**9, 10**10 - 1)}) AS BIGINT) AS id",
+    f"coalesce({duck.parsed_long('id')}, {duck.row_id('post', *TWITTER_COLUMNS)}) AS id",
     f"""CASE WHEN user_posted IN ('unknown', '') OR user_posted LIKE '"%'
         THEN {NAME_LIST}[1 + {_draw('h1', 1, 0, NAMES - 1)}] ELSE user_posted END AS user_posted""",
     f"""CASE WHEN name = 'unknown' OR name LIKE 'https%' OR name LIKE '"%' OR name LIKE 'm%'
@@ -323,15 +324,15 @@ REGION_CASE = "CASE WHEN store_location IS NULL THEN NULL " + " ".join(
 ) + " ELSE 'unknown' END"
 
 
-@query(ctes("stores", folded="""SELECT store_id, store_location,
+@query(ctes("stores", folded="""SELECT store_id, store_location, store_format,
         trim(regexp_replace(translate(strip_accents(string_split(store_location, ',')[-1]), 'đĐ', 'dD'), '\\s+', ' ', 'g'))
             AS folded FROM stores""",
        named="""SELECT *, array_to_string(list_transform(string_split(folded, ' '),
             lambda w: upper(w[1]) || lower(w[2:])), ' ') AS province FROM folded""")
        + f"""SELECT store_id, store_location, {REGION_CASE} AS region,
-           {duck.pick(STORE_FORMATS, 'store_id')} AS store_format FROM named""")
+           store_format FROM named""")
 def region_lookup(spark, sf_dir):
-    """The region a store's location lies in, and a format picked by its id."""
+    """The region a store's location lies in."""
     stores = described_stores(frame(spark, sf_dir, "stores"))
     return stores.select("store_id", "store_location", "region", "store_format")
 
@@ -380,18 +381,17 @@ def resolve_hashtag(spark, sf_dir):
     return resolve(part.select("p_partkey", text.alias("hashtag_text")), known, ["hashtag_text"], "hashtag_id")
 
 
-LIST_LIMIT = 100
+LIST_CHUNKS = 4
 
 
-@query(f"""WITH t AS (SELECT unnest(string_split(p_name, ' ')) AS tag, p_partkey FROM part),
-    n AS (SELECT tag, CAST(ceil(count(*) / {LIST_LIMIT}) AS INTEGER) AS chunks FROM t GROUP BY tag)
-    SELECT t.tag, CAST({duck.hash_number('p_partkey')} % n.chunks AS INTEGER) AS chunk,
+@query(f"""WITH t AS (SELECT unnest(string_split(p_name, ' ')) AS tag, p_partkey FROM part)
+    SELECT tag, CAST({duck.hash_number('p_partkey')} % {LIST_CHUNKS} AS INTEGER) AS chunk,
         string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS ids
-    FROM t JOIN n ON t.tag = n.tag GROUP BY ALL""")
+    FROM t GROUP BY ALL""")
 def tag_ids(spark, sf_dir):
-    """The parts of each word, in chunks of about a hundred ids."""
+    """The parts of each word, in four chunks."""
     tagged = frame(spark, sf_dir, "part").select("p_partkey", F.explode(F.split("p_name", " ")).alias("tag"))
-    lists = id_lists(tagged, "tag", "p_partkey", LIST_LIMIT)
+    lists = id_lists(tagged, "tag", "p_partkey", LIST_CHUNKS)
     return lists.select("tag", "chunk", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
 
 
@@ -406,17 +406,18 @@ def last_writer_wins(spark, sf_dir):
     )
 
 
-@query("""SELECT event_type, CAST(min(CAST(ts AS DATE)) AS DATE) - 1 AS first_date FROM events GROUP BY 1""")
+@query(f"""SELECT event_type, coalesce(min(CASE WHEN event_id % 7 = 0 OR event_type = 'error' THEN NULL
+        ELSE CAST(ts AS DATE) END), CAST({AS_OF_SQL} AS DATE)) - 1 AS first_date FROM events GROUP BY 1""")
 def min_post_date(spark, sf_dir):
-    """The day before the first comment of each platform; texts that are no date do not count."""
+    """The day before the first comment of each platform; texts that are no date do not count.
+
+    One platform has none that is, and takes the day of the run.
+    """
+    no_date = (F.col("event_id") % 7 == 0) | (F.col("event_type") == "error")
     texts = frame(spark, sf_dir, "events").select(
-        "event_type",
-        F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.to_date("ts").cast("string")).alias("day"),
-    )
-    dates = texts.unionByName(
-        frame(spark, sf_dir, "events").select("event_type", F.to_date("ts").cast("string").alias("day"))
+        "event_type", F.when(no_date, "00 soon").otherwise(F.to_date("ts").cast("string")).alias("day")
     )
-    return first_date(dates, "day", AS_OF, by=["event_type"])
+    return first_date(texts, "day", AS_OF, by=["event_type"])
 
 
 @query("SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")

@@ -17,8 +17,26 @@ def hash_number(*keys: str) -> str:
     return number_of("concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")")
 
 
+def _measured(key: str) -> str:
+    as_text = f"CAST({key} AS VARCHAR)"
+    return f"CAST(length({as_text}) AS VARCHAR) || ':' || {as_text}"
+
+
 def hash_id(*keys: str) -> str:
-    return number_of(" || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys))
+    return "md5(" + " || ".join(_measured(k) for k in keys) + ")"
+
+
+def row_id(scope: str, *columns: str) -> str:
+    return f"md5('{scope};' || " + " || ".join(f"coalesce({_measured(c)}, '~')" for c in columns) + ")"
+
+
+def parsed_long(column: str) -> str:
+    """A whole number that fits a bigint, as text; else NULL."""
+    as_text = f"trim(CAST({column} AS VARCHAR))"
+    return (
+        f"CASE WHEN regexp_full_match({as_text}, '[+-]?[0-9]+') "
+        f"THEN CAST(TRY_CAST({as_text} AS BIGINT) AS VARCHAR) END"
+    )
 
 
 def pick_int(low: int, high: int, *keys: str) -> str:

@@ -171,7 +171,7 @@ def csv_export(spark, sf_dir):
     summary = frame(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("lines")
     )
-    export_csv(summary, path)
+    export_csv(summary, path, single_file=True)
     back = read_csv(spark, path, infer=False)
     return back.withColumn("lines", F.col("lines").cast("bigint"))
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwater.operators.aggregates import high_water
-from tillwater.operators.keys import dedup_on, number_rows, recent
+from tillwater.operators.keys import dedup_on, recent
 from tillwater.operators.upsert import merge_all, merge_cols, require_single_match
-from tillwater.plans import calendar, retail, reviews, sales
+from tillwater.plans import calendar, retail, sales
 from tillwater.sources.tables import stage
 from workload import duck
 from workload.registry import query
@@ -257,32 +257,3 @@ def high_water_mark(spark, sf_dir):
     return high_water(frame(spark, sf_dir, "lineitem"), "l_shipdate").select(
         F.col("l_shipdate").cast("date").alias("l_shipdate")
     )
-
-
-BUCKET = "CAST({hash} % 256 AS INTEGER)"
-
-
-def _numbered(table: str, key: str, name: str) -> str:
-    bucket = BUCKET.format(hash=duck.hash_number(key))
-    return f"""SELECT {key} AS {name},
-        row_number() OVER (ORDER BY {bucket}, {key}) - 1 AS place
-        FROM (SELECT DISTINCT {key} FROM {table} WHERE {key} IS NOT NULL)"""
-
-
-@query(_numbered("customer", "c_custkey", "c_custkey"))
-def dense_numbers(spark, sf_dir):
-    return number_rows(frame(spark, sf_dir, "customer"), "c_custkey", "place")
-
-
-@query(f"""WITH p AS ({_numbered('part', 'p_partkey', 'product_id')}),
-    c AS ({_numbered('customer', 'c_custkey', 'client_id')})
-    SELECT d.doc_id, d.lang, d.n_chars, p.product_id AS "ProductId", c.client_id AS "UserId"
-    FROM documents d
-    LEFT JOIN p ON p.place = {duck.hash_number('d.doc_id', "'ProductId'")} % (SELECT count(*) FROM p)
-    LEFT JOIN c ON c.place = {duck.hash_number('d.doc_id', "'UserId'")} % (SELECT count(*) FROM c)""")
-def hash_pick(spark, sf_dir):
-    """Every document as a review with a product and a client."""
-    written = frame(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    products = frame(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"))
-    clients = frame(spark, sf_dir, "customer").select(F.col("c_custkey").alias("client_id"))
-    return reviews.assign_keys(written, products, clients, "doc_id")

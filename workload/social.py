@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwater.plans import platforms, social_entities, social_star
+from tillwater.sources.files import scratch_folder
+from tillwater.sources.tables import publish, read_table
 from workload import duck
 from workload.columns import AS_OF, INSTAGRAM_HANDLE, TIKTOK_HANDLE, TWITTER_NAME
 from workload.registry import query
@@ -148,8 +150,10 @@ def _silver_posts(name: str, source: str, post_id: str, user_id: str, content: s
 
 
 POST_ORDER = ("user_id NULLS LAST, post_content NULLS LAST, post_date, post_url NULLS LAST, post_type NULLS LAST")
+HAS_ID = "(SELECT * FROM rows WHERE trim(post_id) <> '')"
+FACEBOOK_POST = f"coalesce(nullif(post_id, ''), {duck.last_segment('post_url')})"
 EACH_POST = [
-    _silver_posts("Facebook", "facebook", "post_id", "user_id", "NULL", "post_url"),
+    _silver_posts("Facebook", "facebook", FACEBOOK_POST, "user_id", "NULL", "post_url"),
     _silver_posts("Instagram", "instagram", "post_id", duck.hash_id("'Instagram'", URL_ID), "NULL", "post_url"),
     _silver_posts("TikTok", "tiktok", "post_id", duck.hash_id("'TikTok'", SHOP_URL), "NULL", "post_url"),
     _silver_posts("Twitter", "twitter", "id", duck.hash_id("'Twitter'", X_NAME), "description", "url"),
@@ -157,12 +161,30 @@ EACH_POST = [
 
 
 @query(ctes("facebook", "instagram", "tiktok", "twitter", rows=" UNION ALL ".join(EACH_POST))
-       + duck.first_row("post_id, user_id, post_content, post_date, post_url, post_type", "rows", "post_id", POST_ORDER))
+       + duck.first_row("post_id, user_id, post_content, post_date, post_url, post_type", HAS_ID,
+                        "post_type, post_id", POST_ORDER))
 def platform_posts(spark, sf_dir):
-    """Posts of all four platforms, one row per id."""
+    """Posts of all four platforms, one row per platform and id."""
     return _silver(spark, sf_dir)["post"]
 
 
+@query(ctes("facebook", "instagram", "tiktok", "twitter") + " UNION ALL ".join(
+    f"SELECT '{name}' AS post_type, count(DISTINCT nullif(trim(CAST({post_id} AS VARCHAR)), '')) AS posts FROM {source}"
+    for name, source, post_id in (
+        ("Facebook", "facebook", FACEBOOK_POST), ("Instagram", "instagram", "post_id"),
+        ("TikTok", "tiktok", "post_id"), ("Twitter", "twitter", "id"))))
+def platform_post_counts(spark, sf_dir):
+    """How many posts of each platform silver holds: as many as the platform has different ids."""
+    return _silver(spark, sf_dir)["post"].groupBy("post_type").agg(F.count(F.lit(1)).alias("posts"))
+
+
+@query(ctes("facebook", "instagram", "tiktok", "twitter", rows=" UNION ALL ".join(EACH_POST))
+       + "SELECT * FROM rows WHERE coalesce(trim(post_id), '') = ''")
+def platform_rejected(spark, sf_dir):
+    """Posts without any id."""
+    return _silver(spark, sf_dir)["post_rejected"]
+
+
 TAGGED = f"""SELECT DISTINCT CAST(post_id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
     FROM (SELECT post_id, unnest({duck.tags('hashtag_comment', True)}) AS tag FROM instagram)"""
 TAGGED_X = f"""SELECT DISTINCT CAST(id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
@@ -242,6 +264,32 @@ def date_ids(spark, sf_dir):
     return social_star.dim_date(frame(spark, sf_dir, "silver_posts"))
 
 
+@query(ctes("silver_posts", days="SELECT CAST(post_date AS DATE) AS d, min(post_id % 2) AS late FROM ("
+                            "SELECT CAST(post_id AS BIGINT) AS post_id, post_date FROM silver_posts) "
+                            "WHERE post_date < TIMESTAMP '2024-01-10' OR post_id % 2 = 1 GROUP BY 1 HAVING d IS NOT NULL")
+       + """SELECT d AS full_date, CAST(row_number() OVER (ORDER BY late, d) AS INTEGER) AS date_id FROM days""")
+def date_ids_twice(spark, sf_dir):
+    """Date ids after a second run of the gold step: the first run's days keep theirs."""
+    folder = scratch_folder(spark, "gold-twice")
+    posts = frame(spark, sf_dir, "silver_posts")
+    late = F.col("post_id").cast("bigint") % 2 == 1
+    early = posts.filter(~late & (F.col("post_date") < "2024-01-10"))
+    links = frame(spark, sf_dir, "post_links")
+    tag = F.concat(F.lit("tag "), F.col("hashtag_id").cast("string"))
+    tables = {
+        "user": frame(spark, sf_dir, "silver_users"),
+        "hashtag": links.select(F.col("hashtag_id").alias("hastag_id"), tag.alias("hashtag_text")).distinct(),
+        "post_hashtag": links.select("post_id", "hashtag_id").distinct(),
+        "user_mentions": links.select("post_id", "mentioned_user_id").distinct(),
+    }
+    for name, rows in tables.items():
+        publish(rows, f"{folder}/silver/{name}")
+    for rows in (early, posts.filter(late | (F.col("post_date") < "2024-01-10"))):
+        publish(rows, f"{folder}/silver/post")
+        social_star.refresh_gold(spark, f"{folder}/silver", f"{folder}/gold")
+    return read_table(spark, f"{folder}/gold/dim_date")
+
+
 def _dated(spark, sf_dir):
     posts = frame(spark, sf_dir, "repeated_posts")
     return social_star.post_dates(posts, social_star.dim_date(posts))

@@ -265,7 +265,7 @@ SELECT CASE WHEN event_id % 9 = 0 THEN CAST(NULL AS STRING)
        CASE WHEN event_id % 8 = 0 THEN CAST(NULL AS STRING)
             ELSE 'https://www.tiktok.com/@shop/video/' || CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING)
             END AS post_url,
-       CASE event_id % 3 WHEN 0 THEN CAST(event_id AS STRING) WHEN 1 THEN '7123456789012345678'
+       CASE event_id % 3 WHEN 0 THEN CAST(7200000000000000000 + event_id AS STRING) WHEN 1 THEN '7123456789012345678'
             ELSE CAST(NULL AS STRING) END AS post_id,
        CASE WHEN event_id % 6 = 1 THEN 'yesterday' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS post_date_created,
        CASE WHEN event_id % 6 = 2 THEN CAST(NULL AS STRING)
@@ -292,7 +292,9 @@ FROM {{events}} {where}
 
 def _twitter(where: str) -> str:
     return f"""
-SELECT CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS INT) ELSE CAST(event_id AS INT) END AS id,
+SELECT CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 25 = 3 THEN '7123456789012345678'
+            WHEN event_id % 25 = 4 THEN 'n/a' WHEN event_id % 25 = 6 THEN '99999999999999999999'
+            ELSE CAST(1790000000000000000 + event_id AS STRING) END AS id,
        CASE event_id % 9 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN '' WHEN 2 THEN 'unknown'
             WHEN 3 THEN '"quoted' ELSE 'User ' || CAST(user_id AS STRING) END AS user_posted,
        CASE event_id % 7 WHEN 0 THEN 'unknown' WHEN 1 THEN 'https://x.com/a' WHEN 2 THEN '"q'
