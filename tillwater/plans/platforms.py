@@ -119,7 +119,7 @@ def resolve_mentions(mentioned: DataFrame, users: DataFrame) -> DataFrame:
 
 def facebook(df: DataFrame, as_of=None) -> PlatformRows:
     name, user_id = "Facebook", F.col("user_id")
-    post_id = first_post_id("post_id", F.lit(None).cast("string"), "post_url")
+    post_id = first_post_id(F.col("post_id").cast("string"), F.lit(None).cast("string"), "post_url")
     return PlatformRows(
         users=_users(df, user_id, F.col("user_name"), F.col("user_url"), name),
         posts=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), name, as_of),
