@@ -33,6 +33,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"{os.getcwd()}/spark-warehouse/_scratch")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -13,7 +13,8 @@ from tillwater.plans import calendar, loads, platforms, retail, sales, social_en
 from tillwater.sources import files
 from tillwater.sources.csv import export_csv, read_csv
 from tillwater.sources.schemas import CLIENTS, SILVER_USER, layout
-from tillwater.sources.tables import landed, publish, read_table, table_exists, upsert_table
+from tillwater.operators.upsert import merge_statement
+from tillwater.sources.tables import landed, mend, publish, read_table, table_exists, upsert_table
 
 PAIR = "k int, v string"
 
@@ -61,15 +62,50 @@ def test_a_failed_write_leaves_the_table(spark, tmp_path):
     assert rows(read_table(spark, path)) == [(1, "a")]
 
 
-def test_a_swap_cut_short_is_finished(spark, tmp_path):
+def test_a_swap_cut_short_is_mended_only_when_asked(spark, tmp_path):
     path = f"{tmp_path}/t"
     publish(frame(spark, [(1, "a")]), path)
     files.move(spark, path, f"{path}.previous")
-    assert table_exists(spark, path)
+    for step in (lambda: table_exists(spark, path), lambda: publish(frame(spark, [(2, "b")]), path)):
+        with pytest.raises(RuntimeError, match="cut short"):
+            step()
+    assert mend(spark, path) and not mend(spark, path)
     assert rows(read_table(spark, path)) == [(1, "a")]
     assert not table_exists(spark, f"{tmp_path}/none")
 
 
+def test_a_move_onto_a_present_folder_is_refused(spark, tmp_path):
+    one, other = f"{tmp_path}/one", f"{tmp_path}/other"
+    publish(frame(spark, [(1, "a")]), one)
+    publish(frame(spark, [(2, "b")]), other)
+    with pytest.raises(FileExistsError):
+        files.move(spark, other, one)
+    assert rows(read_table(spark, one)) == [(1, "a")] and rows(read_table(spark, other)) == [(2, "b")]
+
+
+def test_merge_statement():
+    assert merge_statement("delta.`/t`", "batch", ["a", "b"]) == (
+        "MERGE INTO delta.`/t` AS target USING batch AS source ON target.a = source.a AND target.b = source.b "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+    mapped = merge_statement("t", "s", ["k"], {"p": "target.p + source.p"}, {"k": "source.k", "p": "source.p"})
+    assert mapped.endswith(
+        "WHEN MATCHED THEN UPDATE SET target.p = target.p + source.p "
+        "WHEN NOT MATCHED THEN INSERT (k, p) VALUES (source.k, source.p)"
+    )
+
+
+def test_partitions_that_do_not_move_need_no_key_scan(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k int, v string, day string"
+    upsert_table(spark, path, frame(spark, [(1, "a", "007"), (2, "b", "008")], schema), ["k"], partition_by=["day"])
+    before = _dirs(path)
+    upsert_table(
+        spark, path, frame(spark, [(2, "B", "008")], schema), ["k"], partition_by=["day"], partitions_move=False
+    )
+    assert before["day=007"] == _dirs(path)["day=007"]
+    assert rows(read_table(spark, path, schema=schema)) == [(1, "a", "007"), (2, "B", "008")]
+
+
 def test_scratch_is_in_the_folder_the_session_names(spark, tmp_path):
     folder = files.scratch_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
@@ -287,9 +323,10 @@ def test_retail_layers_end_to_end(spark, tmp_path):
 
     bronze, silver, facts = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "facts"))
     publish(standin(spark, sf_dir, "bronze_purchases"), bronze)
-    for as_of in ("1999-01-08", "2000-01-08", "2000-01-08"):
+    for as_of, since in (("1999-01-08", None), ("2000-01-08", "2000-01-01"), ("2000-01-08", "2000-01-01")):
         retail.refresh_silver(spark, "purchases", bronze, silver, as_of)
-        sales.refresh_facts(spark, silver, facts, partition_by=["store_id"])
+        # only the silver rows that came in since the last run are folded in
+        sales.refresh_facts(spark, silver, facts, partition_by=["store_id"], since=since)
         table = read_table(spark, facts)
         assert table.count() == read_table(spark, silver).count()
         assert table.groupBy("transaction_id", "product_id").count().filter("count > 1").isEmpty()
@@ -320,7 +357,8 @@ def test_cross_platform_layers_end_to_end(spark, tmp_path):
         _csv(str(tmp_path), f"{name}-datasets.csv", "user_url,post_url,date_created,hashtag_comment,tagged_users",
              [f"u/{name},p/1,2024-01-05, Sale ,u/{name}", f"u/{name},p/2,2024-01-03,sale,u/none"])
     bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
-    social_entities.load_entities(spark, paths, bronze, as_of="2024-02-01")
+    assert set(social_entities.platform_files(spark, str(tmp_path))) == set(paths)
+    social_entities.load_entities(spark, str(tmp_path), bronze, as_of="2024-02-01")
     social_entities.refresh_silver(spark, bronze, silver)
     posts = read_table(spark, f"{silver}/dim_posts").collect()
     # Moved back by one day once, not once per layer.

@@ -89,3 +89,20 @@ def merge_cols(
 def same_named(columns: Sequence[str]) -> dict[str, str]:
     """A column map that takes each column from the source column of that name."""
     return {c: f"source.{c}" for c in columns}
+
+
+def merge_statement(
+    target: str,
+    source: str,
+    keys: Sequence[str],
+    set: Mapping[str, str] | None = None,
+    values: Mapping[str, str] | None = None,
+) -> str:
+    """MERGE text for a table format that supports it; without column maps, whole rows."""
+    matched = "SET *" if set is None else "SET " + ", ".join(f"target.{c} = {e}" for c, e in set.items())
+    added = "*" if values is None else f"({', '.join(values)}) VALUES ({', '.join(values.values())})"
+    same = " AND ".join(f"target.{k} = source.{k}" for k in keys)
+    return (
+        f"MERGE INTO {target} AS target USING {source} AS source ON {same} "
+        f"WHEN MATCHED THEN UPDATE {matched} WHEN NOT MATCHED THEN INSERT {added}"
+    )

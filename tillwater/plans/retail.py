@@ -36,13 +36,25 @@ RECENT_DAYS = 7
 
 
 def silver_rows(
-    bronze: DataFrame, keys: Sequence[str], as_of, days: int = RECENT_DAYS
+    bronze: DataFrame, keys: Sequence[str], as_of, days: int = RECENT_DAYS, keep_day: bool = False
 ) -> DataFrame:
-    """The newest version per key among the rows of the last ``days`` days."""
+    """The newest version per key among the rows of the last ``days`` days.
+
+    ``keep_day`` adds ``ingestion_date``, by which later steps find what a run changed.
+    """
     require_columns(bronze, [*keys, "ingestion_time"])
     if "ingestion_date" in bronze.columns:
         bronze = bronze.filter(F.col("ingestion_date") >= F.to_date(days_before(as_of, days)))
-    return latest(recent(bronze, "ingestion_time", days, as_of), keys, "ingestion_time", BRONZE_HELPERS)
+    rows = recent(bronze, "ingestion_time", days, as_of)
+    if not keep_day:
+        return latest(rows, keys, "ingestion_time", BRONZE_HELPERS)
+    newest = latest(rows, keys, "ingestion_time", [c for c in BRONZE_HELPERS if c != "ingestion_time"])
+    return newest.withColumn("ingestion_date", F.to_date("ingestion_time")).drop("ingestion_time")
+
+
+def changed_since(silver: DataFrame, since) -> DataFrame:
+    """The silver rows that came in on ``since`` or later, by a filter the scan can use; all for None."""
+    return silver if since is None else silver.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
 
 
 def refresh_silver(
@@ -56,7 +68,7 @@ def refresh_silver(
     keys: Sequence[str] | None = None,
 ) -> None:
     keys = keys or KEYS[table]
-    rows = silver_rows(read_table(spark, bronze_path, fmt), keys, as_of)
+    rows = silver_rows(read_table(spark, bronze_path, fmt), keys, as_of, keep_day=True)
     # One row per key by construction: no need to look for repeated keys.
     upsert_table(spark, silver_path, rows, keys, fmt, partition_by, check=False)
 
@@ -78,9 +90,10 @@ def merge_gold(target: DataFrame, rows: DataFrame, table: str) -> DataFrame:
 
 
 def refresh_gold(
-    spark: SparkSession, table: str, silver_path: str, gold_path: str, fmt: str = "parquet"
+    spark: SparkSession, table: str, silver_path: str, gold_path: str, fmt: str = "parquet", since=None
 ) -> None:
-    rows = gold_rows(read_table(spark, silver_path, fmt), table)
+    """Fold the silver rows that came in since the day of the last run (all for None) into gold."""
+    rows = gold_rows(changed_since(read_table(spark, silver_path, fmt), since), table)
     upsert_table(
         spark, gold_path, rows, KEYS[table], fmt,
         merge=lambda target, source: merge_gold(target, source, table),

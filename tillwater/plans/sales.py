@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwater.functions.dates import date_key
 from tillwater.operators.upsert import merge_cols, same_named
-from tillwater.plans.retail import KEYS
+from tillwater.plans.retail import KEYS, changed_since
 from tillwater.sources.tables import publish, read_table, upsert_table
 
 # Fixed values of the first build.
@@ -85,15 +85,19 @@ def refresh_facts(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     keys: Sequence[str] = FACT_KEYS,
+    since=None,
+    partitions_move: bool = True,
 ) -> None:
-    """Fold silver purchases into the facts; partitioned facts rewrite touched partitions only.
+    """Fold the silver purchases that came in since the day of the last run into the facts.
 
-    With the partition column among the keys, the other partitions are not read either.
+    Partitioned facts rewrite touched partitions only.  With the partition column among the
+    keys, or ``partitions_move=False`` (a purchase line keeps its day), the other partitions
+    are not read either.
     """
-    batch = increment_facts(read_table(spark, silver_path, fmt))
+    batch = increment_facts(changed_since(read_table(spark, silver_path, fmt), since))
     upsert_table(
         spark, facts_path, batch, keys, fmt, partition_by,
-        merge=lambda facts, batch: merge_facts(facts, batch, keys),
+        merge=lambda facts, batch: merge_facts(facts, batch, keys), partitions_move=partitions_move,
     )
 
 

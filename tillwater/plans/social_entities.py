@@ -180,18 +180,27 @@ def entities(rows: DataFrame, as_of=None) -> dict[str, DataFrame]:
 
 
 def load_entities(
-    spark: SparkSession, csv_paths: Mapping[str, str], bronze_path: str, fmt: str = "parquet", as_of=None
+    spark: SparkSession, source: Mapping[str, str] | str, bronze_path: str, fmt: str = "parquet", as_of=None
 ) -> None:
-    """Platform name -> CSV file: read as strings, derive the entities, write bronze tables.
+    """CSV files by platform, or a folder of them: read as strings, write the entities to bronze.
 
     The CSV text is parsed once, into the few columns that the five tables share.
     """
-    raw = {name: read_csv(spark, path, infer=False) for name, path in csv_paths.items()}
+    paths = platform_files(spark, source) if isinstance(source, str) else source
+    raw = {name: read_csv(spark, path, infer=False) for name, path in paths.items()}
     unified, staged = stage(unify(raw), "unified")
-    for table, rows in entities(unified, as_of).items():
-        stamped = rows.withColumn("ingestion_time", F.current_timestamp())
-        publish(stamped, f"{bronze_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)
-    files.delete(spark, staged)
+    try:
+        for table, rows in entities(unified, as_of).items():
+            stamped = rows.withColumn("ingestion_time", F.current_timestamp())
+            publish(stamped, f"{bronze_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)
+    finally:
+        files.delete(spark, staged)
+
+
+def platform_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Platform name -> its CSV files in a folder; the name is the text before a file's first dash."""
+    names = {n.partition("-")[0] for n in files.names(spark, folder) if n.lower().endswith(".csv") and "-" in n}
+    return {name: f"{folder.rstrip('/')}/{name}-*.csv" for name in sorted(names)}
 
 
 def clean_posts(posts: DataFrame, days_back: int = 0) -> DataFrame:

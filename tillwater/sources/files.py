@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,12 +24,21 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; onto a present one it would land inside it, so that is refused."""
     fs, source_path = _resolve(spark, source)
     _, target_path = _resolve(spark, target)
+    if fs.exists(target_path):
+        raise FileExistsError(f"{target} is there already; {source} was left where it is")
     if not fs.rename(source_path, target_path):
         raise OSError(f"could not move {source} to {target}")
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the files in a folder, sorted."""
+    fs, path = _resolve(spark, folder)
+    return sorted(status.getPath().getName() for status in fs.listStatus(path) if status.isFile())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)
@@ -39,12 +47,10 @@ def delete(spark: SparkSession, path: str) -> None:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster session
-    must name one, since a machine-local folder is not visible to its executors.
+    A session without that setting gets a folder below its warehouse, which all executors
+    reach as well; never one of a single machine's temporary folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tillwater-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwater.operators.keys import lookup_join
-from tillwater.operators.upsert import merge_all, require_single_match
+from tillwater.operators.upsert import merge_all, merge_statement, require_single_match
 from tillwater.sources import files
 
 # Formats whose table is just the files below its path.
 FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 # Formats that keep their own schema, so a write can be checked against it.
 TYPED_FORMATS = {"parquet", "orc", "delta"}
+# The view that a MERGE reads its batch from.
+MERGE_SOURCE = "_upsert_source"
 
 
 def _previous(path: str) -> str:
@@ -24,15 +26,25 @@ def _previous(path: str) -> str:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table is at ``path``; finishes a swap that was cut short."""
+    """Whether a table is at ``path``; a swap that was cut short is an error, see :func:`mend`."""
     if files.exists(spark, path):
         return True
     if files.exists(spark, _previous(path)):
-        files.move(spark, _previous(path), path)
-        return True
+        raise RuntimeError(f"a publish to {path} was cut short or is under way; if none is, call mend()")
     return False
 
 
+def mend(spark: SparkSession, path: str) -> bool:
+    """Undo a swap that was cut short: the table before it is back.  True if there was one.
+
+    To be called when no publish is under way, which only the caller can know.
+    """
+    if files.exists(spark, path) or not files.exists(spark, _previous(path)):
+        return False
+    files.move(spark, _previous(path), path)
+    return True
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
@@ -74,7 +86,10 @@ def publish(
     """Write ``df`` to ``path``; ``overwrite`` and ``append`` check the table's columns.
 
     An overwrite of a file table is written next to it and moved into place, so
-    ``df`` may read the table it replaces, and a failed job leaves the table alone.
+    ``df`` may read the table it replaces, and a failed job leaves the table alone.  A
+    second publish between the two moves is refused, and so is a move onto a table that
+    appeared meanwhile; a reader between them finds no table.  Where that matters, or
+    where a rename copies (object stores), use a transactional format.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
@@ -137,6 +152,7 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     check: bool = True,
     merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    partitions_move: bool = True,
 ) -> None:
     """Create the table on the first write; later replace rows by key and add new ones.
 
@@ -145,28 +161,44 @@ def upsert_table(
     With ``partition_by``, only the partitions that ``source`` touches are rewritten.  A
     batch that moves a row to another partition, or has NULL in a partition column,
     rewrites the whole table, which is exact in every case.  To tell, the keys of the
-    whole table are read; not so where the partition columns are among the keys.
+    whole table are read; not so where the partition columns are among the keys, or where
+    the caller states that rows never change their partition (``partitions_move=False``).
+    The touched folders are committed one by one: a job that fails between them leaves some
+    new and some old, and the same upsert run again puts that right.
+
+    A table of a transactional format is merged by its own MERGE.
     """
     if not table_exists(spark, path):
         publish(source, path, "overwrite", fmt, partition_by=partition_by)
         return
     source, batch = stage(source)
+    try:
+        _upsert(spark, path, source, keys, fmt, partition_by, check, merge, partitions_move)
+    finally:
+        files.delete(spark, batch)
+
+
+def _upsert(spark, path, source, keys, fmt, partition_by, check, merge, partitions_move) -> None:
     target = read_table(spark, path, fmt)
     if partition_by and fmt in FILE_FORMATS:
         # Directory names carry no types: read them with the types of the batch.
         target = read_table(spark, path, fmt, _with_types_of(source, target.schema, partition_by))
     if check:
         require_single_match(target, source, keys)
+    if merge is None and fmt not in FILE_FORMATS:
+        # a transactional table merges in place
+        source.createOrReplaceTempView(MERGE_SOURCE)
+        spark.sql(merge_statement(f"{fmt}.`{path}`", MERGE_SOURCE, keys))
+        return
     if merge is None:
         merge = lambda target, source: merge_all(target, source, keys)
-    if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by):
+    if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by, partitions_move):
         merged = merge(touched_rows(target, source, partition_by), source)
         _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
     else:
         publish(merge(target, source), path, "overwrite", fmt, partition_by=partition_by)
-    files.delete(spark, batch)
 
 
 def _with_types_of(
@@ -190,7 +222,11 @@ def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[st
 
 
 def _moves(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    partitions_move: bool = True,
 ) -> bool:
     """Whether a source row lacks a partition value or changes the one its key has."""
     no_partition = F.lit(False)
@@ -198,7 +234,7 @@ def _moves(
         no_partition = no_partition | F.col(column).isNull()
     if not source.filter(no_partition).isEmpty():
         return True
-    if set(partition_by) <= set(keys):
+    if not partitions_move or set(partition_by) <= set(keys):
         return False
     stays = F.lit(True)
     for column in partition_by:
