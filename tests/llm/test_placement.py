@@ -165,7 +165,9 @@ def test_plans_place_every_piece_once(capacity, groups, share):
             end += length
         assert end <= capacity
     assert len(used) == made.sequences
-    assert made.sequences <= 1.06 * sum(k * n for k, n in counts.items()) / capacity + 2
+    best = packing.plan(dict(counts), capacity, groups)
+    assert best.sequences <= made.sequences
+    assert best.sequences <= 1.02 * sum(k * n for k, n in counts.items()) / capacity + 2
 
 
 def test_packed_pieces_read_back(documents, odd_documents):
