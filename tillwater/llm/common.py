@@ -46,3 +46,13 @@ def constants(values: list[float]) -> Column:
 def whole_rows(df: DataFrame) -> Column:
     """All columns in one struct, so that columns added beside it cannot clash with them."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def where_late(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)``, evaluated on the columns as they stand.
+
+    A plain filter is pushed below the projections that make its columns, where it computes
+    them again, nested into each other. A column that may not be computed twice holds it back.
+    """
+    fenced = df.withColumn("_fence", F.monotonically_increasing_id())
+    return fenced.where(condition & (F.col("_fence") >= 0)).drop("_fence")

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.llm.common import BLANKS, constants, whole_rows, words
+from tillwater.llm.common import BLANKS, constants, where_late, whole_rows, words
 
 SAMPLE_ROWS = 20_000
 BUCKETS = 1 << 12
@@ -194,4 +194,4 @@ def keep(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THR
     """The documents that pass, with their own columns only."""
     weights = fit(docs, sample_rows)
     rated = tokens(docs.select(whole_rows(docs).alias("_row")), F.col("_row.text"), len(weights) - 1)
-    return rated.where(_probability(weights) >= threshold).select("_row.*")
+    return where_late(rated, _probability(weights) >= threshold).select("_row.*")

@@ -18,7 +18,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.llm.common import BLANKS, constants, whole_rows, words
+from tillwater.llm.common import BLANKS, constants, where_late, whole_rows, words
 
 BUCKETS = 1 << 14
 #: Labelled rows that fit the target, at most; those with the lowest hash of the id are taken.
@@ -150,5 +150,5 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> Da
     """The documents that pass, with their own columns only."""
     score = _score(fit(docs, labels))
     ruled = _ruled(docs.select(whole_rows(docs).alias("_row")), F.col("_row.text"))
-    passed = ruled.where("NOT base_failed").withColumn("_score", score).where(F.col("_score") >= threshold)
-    return passed.select("_row.*")
+    passed = where_late(ruled, ~F.col("base_failed")).withColumn("_score", score)
+    return where_late(passed, F.col("_score") >= threshold).select("_row.*")
