@@ -23,6 +23,11 @@ from tillwater.llm.common import BLANKS, constants, where_late, whole_rows, word
 BUCKETS = 1 << 14
 #: Labelled rows that fit the target, at most; those with the lowest hash of the id are taken.
 TRUSTED_ROWS = 20_000
+#: Share of the corpus in the smoothed target: it bounds the ratio below, at every size of corpus.
+BACKGROUND = 0.05
+#: Occurrences added to the seen and the expected ones of a bucket in the target, so that a bucket
+#: of few occurrences says little.
+FIRMNESS = 20
 #: Neutral n-grams added to each document, so that a handful of rare words decides nothing.
 PRIOR = 20
 #: Mean log-likelihood ratio, in nats per n-gram, from which a document is kept.
@@ -58,7 +63,7 @@ def _bucket(gram: Column, buckets: int) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
-    """log(p_target / p_corpus) by bucket, with add-one smoothing; ``buckets`` numbers."""
+    """log(p_target / p_corpus) by bucket, the target mixed with a little of the corpus; ``buckets`` numbers."""
     trusted = trusted_ids(labels, trusted_rows).select("doc_id", F.lit(1).alias("trusted"))
     hashed = _hashed(docs.select("doc_id", "text"), words(F.col("text"))).drop("text")
     grams = (
@@ -71,10 +76,12 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted_rows
     corpus, target = (sum(r[name] for r in found.values()) for name in ("corpus", "target"))
     if not target:
         return [0.0] * buckets
-    base = log(corpus + buckets) - log(target + buckets)
-    return [
-        log(found[b].target + 1) - log(found[b].corpus + 1) + base if b in found else base for b in range(buckets)
-    ]
+    ratios = [0.0] * buckets
+    for bucket, r in found.items():
+        expected = r.corpus * target / corpus
+        share = (r.target + FIRMNESS) / (expected + FIRMNESS)
+        ratios[bucket] = log((1 - BACKGROUND) * share + BACKGROUND)
+    return ratios
 
 
 def _score(weights: list[float]) -> Column:
