@@ -62,19 +62,18 @@ def _jumps(nodes: DataFrame) -> list[DataFrame]:
     rounds = [now]
     largest = now.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
     for _ in range(ceil(log2(largest)) + 1):
-        if now.where("up IS NOT NULL").isEmpty():
+        climbing, arrived = now.where("up IS NOT NULL"), now.where("up IS NULL")
+        if climbing.isEmpty():
             break
         above = now.select(
             F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"),
             F.col("depth").alias("depth2"), F.col("total").alias("total2"),
         )
-        now = cut(
-            now.join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")), "left").select(
-                "tree", "node", F.col("up2").alias("up"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            )
+        higher = climbing.join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n"))).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"),
+            (F.col("total") + F.col("total2")).alias("total"),
         )
+        now = cut(higher.unionByName(arrived))
         rounds.append(now)
     return rounds
 
@@ -88,16 +87,16 @@ def paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     ranked = leaves.withColumn("rank", F.row_number().over(best))
     if branches is not None:
         ranked = ranked.where(F.col("rank") <= branches)
-    found = ranked.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("bigint").alias("below"))
+    found = cut(
+        ranked.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("bigint").alias("below"))
+    )
     for k, jump in enumerate(rounds[:-1]):
+        # each message of a path is reached once: by the jumps that make up its distance from the leaf
         steps = jump.where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        here = F.struct("node", "below")
-        there = F.struct(F.col("up").alias("node"), (F.col("below") + 2**k).alias("below"))
-        both = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, there))
-        found = found.join(steps, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left")
-        found = found.select("tree", "leaf", "rank", F.explode(both).alias("_at")).select("tree", "leaf", "rank", "_at.*")
-        if k % 3 == 2:
-            found = cut(found)
+        reached = found.join(steps, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n"))).select(
+            "tree", "leaf", "rank", F.col("up").alias("node"), (F.col("below") + 2**k).alias("below")
+        )
+        found = cut(found.unionByName(reached))
     return found
 
 
