@@ -7,7 +7,7 @@ import numpy as np
 
 from tillwater.llm import quality_classifier, quality_rules
 
-PROSE = [f"the river number {k} runs past a quiet town where people {k % 7} meet and talk about {k % 11} things." for k in range(60)]
+PROSE = [f"the river {k % 5} runs past a quiet town where people {k % 7} meet and talk about {k % 11} things." for k in range(60)]
 JUNK = ["x### y&&& z%%% a*** b$$$ c### d&&& e%%% f*** g$$$ h### i&&& " + f"{k}###" for k in range(20)]
 
 
@@ -68,11 +68,9 @@ def test_ratio_equals_brute_force_and_rejects_junk(spark, documents):
     for k, t in [*enumerate(PROSE), *((100 + k, t) for k, t in enumerate(JUNK))]:
         raw.update(buckets(t))
         target.update(buckets(t) if k < 60 and k % 2 == 0 else [])
-    size = quality_rules.BUCKETS
-    ratio = {
-        b: np.log((target[b] + 1) / (sum(target.values()) + size)) - np.log((raw[b] + 1) / (sum(raw.values()) + size))
-        for b in raw
-    }
+    expected = {b: raw[b] * sum(target.values()) / sum(raw.values()) for b in raw}
+    share = {b: (target[b] + 20) / (expected[b] + 20) for b in raw}
+    ratio = {b: np.log(0.95 * x + 0.05) for b, x in share.items()}
     assert all(abs(weights[b] - r) < 1e-9 for b, r in ratio.items())
     grams = buckets(PROSE[5])
     assert abs(got[5].score - sum(ratio[b] for b in grams) / (len(grams) + quality_rules.PRIOR)) < 1e-6

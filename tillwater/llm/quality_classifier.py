@@ -165,7 +165,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS)
     chosen = keyed.select("key").distinct().orderBy("key").limit(sample_rows)
     sample = keyed.join(F.broadcast(chosen), "key")  # at most ``sample_rows`` keys
     counted = tokens(votes(sample, F.col("text")), F.col("text"), buckets).select(
-        "key", "_votes", F.explode("_tokens").alias("bucket")
+        "key", "_votes", F.explode_outer("_tokens").alias("bucket")  # outer: else a filter on it goes below the join
     )
     by_row = counted.groupBy("key", "_votes", "bucket").count().groupBy("key", "_votes").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "count"))).alias("counts")

@@ -68,7 +68,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted_rows
     hashed = _hashed(docs.select("doc_id", "text"), words(F.col("text"))).drop("text")
     grams = (
         hashed.join(F.broadcast(trusted), "doc_id", "left")
-        .select("trusted", F.explode(F.concat("_one", "_two")).alias("gram"))
+        .select("trusted", F.explode_outer(F.concat("_one", "_two")).alias("gram"))
+        .where("gram IS NOT NULL")
         .select("trusted", _bucket(F.col("gram"), buckets).alias("bucket"))
     )
     counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("trusted").alias("target"))
