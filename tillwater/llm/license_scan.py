@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwater.llm.common import where_late
+
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS, ROWS = 32, 2
@@ -139,7 +141,7 @@ def scan(
     hit = F.lit(False)
     for s in sizes:
         hit = hit | F.arrays_overlap(F.col(f"s{s}"), wanted[s])
-    near = shingled.where(hit)
+    near = where_late(shingled, hit)
 
     # all shapes of windows (shingle size, shingles, stride) in one list per document
     shapes = sorted({(t["size"], t["window"], t["stride"]) for t in known})
@@ -147,7 +149,9 @@ def scan(
         _windows(F.col(f"s{size}"), number, window, stride, wanted[size])
         for number, (size, window, stride) in enumerate(shapes)
     ]
-    opened = near.select("doc_id", F.explode(F.concat(*windows)).alias("w")).select("doc_id", "w.*")
+    # outer: else the list is computed twice, first for a filter on its size
+    opened = near.select("doc_id", F.explode_outer(F.concat(*windows)).alias("w")).where("w IS NOT NULL")
+    opened = opened.select("doc_id", "w.*")
     banded = opened.withColumn("band", F.explode(_minima(F.col("window"))))
 
     rows = [
