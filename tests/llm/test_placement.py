@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillwater.llm import mixing, packing, sharding, tokens
 
@@ -112,6 +113,17 @@ def test_the_mix_holds_each_row_as_often_as_taken(documents):
     assert all(got[k] == n for k, n in times.items())
 
 
+def test_rows_of_a_shard_lie_together(documents):
+    docs = many(documents)
+    rows = mixing.taken(docs, shards=4).collect()
+    assert all(r.taken == r.size * len(r.shards) for r in rows)
+    want = {s: Counter(r.doc_id for r in rows for x in r.shards if x == s) for s in range(4)}
+    laid = mixing.mixed(docs, shards=4).withColumn("part", F.spark_partition_id()).collect()
+    ranges = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    got = {s: Counter(r.doc_id for r in laid if r.part // ranges == s) for s in range(4)}
+    assert got == want and all(want.values())
+
+
 def test_the_splitting_tree_keeps_quotas():
     quotas, sizes = np.array([50, 0, 7, 300]), mixing._even(357, 11)
     made = mixing.splitting_tree(quotas, sizes, 1)

@@ -16,7 +16,8 @@ node the left half's blocks are a multivariate-hypergeometric draw from the node
 that each leaf (shard) has its exact number of blocks, distributed as in a full random
 permutation of all blocks. The tree runs over a fixed number of source groups on the driver,
 then within each group over its sources on the executors. Shards then take disjoint ranges
-of a source's permuted blocks and order their documents by a hash.
+of a source's permuted blocks and order their documents by a hash. ``taken`` counts the copies
+that stand in shards; ``mixed`` brings the rows of a shard together.
 
 Defined results: a NULL or empty text has size 0; NULL sources form one source, ordered last;
 rows equal in id, source and size are taken together; an empty table gives no rows; extra
@@ -162,11 +163,11 @@ def draw(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return both.drop("state", "left", "quota", "more", "full"), sources
 
 
-def taken(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (words)."""
-    units, _ = draw(docs)
-    return units.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
+def taken(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken (words), shards (of its copies)."""
+    return _dealt(cut(draw(docs)[0]), shards).select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("size") * F.size("shards")).alias("taken"), "shards",
         F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_row"),
     ).drop("_row")
 
@@ -221,27 +222,39 @@ def block_shards(blocks: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return joined.select("source", "block", "copy", shard.alias("shard"))
 
 
+def _dealt(units: DataFrame, shards: int) -> DataFrame:
+    """``units`` with ``shards``, the output shard of each copy that is taken."""
+    drawn = units.where("times > 0").groupBy("source", "block").agg(F.max("times").alias("_n"))
+    blocks = drawn.select("source", "block", F.explode(F.sequence(F.lit(1), "_n")).alias("copy"))
+    # a block has at most MOST copies
+    lists = block_shards(blocks, shards).groupBy("source", "block").agg(
+        F.array_sort(F.collect_list(F.struct("copy", "shard")))["shard"].alias("_shards")
+    ).withColumnsRenamed({"source": "_source", "block": "_block"})
+    same = units["source"].eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
+    own = F.coalesce(F.slice("_shards", F.lit(1), F.col("times")), F.array().cast("array<int>"))
+    return units.join(lists, same, "left").withColumn("shards", own).drop("_source", "_block", "_shards")
+
+
 def mixed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The rows of the mix (as often as taken) with their own columns, ordered within shards."""
-    units, _ = draw(docs)
-    units = cut(units.where("times > 0").select("source", "doc_id", "size", "block", "times", "order"))
-    blocks = units.groupBy("source", "block").agg(F.max("times").alias("_n")).select(
-        "source", "block", F.explode(F.sequence(F.lit(1), "_n")).alias("copy")
-    )
-    dealt = block_shards(blocks, shards).select(
-        F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("copy").alias("_c"), "shard"
-    )
-    copies = units.withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
-    place = copies.join(
-        dealt, copies["source"].eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")) & (F.col("copy") == F.col("_c"))
-    ).select(
+    """The rows of the mix (as often as taken) with their own columns, each partition of one shard, in its order.
+
+    A shard is cut into ranges of its order, as many as make the session's number of shuffle
+    partitions; partition (written file) k holds rows of shard k // ranges only.
+    """
+    copies = _dealt(cut(draw(docs)[0]), shards).select(
         F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("size").alias("_n_words"),
-        "shard", F.xxhash64(F.lit(SEED + 1), "order", "copy").alias("_order"),
+        "order", F.posexplode("shards").alias("copy", "shard"),
     )
+    place = copies.withColumn("_order", F.xxhash64(F.lit(SEED + 1), "order", "copy")).drop("order", "copy")
     sized = docs.select(whole_rows(docs).alias("_row")).withColumn("_size", _size(F.col("_row.text")))
     same = (
         F.col("_row.source").eqNullSafe(F.col("_source"))
         & F.col("_row.doc_id").eqNullSafe(F.col("_doc_id"))
         & (F.col("_size") == F.col("_n_words"))
     )
-    return sized.join(place, same).sortWithinPartitions("shard", "_order").select("_row.*")
+    ranges = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    # the upper 31 bits of the order, from 0, so that ranges follow each other in order
+    high = F.shiftright("_order", 33) + F.lit(1 << 30)
+    part = F.col("shard") * ranges + F.shiftright(high * ranges, 31)
+    dealt = sized.join(place, same).withColumn("_part", part.cast("int"))
+    return dealt.repartitionById(shards * ranges, "_part").sortWithinPartitions("_order").select("_row.*")
