@@ -27,6 +27,17 @@ def test_verbatim_and_edited_notices_are_found(spark, documents):
     assert got[(7, "MIT")].start_word == 0
 
 
+def test_common_licences_are_found_by_notice_header_and_text(spark, documents):
+    texts = license_scan.TEMPLATES
+    named = ["BSD-2-Clause-text", "BSD-3-Clause-text", "ISC-text", "MPL-2.0-header", "LGPL-2.1-header", "AGPL-3.0-header",
+             "GPL-2.0-header", "CC-BY-4.0-notice", "CC-BY-SA-4.0-long-notice", "CC0-1.0-text", "Unlicense-text",
+             "MIT-disclaimer", "MIT-text", "Apache-2.0-text", "GPL-3.0-text", "MPL-2.0-text"]
+    docs = documents(*[(k, f"some words before {texts[name]} and after it") for k, name in enumerate(named)])
+    got = {(r.doc_id, r.license): r.containment for r in license_scan.scan(docs).collect()}
+    assert all(got[(k, name)] == 1 for k, name in enumerate(named))
+    assert (7, "CC-BY-NC-4.0") not in got and (6, "GPL-3.0-text") not in got
+
+
 def test_scan_plan_has_no_python(spark, documents):
     found = license_scan.scan(documents((1, "All rights reserved.")))
     plan = found._jdf.queryExecution().executedPlan().toString()

@@ -9,8 +9,10 @@ and a verbatim passage (0.8 or more) with 1 - 1e-14. Retrieved pairs are verifie
 shingles themselves. Windows without any template shingle can share no minimum and are left
 out before hashing, which changes no result. Native columns only.
 
-The templates are a parameter (a short list, hence constants and a broadcast of their bands);
-``TEMPLATES`` holds common notices.
+The templates are a parameter (a bounded list, hence constants and a broadcast of their bands);
+``TEMPLATES`` holds the notices, file headers and full texts of common licences, see
+``license_texts``. A window is only cut where a document holds ``CONTAINMENT`` of the template's
+number of shingles, so that long texts cost short documents nothing.
 
 Defined results: a NULL or empty text matches nothing; rows of one id (also NULL) are one
 document; of equally good windows the earliest counts; an empty table gives no rows; extra
@@ -19,9 +21,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwater.llm import license_texts
 from tillwater.llm.common import where_late
 
 SHINGLE = 5
@@ -54,7 +59,12 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."
     ),
+    **license_texts.NOTICES,
+    **license_texts.HEADERS,
+    **license_texts.TEXTS,
+    **license_texts.long_texts(),
 }
+TEMPLATES["MIT-text"] = f"{TEMPLATES['MIT-permission']} {TEMPLATES['MIT-disclaimer']}"
 
 
 def _hashes(text: Column) -> Column:
@@ -94,10 +104,10 @@ def _minima(shingles: Column) -> Column:
     ])
 
 
-def _windows(shingles: Column, number: int, window: int, stride: int, wanted: Column) -> Column:
-    """The windows of one shape that hold any template shingle."""
+def _windows(shingles: Column, number: int, window: int, stride: int, wanted: Column, least: int) -> Column:
+    """The windows of one shape that hold any of its templates' shingles, if the text holds ``least`` shingles."""
     starts = F.when(
-        F.size(shingles) > 0, F.sequence(F.lit(0), F.size(shingles) - 1, F.lit(stride))
+        (F.size(shingles) >= least) & F.arrays_overlap(shingles, wanted), F.sequence(F.lit(0), F.size(shingles) - 1, F.lit(stride))
     ).otherwise(F.array().cast("array<int>"))
     cut_out = F.transform(
         starts,
@@ -106,7 +116,9 @@ def _windows(shingles: Column, number: int, window: int, stride: int, wanted: Co
             F.array_distinct(F.slice(shingles, at + 1, window)).alias("window"),
         ),
     )
-    return F.filter(cut_out, lambda w: F.arrays_overlap(w["window"], wanted))
+    return F.filter(
+        cut_out, lambda w: (F.size(w["window"]) >= least) & F.arrays_overlap(w["window"], wanted)
+    )
 
 
 def _templates(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
@@ -135,8 +147,14 @@ def scan(
     if not known:
         return spark.createDataFrame([], f"doc_id {kind}, license string, containment double, start_word bigint")
     sizes = sorted({t["size"] for t in known})
-    longs = lambda values: F.array(*[F.lit(v) for v in values])
-    wanted = {s: longs(sorted({h for t in known if t["size"] == s for h in t["shingles"]})) for s in sizes}
+
+    def longs(values: set[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, sorted(values)))), ",").cast("array<bigint>")
+
+    def shape(t: dict) -> tuple[int, int, int]:
+        return t["size"], t["window"], t["stride"]
+
+    wanted = {s: longs({h for t in known if t["size"] == s for h in t["shingles"]}) for s in sizes}
     shingled = _shingled(docs.select("doc_id", "text"), F.col("text"), sizes).select("doc_id", *[f"s{s}" for s in sizes])
     hit = F.lit(False)
     for s in sizes:
@@ -144,18 +162,19 @@ def scan(
     near = where_late(shingled, hit)
 
     # all shapes of windows (shingle size, shingles, stride) in one list per document
-    shapes = sorted({(t["size"], t["window"], t["stride"]) for t in known})
-    windows = [
-        _windows(F.col(f"s{size}"), number, window, stride, wanted[size])
-        for number, (size, window, stride) in enumerate(shapes)
-    ]
+    shapes = sorted({shape(t) for t in known})
+    windows = []
+    for number, (size, window, stride) in enumerate(shapes):
+        own = [t["shingles"] for t in known if shape(t) == (size, window, stride)]
+        least = max(1, ceil(containment * min(map(len, own)) - 1e-9))
+        windows.append(_windows(F.col(f"s{size}"), number, window, stride, longs(set().union(*own)), least))
     # outer: else the list is computed twice, first for a filter on its size
     opened = near.select("doc_id", F.explode_outer(F.concat(*windows)).alias("w")).where("w IS NOT NULL")
     opened = opened.select("doc_id", "w.*")
     banded = opened.withColumn("band", F.explode(_minima(F.col("window"))))
 
     rows = [
-        (t["license"], shapes.index((t["size"], t["window"], t["stride"])), t["shingles"]) for t in known
+        (t["license"], shapes.index(shape(t)), t["shingles"]) for t in known
     ]
     listed = spark.createDataFrame(rows, "license string, shape int, template array<bigint>")
     listed = listed.withColumn("band", F.explode(_minima(F.col("template"))))
