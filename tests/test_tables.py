@@ -365,3 +365,14 @@ def test_cross_platform_layers_end_to_end(spark, tmp_path):
     assert {str(r.post_date) for r in posts} == {"2024-01-02"} and len(posts) == 4
     assert read_table(spark, f"{silver}/dim_hashtags").count() == 2
     assert read_table(spark, f"{silver}/fact_user_mentions").filter("mentioned_user_id IS NULL").count() == 1
+
+
+def test_every_csv_of_a_folder_is_loaded(spark, tmp_path):
+    for name in ("facebook_datasets.csv", "Twitter-1.CSV", "Twitter-[2].csv"):
+        _csv(str(tmp_path), name, "user_url,post_url", [f"u/{name[-7:-4]},p/{name[:3]}"])
+    (tmp_path / "notes.txt").write_text("user_url\nu/none\n")
+    social_entities.load_entities(spark, str(tmp_path), f"{tmp_path}/bronze", as_of="2024-02-01")
+    users = read_table(spark, f"{tmp_path}/bronze/dim_users").collect()
+    assert sorted((r.type_of_account, r.display_name) for r in users) == [
+        ("Twitter", "[2]"), ("Twitter", "r-1"), ("facebook_datasets.csv", "ets"),
+    ]

@@ -7,6 +7,7 @@ its user's id without a join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -197,10 +198,15 @@ def load_entities(
         files.delete(spark, staged)
 
 
-def platform_files(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Platform name -> its CSV files in a folder; the name is the text before a file's first dash."""
-    names = {n.partition("-")[0] for n in files.names(spark, folder) if n.lower().endswith(".csv") and "-" in n}
-    return {name: f"{folder.rstrip('/')}/{name}-*.csv" for name in sorted(names)}
+def platform_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Platform name -> its CSV files in a folder; the name is the text before a file's first dash, or all of it."""
+    found: dict[str, list[str]] = {}
+    for name in files.names(spark, folder):
+        if name.lower().endswith(".csv"):
+            # readers take paths as patterns
+            path = f"{folder.rstrip('/')}/" + re.sub(r"([\\\[\]{}*?])", r"\\\1", name)
+            found.setdefault(name.partition("-")[0], []).append(path)
+    return dict(sorted(found.items()))
 
 
 def clean_posts(posts: DataFrame, days_back: int = 0) -> DataFrame:

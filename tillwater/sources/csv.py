@@ -11,7 +11,7 @@ from tillwater.functions.dates import as_timestamp
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     infer: bool = True,
     schema: StructType | None = None,
     **options,

@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 
 from tillwater.operators.keys import dedup_on
 from tillwater.operators.shape import align_union, conform
-from tillwater.plans import loads, marketplace, retail
-from tillwater.sources.csv import export_csv, read_csv, read_folder, with_platform
+from tillwater.plans import loads, marketplace, retail, social_entities
+from tillwater.sources.csv import export_csv, read_csv, read_folder
 from tillwater.sources.files import scratch_folder
 from tillwater.sources.schemas import PRODUCTS, SILVER_USER, TIKTOK_COMMENTS
 from tillwater.sources.tables import landed, publish, read_table, upsert_table
@@ -64,16 +64,22 @@ def csv_schema(spark, sf_dir):
 
 @query("""SELECT event_id, user_id, CAST(ts AS DATE) AS day, event_type AS platform FROM events""")
 def platform_from_file(spark, sf_dir):
-    """The platform from the file name: one folder of files per event type."""
+    """The platform from the file name: a folder of files per event type, loaded as social entities.
+
+    Each event is a user of its own, whose name holds the event's values.
+    """
     events = frame(spark, sf_dir, "events")
     folder = scratch_folder(spark, "platforms")
-    rows = events.select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type")
+    values = [F.coalesce(c.cast("string"), F.lit("")) for c in (F.col("event_id"), F.col("user_id"), F.to_date("ts"))]
+    rows = events.select(F.concat(F.lit("u/"), F.concat_ws("_", *values)).alias("user_url"), "event_type")
     rows.write.partitionBy("event_type").option("header", True).csv(folder)
     _name_files_by_platform(spark, folder)
-    found = with_platform(read_csv(spark, f"{folder}/named/*.csv", infer=False))
-    return found.select(
-        F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), F.col("day").cast("date"), "platform"
-    )
+    social_entities.load_entities(spark, f"{folder}/named", f"{folder}/bronze", as_of="2024-01-01")
+    value = F.split("display_name", "_")
+    return read_table(spark, f"{folder}/bronze/dim_users").select(
+        value[0].try_cast("bigint").alias("event_id"), value[1].try_cast("bigint").alias("user_id"),
+        value[2].try_cast("date").alias("day"), F.col("type_of_account").alias("platform"),
+    )
 
 
 def _name_files_by_platform(spark, folder):
