@@ -104,6 +104,18 @@ def test_targets_and_takings(documents):
     )
 
 
+def test_the_quota_goes_on_after_a_document_that_does_not_fit(documents):
+    draw = random.Random(3)
+    rows = [(k, " ".join(["w"] * draw.randrange(1, 30)), "long") for k in range(400)]
+    rows += [(1000, " ".join(["w"] * 4000), "long"), *((2000 + k, f"w w w w {k}", "other") for k in range(9000))]
+    rows += [(None, f"no id {k}", "nulls") for k in range(3000)]
+    got, target = Counter(), {}
+    for r in mixing.taken(documents(*rows)).collect():
+        got[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(0 <= target[s] - got[s] < 30 for s in target), (got, target)
+
+
 def test_the_mix_holds_each_row_as_often_as_taken(documents):
     docs = many(documents)
     times = {r.doc_id: r.taken // r.size for r in mixing.taken(docs).collect() if r.size}

@@ -8,8 +8,9 @@ sources.
 Draw: a target of r times the source's size takes every document floor(r) times and a random
 part of the rest once more. For that part the documents of a source are dealt by a hash into
 permuted blocks, blocks are taken whole in order of their number, and of the one block that
-the quota cuts, documents are taken largest first as they fit. A document stands in one block
-only, so no draw overlaps another.
+the quota cuts, documents are taken largest first as they fit. What is then left of the quota
+goes on to the documents that still fit, in rounds of the same kind, until none fits. A
+document stands in one block only, so no draw overlaps another.
 
 Split: the drawn blocks are exact quotas per source. A tree halves the output shards: at each
 node the left half's blocks are a multivariate-hypergeometric draw from the node's quotas, so
@@ -20,7 +21,7 @@ of a source's permuted blocks and order their documents by a hash. ``taken`` cou
 that stand in shards; ``mixed`` brings the rows of a shard together.
 
 Defined results: a NULL or empty text has size 0; NULL sources form one source, ordered last;
-rows equal in id, source and size are taken together; an empty table gives no rows; extra
+rows equal in id, source and text are taken together; an empty table gives no rows; extra
 columns are ignored by ``taken`` and kept by ``mixed``. All draws come from hashes and fixed
 seeds, so reruns agree.
 """
@@ -98,9 +99,9 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The units that are taken together: rows equal in id, source and size."""
-    sized = docs.select("doc_id", "source", _size(F.col("text")).alias("size"))
-    return sized.groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows"))
+    """The units that are taken together: rows equal in id, source and text."""
+    sized = docs.select("doc_id", "source", _size(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"))
+    return sized.groupBy("source", "doc_id", "size", "digest").agg(F.count("*").alias("rows"))
 
 
 def _greedy(block: pd.DataFrame) -> pd.DataFrame:
@@ -111,7 +112,63 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
         fits = 0 < n <= left
         left -= n if fits else 0
         more.append(int(fits))
-    return block.assign(more=more)[["source", "doc_id", "size", "more"]]
+    return block.assign(more=more)[["source", "order", "digest", "more"]]
+
+
+#: What names a unit.
+UNIT = ["source", "doc_id", "size", "digest"]
+
+
+def _fill(units: DataFrame) -> DataFrame:
+    """``units`` with ``more`` (0 or 1), up to the block that their source's ``left`` cuts, that block included.
+
+    Blocks are taken whole as they fit, in order of their number; the next one as ``_greedy`` does.
+    """
+    filled = units.groupBy("source", "block").agg(F.sum("words").alias("_words"), F.first("left").alias("_left"))
+    so_far = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = filled.withColumn("_upto", F.sum("_words").over(so_far))
+    before = F.col("_upto") - F.col("_words")
+    states = filled.where(before < F.col("_left")).select(
+        F.col("source").alias("_source"), F.col("block").alias("_block"),
+        (F.col("_upto") <= F.col("_left")).alias("whole"), (F.col("_left") - before).alias("_rest"),
+    )
+    same = units["source"].eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
+    placed = cut(units.join(states, same).withColumn("left", F.col("_rest")).drop("_source", "_block", "_rest"))
+    kind = dict(units.dtypes)["source"]
+    edge = placed.where("NOT whole")
+    picked = edge.groupBy("source").applyInPandas(
+        _greedy, f"source {kind}, order bigint, digest bigint, more int"
+    )  # no ids: beside NULLs, pandas makes floats of them
+    same = "p.source <=> q.source AND p.order = q.order AND p.digest = q.digest"
+    parts = edge.alias("p").join(picked.alias("q"), F.expr(same)).select("p.*", "q.more")
+    both = placed.where("whole").withColumn("more", F.lit(1)).unionByName(parts)
+    return both.select(*UNIT, "more", "block", "words")
+
+
+def _picked(known: DataFrame) -> DataFrame:
+    """The units that are taken once more, by quota; each round goes on with what is left of it.
+
+    A round after the first takes only what fits into half of what is left, where there is
+    such a unit, and stops at one that does not fit: so what is left halves (or all such
+    units are taken), and the rounds are as many as the quota has binary digits, at most.
+    """
+    some = known.where("words > 0 AND quota > 0").withColumn("left", F.col("quota"))
+    done = None
+    while True:
+        tried = cut(_fill(some.select(*UNIT, "words", "order", "block", "left")))
+        taken_now = tried.where("more = 1").select(*UNIT, "words")
+        done = taken_now if done is None else cut(done.unionByName(taken_now))
+        spent = done.groupBy("source").agg(F.sum("words").alias("_spent")).withColumnRenamed("source", "_source")
+        same = F.expr(" AND ".join(f"k.{c} <=> d.{c}" for c in UNIT))
+        rest = known.where("words > 0 AND quota > 0").alias("k").join(done.alias("d"), same, "left_anti")
+        rest = rest.join(spent, rest["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
+        rest = rest.withColumn("left", F.col("quota") - F.coalesce("_spent", F.lit(0))).drop("_spent")
+        rest = cut(rest.where("words <= left"))
+        least = rest.groupBy("source").agg(F.min("words").alias("_least")).withColumnRenamed("source", "_source")
+        if least.isEmpty():
+            return done.select(*UNIT)
+        some = rest.join(least, rest["source"].eqNullSafe(F.col("_source"))).drop("_source")
+        some = some.where("words <= left / 2 OR _least > left / 2").drop("_least")
 
 
 def draw(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +184,7 @@ def draw(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("quota", F.col("target") - F.col("full") * F.col("source_size"))
         .withColumn("blocks", F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("docs") / BLOCK_ROWS)).cast("int"))
     )
-    order = F.xxhash64(F.lit(SEED), "source", "doc_id", "size")
+    order = F.xxhash64(F.lit(SEED), "source", "doc_id", "size", "digest")
     named = sources.withColumnRenamed("source", "_source")
     known = units.join(named, units["source"].eqNullSafe(F.col("_source"))).drop("_source")
     known = known.withColumns({
@@ -136,31 +193,11 @@ def draw(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "block": F.pmod(order, F.col("blocks")).cast("int"),
     })
     known = cut(known.drop("docs", "weight", "place", "blocks"))
-    filled = known.groupBy("source", "block").agg(F.sum("words").alias("block_words"), F.first("quota").alias("quota"))
-    so_far = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = filled.withColumn("upto", F.sum("block_words").over(so_far))
-    before = F.col("upto") - F.col("block_words")
-    state = (
-        F.when(F.col("upto") <= F.col("quota"), 1).when(before >= F.col("quota"), 0)
-    )
-    states = filled.select(
-        F.col("source").alias("_source"), F.col("block").alias("_block"),
-        state.alias("state"), (F.col("quota") - before).alias("left"),
-    )
-    same = known["source"].eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
-    placed = cut(known.join(states, same).drop("_source", "_block"))
-    edge = placed.where("state IS NULL").select("source", "doc_id", "size", "words", "order", "left")
-    kinds = dict(placed.dtypes)
-    picked = edge.groupBy("source").applyInPandas(
-        _greedy, f"source {kinds['source']}, doc_id {kinds['doc_id']}, size bigint, more int"
-    )
-    whole = placed.where("state IS NOT NULL").withColumn("more", F.col("state"))
-    parts = placed.where("state IS NULL").alias("p").join(
-        picked.alias("q"),
-        F.expr("p.source <=> q.source AND p.doc_id <=> q.doc_id AND p.size = q.size"),
-    ).select("p.*", "q.more")
-    both = whole.unionByName(parts).withColumn("times", F.col("full") + F.col("more"))
-    return both.drop("state", "left", "quota", "more", "full"), sources
+    chosen = _picked(known).select(*[F.col(c).alias(f"_{c}") for c in UNIT], F.lit(1).alias("_more"))
+    same = F.expr(" AND ".join(f"{c} <=> _{c}" for c in UNIT))
+    times = F.col("full") + F.coalesce("_more", F.lit(0))
+    both = known.join(chosen, same, "left").withColumn("times", times)
+    return both.drop("quota", "full", "_more", *[f"_{c}" for c in UNIT]), sources
 
 
 def taken(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -242,15 +279,15 @@ def mixed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     partitions; partition (written file) k holds rows of shard k // ranges only.
     """
     copies = _dealt(cut(draw(docs)[0]), shards).select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("size").alias("_n_words"),
+        F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_of_text"),
         "order", F.posexplode("shards").alias("copy", "shard"),
     )
     place = copies.withColumn("_order", F.xxhash64(F.lit(SEED + 1), "order", "copy")).drop("order", "copy")
-    sized = docs.select(whole_rows(docs).alias("_row")).withColumn("_size", _size(F.col("_row.text")))
+    sized = docs.select(whole_rows(docs).alias("_row")).withColumn("_digest", F.xxhash64("_row.text"))
     same = (
         F.col("_row.source").eqNullSafe(F.col("_source"))
         & F.col("_row.doc_id").eqNullSafe(F.col("_doc_id"))
-        & (F.col("_size") == F.col("_n_words"))
+        & (F.col("_digest") == F.col("_of_text"))
     )
     ranges = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
     # the upper 31 bits of the order, from 0, so that ranges follow each other in order
