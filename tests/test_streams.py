@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 

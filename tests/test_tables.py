@@ -4,7 +4,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tillwater.operators.aggregates import first_date, id_lists, last_writer
