@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillwater.llm import (
     chat_format,
     license_scan,
+    line_dedup,
     mixing,
     near_dedup,
     packing,
@@ -134,3 +135,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents")).drop("bitmap")
+
+
+SQL["op11_line_dedup"] = """
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+    SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos, len(ls) AS n FROM cut
+), keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), frequent AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), judged AS (
+    SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
