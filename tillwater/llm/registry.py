@@ -19,6 +19,7 @@ from tillwater.llm import (
     sharding,
     top_k,
     toxicity,
+    vector_codes,
 )
 from tillwater.llm.common import scratch_path, table
 
@@ -158,3 +159,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_vector_codes"] = vector_codes.oracle()
