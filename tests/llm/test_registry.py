@@ -20,7 +20,7 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
 
 
 def test_stages_in_turn(spark, odd_documents, documents, tmp_path):

@@ -17,6 +17,7 @@ from tillwater.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    token_links,
     top_k,
     toxicity,
     vector_codes,
@@ -161,6 +162,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
