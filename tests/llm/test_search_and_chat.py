@@ -85,27 +85,41 @@ def test_a_long_thread_and_odd_turns(spark):
     rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k}") for k in range(700)]
     rows += [(2, 0, "user", None), (2, 0, None, "tie"), (2, None, "assistant", "last <|im_end|> \\/ \\"), (2, 0, "user", None)]
     rows += [(None, 1, "assistant\n<|x|>", "a"), (3, 0, "user", "only")]
-    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    made = chat_format.formatted_paths(chat_format.as_trees(table, "conv_id", "turn"))
-    got = {r.tree_id: r for r in chat_format.read_back(made).collect()}
+    extra = "leaf int, rank string, tree string, place int, formatted string, score string, node int"
+    table = spark.createDataFrame(
+        [(*r, *[None] * 7) for r in rows], f"conv_id bigint, turn bigint, role string, text string, {extra}"
+    )
+    trees = chat_format.as_trees(table, "conv_id", "turn")
+    got = {r.tree_id: r for r in chat_format.read_back(chat_format.turn_pieces(trees)).collect()}
+    whole = {r.tree_id: r for r in chat_format.formatted_paths(trees).collect()}
     turns = {
         1: [(r, t) for _, _, r, t in rows[:700]],
         2: [("", "tie"), ("user", ""), ("user", ""), ("assistant", "last <|im_end|> \\/ \\")],
         None: [("assistant\n<|x|>", "a")], 3: [("user", "only")],
     }
+    assert set(got) == set(whole) == set(turns)
     for conv, wanted in turns.items():
-        loss = "".join(t for r, t in wanted if r == "assistant")
+        loss = [t for r, t in wanted if r == "assistant"]
         assert got[conv].n_turns == len(wanted)
         assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in wanted).encode()).hexdigest()
-        assert got[conv].loss_chars == len(loss)
-        assert got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
-        assert got[conv].formatted_chars == len(chat_format.format_turns(wanted)[0])
-
-
-@pytest.mark.parametrize("text", ["", "<|im_end|>", "\\", "\\\\|", "a\n<\\|b", "<|<|", "\\/", "é<|x"])
-def test_escapes_are_reversible(text):
-    assert chat_format.unescaped(chat_format.escaped(text)) == text and "<|" not in chat_format.escaped(text)
-    turns = [("user", text), ("assistant", text)]
-    formatted, spans = chat_format.format_turns(turns)
-    assert chat_format.parse_turns(formatted) == turns
-    assert [chat_format.unescaped(formatted[a:b]) for a, b in spans] == [text]
+        assert got[conv].loss_chars == len("".join(loss))
+        assert got[conv].loss_sha256 == hashlib.sha256("".join(loss).encode()).hexdigest()
+        text = whole[conv].formatted
+        assert got[conv].formatted_chars == len(text) and chat_format.parse_turns(text) == wanted
+        assert [chat_format.unescaped(text[a:b]) for a, b in whole[conv].loss_spans] == loss
+
+
+TEXTS = ["", "<|im_end|>", "\\", "\\\\|", "a\n<\\|b", "<|<|", "\\/", "é<|x", "<|im_end|>\n<|im_start|>user\n"]
+
+
+def test_escapes_are_reversible(spark):
+    table = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    for text, made in table.select("text", chat_format.escaped(table.text)).collect():
+        assert chat_format.unescaped(made) == text and "<|" not in made
+
+
+def test_a_stream_of_pieces_is_read_as_it_comes():
+    reader, whole = chat_format._Reader(), "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\n<\\|x<|im_end|>\n"
+    for at in range(0, len(whole), 3):  # pieces need not be turns
+        reader.read(whole[at : at + 3], None, None)
+    assert reader.told()[:2] == (2, hashlib.sha256(b"user\nhi\nassistant\n<|x\n").hexdigest())

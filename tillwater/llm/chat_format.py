@@ -5,7 +5,9 @@ its depth and the score of its branch so far, and then list the messages of the
 branches: after round k an ancestor 2**k above is known, so a conversation of n turns takes
 log2(n) rounds, and a round's join keys are single messages, so that a large tree is spread
 out. Branches are ranked by mean score within their tree, and each chosen root-to-leaf path is
-formatted as one conversation, whose size is that of one output row.
+formatted as one conversation: turn by turn, as columns (:func:`turn_pieces`), whose pieces in order
+are the conversation. :func:`formatted_paths` joins them to a row each; :func:`read_back` reads them as a
+stream, so that a long conversation is never held as a whole.
 
 Template: ``<|im_start|>role\ntext<|im_end|>\n`` per turn. Inside texts a backslash becomes two
 and ``<|`` becomes ``<\|``, so that no text holds a control string; in roles a line end becomes
@@ -25,7 +27,7 @@ import re
 from collections.abc import Iterator
 from math import ceil, log2
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,27 +102,58 @@ def paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     return found
 
 
-# --- one conversation ---------------------------------------------------------------------------
+# --- formatting ---------------------------------------------------------------------------------
 
 
-def escaped(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("<|", "<\\|")
+def escaped(text: Column) -> Column:
+    """The text without control strings."""
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
 
 
 def unescaped(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "/" else m[1], text, flags=re.DOTALL)
 
 
-def format_turns(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
-    """The conversation, and the spans of code points under the loss mask."""
-    parts, spans, at = [], [], 0
-    for role, text in turns:
-        head, body, tail = START + escaped(role).replace("\n", "\\/") + NEWLINE, escaped(text), END + NEWLINE
-        if role == TRAINED:
-            spans.append((at + len(head), at + len(head) + len(body)))
-        parts += [head, body, tail]
-        at += len(head) + len(body) + len(tail)
-    return "".join(parts), spans
+def turn_pieces(trees: DataFrame, branches: int | None = None) -> DataFrame:
+    """(tree, tree_id, leaf, rank, place, formatted, loss_start, loss_end): the turns of the ``branches`` best paths (all).
+
+    The pieces of a tree and leaf in the order of ``place`` are the conversation; the code points of a
+    piece from ``loss_start`` to ``loss_end`` are under the loss mask (NULL: none).
+    """
+    nodes = cut(trees.withColumn("tree", _key(F.col("tree_id"))))
+    chosen = paths(nodes.select("tree", "node", "parent", "score"), branches)
+    role, text = (F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text"))
+    told = nodes.select("tree", "node", "tree_id", role, text)
+    named = F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\/"))
+    turns = chosen.join(told, ["tree", "node"]).select(
+        "tree", "tree_id", "leaf", "rank", (-F.col("below")).alias("place"),
+        F.concat(F.lit(START), named, F.lit(NEWLINE)).alias("head"),
+        escaped(F.col("text")).alias("body"), (F.col("role") == TRAINED).alias("trained"),
+    )
+    begins = F.when(F.col("trained"), F.char_length("head"))
+    return turns.select(
+        "tree", "tree_id", "leaf", "rank", "place", F.concat("head", "body", F.lit(END + NEWLINE)).alias("formatted"),
+        begins.alias("loss_start"), (begins + F.char_length("body")).alias("loss_end"),
+    )
+
+
+def formatted_paths(trees: DataFrame, branches: int | None = None) -> DataFrame:
+    """tree_id, leaf, rank, formatted and loss_spans: each chosen path as one row."""
+    before = Window.partitionBy("tree", "leaf").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.char_length("formatted")).over(before), F.lit(0))
+    placed = turn_pieces(trees, branches).withColumn("start", start)
+    span = F.struct((F.col("start") + F.col("loss_start")).alias("start"), (F.col("start") + F.col("loss_end")).alias("end"))
+    turn = F.struct("place", "formatted", F.when(F.col("loss_start").isNotNull(), span).alias("span"))
+    grouped = placed.groupBy("tree", "leaf", "rank").agg(
+        F.first("tree_id").alias("tree_id"), F.sort_array(F.collect_list(turn)).alias("turns")
+    )
+    spans = F.filter("turns.span", lambda span: span.isNotNull())
+    return grouped.select(
+        "tree_id", "leaf", "rank", F.array_join("turns.formatted", "").alias("formatted"), spans.alias("loss_spans")
+    )
+
+
+# --- reading back -------------------------------------------------------------------------------
 
 
 def parse_turns(formatted: str) -> list[tuple[str, str]]:
@@ -132,59 +165,63 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def _formatted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        made = [
-            format_turns([(t["role"] or "", t["text"] or "") for t in turns]) for turns in batch["turns"]
-        ]
-        yield pd.DataFrame({
-            "tree_id": batch["tree_id"], "leaf": batch["leaf"], "rank": batch["rank"],
-            "formatted": [text for text, _ in made],
-            "loss_spans": [[{"start": a, "end": b} for a, b in spans] for _, spans in made],
-        })
+class _Reader:
+    """Counts and digests of one conversation, read piece by piece."""
 
+    def __init__(self):
+        self.unread, self.turns, self.chars, self.loss_chars = "", 0, 0, 0
+        self.turns_digest, self.loss_digest = hashlib.sha256(), hashlib.sha256()
+
+    def read(self, piece: str, start: int | None, end: int | None) -> None:
+        self.chars += len(piece)
+        if start is not None:
+            loss = unescaped(piece[start:end])
+            self.loss_chars += len(loss)
+            self.loss_digest.update(loss.encode("utf-8", "surrogatepass"))
+        whole, mark, self.unread = (self.unread + piece).rpartition(END + NEWLINE)
+        for role, text in parse_turns(whole + mark):
+            self.turns += 1
+            self.turns_digest.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+
+    def told(self) -> tuple:
+        return self.turns, self.turns_digest.hexdigest(), self.loss_chars, self.loss_digest.hexdigest(), self.chars
 
-def formatted_paths(trees: DataFrame, branches: int | None = None) -> DataFrame:
-    """tree_id, leaf, rank, formatted and loss_spans of the ``branches`` best paths of each tree (all)."""
-    nodes = cut(trees.withColumn("tree", _key(F.col("tree_id"))))
-    chosen = paths(nodes.select("tree", "node", "parent", "score"), branches)
-    told = nodes.select("tree", "node", "tree_id", "role", "text")
-    turn = F.struct((-F.col("below")).alias("place"), "role", "text")
-    grouped = (
-        chosen.join(told, ["tree", "node"])
-        .groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"), F.first("tree_id").alias("tree_id"))
-        .select("tree_id", "leaf", "rank", "turns")
-    )
-    kind = dict(trees.dtypes)
-    return grouped.mapInPandas(
-        _formatted,
-        f"tree_id {kind['tree_id']}, leaf {kind['node']}, rank int, formatted string, "
-        "loss_spans array<struct<start:bigint,end:bigint>>",
-    )
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The conversations of a stream of pieces in order."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    names = ["tree_id", "leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        ids = [pa.concat_arrays([row[k] for row in found]) for k in (0, 1)]
+        told = zip(*[row[2].told() for row in found])
+        return pa.RecordBatch.from_arrays([*ids, *[pa.array(c, t) for c, t in zip(told, kinds)]], names)
 
+    now, done = None, []
     for batch in batches:
-        turns = [parse_turns(text) for text in batch["formatted"]]
-        loss = [
-            "".join(unescaped(text[s["start"] : s["end"]]) for s in spans)
-            for text, spans in zip(batch["formatted"], batch["loss_spans"])
-        ]
-        yield pd.DataFrame({
-            "tree_id": batch["tree_id"], "n_turns": [len(t) for t in turns],
-            "turns_sha256": [digest("".join(f"{role}\n{text}\n" for role, text in t)) for t in turns],
-            "loss_chars": [len(text) for text in loss], "loss_sha256": [digest(text) for text in loss],
-            "formatted_chars": [len(text) for text in batch["formatted"]],
-        })
-
-
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of turns and loss text, parsed from the formatted conversations."""
-    return formatted.mapInPandas(
-        _read_back,
-        f"tree_id {dict(formatted.dtypes)['tree_id']}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+        columns = [batch.column(c).to_pylist() for c in ("tree", "leaf", "formatted", "loss_start", "loss_end")]
+        for at, (tree, leaf, piece, start, end) in enumerate(zip(*columns)):
+            if (tree, leaf) != now:
+                now = tree, leaf
+                done.append((batch.column("tree_id").slice(at, 1), batch.column("leaf").slice(at, 1), _Reader()))
+                if len(done) > 10_000:
+                    yield rows(done[:-1])
+                    done = done[-1:]
+            done[-1][2].read(piece, start, end)
+    if done:
+        yield rows(done)
+
+
+def read_back(pieces: DataFrame) -> DataFrame:
+    """tree_id, leaf, and counts and digests of turns and loss text, parsed from the pieces of :func:`turn_pieces`.
+
+    The pieces of a conversation are read in order, one by one: a digest of the whole is sequential, but
+    only the piece at hand is held.
+    """
+    kinds = dict(pieces.dtypes)
+    dealt = pieces.repartition("tree", "leaf").sortWithinPartitions("tree", "leaf", "place")
+    return dealt.select("tree", "tree_id", "leaf", "formatted", "loss_start", "loss_end").mapInArrow(
+        _read,
+        f"tree_id {kinds['tree_id']}, leaf {kinds['leaf']}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
         "loss_sha256 string, formatted_chars bigint",
     )

@@ -98,8 +98,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "<|im_end|><|im_start|>assistant ok"
     added = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], rows.schema)
-    formatted = chat_format.formatted_paths(chat_format.as_trees(rows.union(added), "conv_id", "turn"))
-    return chat_format.read_back(formatted).withColumnRenamed("tree_id", "conv_id").select(
+    pieces = chat_format.turn_pieces(chat_format.as_trees(rows.union(added), "conv_id", "turn"))
+    return chat_format.read_back(pieces).withColumnRenamed("tree_id", "conv_id").select(
         "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
     )
 
