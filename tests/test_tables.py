@@ -14,7 +14,7 @@ from tillwater.sources import files
 from tillwater.sources.csv import export_csv, read_csv
 from tillwater.sources.schemas import CLIENTS, SILVER_USER, layout
 from tillwater.operators.upsert import merge_statement
-from tillwater.sources.tables import landed, mend, publish, read_table, table_exists, upsert_table
+from tillwater.sources.tables import ColumnMap, laid_out, landed, mend, publish, read_table, table_exists, upsert_table
 
 PAIR = "k int, v string"
 
@@ -95,6 +95,70 @@ def test_merge_statement():
     )
 
 
+def test_a_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
+    path, layout = f"{tmp_path}/t", ["bucket_of_8"]
+    upsert_table(spark, path, frame(spark, [(k, "a") for k in range(40)] + [(None, "n")]), ["k"], partition_by=layout)
+    before, batch = _dirs(path), frame(spark, [(3, "A"), (99, "b"), (None, "m")])
+    assert read_table(spark, path).columns == ["k", "v"] and len(before) == 8
+    upsert_table(spark, path, batch, ["k"], columns=ColumnMap({"v": "source.v"}, {"k": "source.k", "v": "source.v"}))
+    after = _dirs(path)
+    touched = {f"bucket_of_8={r[0]}" for r in laid_out(batch, layout, ["k"]).select(layout[0]).collect()}
+    assert {d for d in after if after[d] != before[d]} == touched and len(touched) < 8
+    want = [(k, "A" if k == 3 else "a") for k in range(40)] + [(99, "b"), (None, "n"), (None, "m")]
+    assert rows(read_table(spark, path)) == rows(frame(spark, want))
+    wider = frame(spark, [(3, "w")], "k bigint, v string").withColumn("k", F.col("k").cast("int"))
+    for _ in range(2):
+        upsert_table(spark, path, wider, ["k"], partition_by=["bucket_of_64"])  # the table's own layout holds
+        assert rows(read_table(spark, path).filter("k = 3")) == [(3, "w")] and len(_dirs(path)) == 8
+
+
+def test_a_quotient_layout_rewrites_touched_months_only(spark, tmp_path):
+    path, schema, layout = f"{tmp_path}/t", "k int, day int", ["div_100_of_day"]
+    upsert_table(spark, path, frame(spark, [(1, 20240105), (2, 20240228), (3, 20240301)], schema), ["k"], partition_by=layout)
+    before = _dirs(path)
+    assert set(before) == {f"div_100_of_day={m}" for m in (202401, 202402, 202403)}
+    upsert_table(spark, path, frame(spark, [(2, 20240229), (4, 20240201)], schema), ["k"], partitions_move=False)
+    after = _dirs(path)
+    assert {d for d in after if after[d] != before[d]} == {"div_100_of_day=202402"}
+    upsert_table(spark, path, frame(spark, [(1, 20240331)], schema), ["k"])  # moves, so the table is rewritten
+    assert rows(read_table(spark, path)) == [(1, 20240331), (2, 20240229), (3, 20240301), (4, 20240201)]
+
+
+def test_transactional_tables_are_merged_by_the_callers_maps(spark, tmp_path, monkeypatch):
+    """The statements for a format whose jar is not here; its table is stood in for by files."""
+    from tillwater.sources import tables
+
+    said = []
+    monkeypatch.setattr(tables, "_merge_in_place", lambda spark, source, statement: said.append((source.columns, statement)))
+    monkeypatch.setattr(tables, "read_table", lambda spark, path, *rest: spark.read.parquet(path))
+    monkeypatch.setattr(retail, "read_table", tables.read_table)
+    monkeypatch.setattr(sales, "read_table", tables.read_table)
+    purchases = frame(
+        spark, [("p", "c", "t", "2019-01-02", 1.0, 10.0, "s", 2.0, "2024-01-08")],
+        "product_id string, client_id string, transaction_id string, transaction_datetime string, "
+        "regular_points_received double, purchase_sum double, store_id string, product_quantity double, ingestion_date string",
+    )
+    stores = frame(spark, [("1", "a", "b", "c", "d", "e"), (None, "a", "b", "c", "d", "e")],
+                   "store_id string, store_name string, store_location string, region string, store_format string, "
+                   "first_issue_date string")
+    for name, rows_ in (("stores", stores), ("purchases", purchases)):
+        rows_.write.parquet(f"{tmp_path}/{name}")
+    stores.write.parquet(f"{tmp_path}/gold")
+    sales.increment_facts(purchases).write.parquet(f"{tmp_path}/facts")
+    retail.refresh_gold(spark, "stores", f"{tmp_path}/stores", f"{tmp_path}/gold", "delta")
+    sales.refresh_facts(spark, f"{tmp_path}/purchases", f"{tmp_path}/facts", "delta", since="2024-01-08")
+    (gold_columns, gold), (fact_columns, facts) = said
+    assert gold_columns == retail.GOLD_COLUMNS["stores"] and fact_columns == sales.INCREMENT_COLUMNS
+    assert gold.startswith(f"MERGE INTO delta.`{tmp_path}/gold` AS target USING _upsert_source AS source ON target.store_id = source.store_id ")
+    assert "UPDATE SET target.store_name = source.store_name, " in gold and "target.store_id = source.store_id," not in gold
+    assert gold.endswith("INSERT (store_id, store_name, store_location, region, store_format, first_issue_date) VALUES "
+                         "(source.store_id, source.store_name, source.store_location, source.region, source.store_format, source.first_issue_date)")
+    assert "ON target.transaction_id = source.transaction_id AND target.product_id = source.product_id WHEN" in facts
+    assert "payment_method" not in facts and "target.unit_price = source.unit_price" in facts
+    with pytest.raises(ValueError, match="tables of files"):
+        upsert_table(spark, f"{tmp_path}/gold", stores, ["store_id"], "delta", merge=lambda target, source: source)
+
+
 def test_partitions_that_do_not_move_need_no_key_scan(spark, tmp_path):
     path, schema = f"{tmp_path}/t", "k int, v string, day string"
     upsert_table(spark, path, frame(spark, [(1, "a", "007"), (2, "b", "008")], schema), ["k"], partition_by=["day"])

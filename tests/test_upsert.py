@@ -134,8 +134,9 @@ def test_lines_of_one_transaction_are_kept_and_zero_quantity_has_no_price(spark)
     prices = {(r.transaction_id, r.product_id): r.unit_price for r in facts.collect()}
     assert prices == {("t1", "p1"): 5.0, ("t1", "p2"): None, ("t2", "p3"): None}
     assert {r.date_key for r in facts.collect()} == {20190102}
-    merged = sales.merge_facts(facts, facts)
-    assert rows(merged) == rows(facts)
+    maps = sales.fact_map()
+    for once in (False, True):
+        assert rows(merge_cols(facts, facts, sales.FACT_KEYS, maps.set, maps.values, once)) == rows(facts)
 
 
 def test_a_product_without_a_price_keeps_its_line(spark):
@@ -143,3 +144,19 @@ def test_a_product_without_a_price_keeps_its_line(spark):
     products = spark.createDataFrame([("p", 3.0)], "product_id string, product_price double")
     row = sales.initial_facts(purchases, products).collect()[0]
     assert (row.product_quantity, row.unit_price, row.purchase_sum, row.payment_method) == (2, None, None, "POS")
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_both_ways_to_merge_columns_agree(spark, once):
+    target = spark.createDataFrame([(1, "x", 1), (2, "y", 2), (2, "z", 3), (None, "n", 4)], "k int, v string, w int")
+    source = spark.createDataFrame([(2, "Y"), (3, "z"), (None, "m")], "k int, v string")
+    merged = merge_cols(target, source, ["k"], {"v": "concat(target.v, source.v)"}, same_named(["k", "v"]), once)
+    assert rows(merged) == [(1, "x", 1), (2, "yY", 2), (2, "zY", 3), (3, "z", None), (None, "m", None), (None, "n", 4)]
+
+
+def test_a_merge_that_reads_once_scans_each_side_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(50).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/{name}")
+    target, source = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("target", "source"))
+    plan = merge_cols(target, source, ["k"], {"v": "source.v"}, same_named(["k", "v"]), once=True)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

@@ -50,16 +50,22 @@ def merge_cols(
     keys: Sequence[str],
     set: Mapping[str, str],
     values: Mapping[str, str],
+    once: bool = False,
 ) -> DataFrame:
     """Upsert with column maps, e.g. ``{"price": "source.price"}``.
 
     ``set`` holds the columns to change on a match and ``values`` those of an added
     row, as SQL expressions over ``source`` and (on a match) ``target``.  Columns
     outside ``set`` keep their value; columns outside ``values`` become NULL.
+
+    ``once`` reads each side once, by a full outer join: for a target cut down to the batch's
+    partitions, whose keys are not hot.  Else the target's keys are read a second time.
     """
     unknown = [c for c in (*set, *values) if c not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
+    if once:
+        return _merged_once(target, source, keys, set, values)
     flagged = source.withColumn("_matched", F.lit(True)).alias("source")
     same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
     matched = F.col("source._matched").isNotNull()
@@ -86,6 +92,19 @@ def merge_cols(
     return updated.unionByName(added)
 
 
+def _merged_once(target, source, keys, set, values) -> DataFrame:
+    kept, new = target.withColumn("_kept", F.lit(True)), source.withColumn("_new", F.lit(True))
+    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
+    both = kept.alias("target").join(new.alias("source"), same_key, "full")
+    present, changed = F.col("target._kept").isNotNull(), F.col("source._new").isNotNull()
+    columns = []
+    for c in target.columns:
+        kind = target.schema[c].dataType
+        on_match = F.when(changed, F.expr(set[c]).cast(kind)).otherwise(F.col(f"target.{c}")) if c in set else F.col(f"target.{c}")
+        columns.append(F.when(present, on_match).otherwise(F.expr(values.get(c, "NULL")).cast(kind)).alias(c))
+    return both.select(*columns)
+
+
 def same_named(columns: Sequence[str]) -> dict[str, str]:
     """A column map that takes each column from the source column of that name."""
     return {c: f"source.{c}" for c in columns}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tillwater.functions.dates import days_before
 from tillwater.functions.regions import region_of
 from tillwater.operators.keys import latest, recent, require_columns, require_key
-from tillwater.operators.upsert import merge_cols, same_named
-from tillwater.sources.tables import read_table, upsert_table
+from tillwater.operators.upsert import same_named
+from tillwater.sources.tables import FILE_FORMATS, ColumnMap, read_table, upsert_table
 
 # A purchase row is one product of one transaction.
 KEYS = {
@@ -31,6 +31,9 @@ GOLD_COLUMNS = {
     "stores": ["store_id", "store_name", "store_location", "region", "store_format", "first_issue_date"],
 }
 
+# How a new gold dimension is laid out; a large one takes more buckets.
+GOLD_LAYOUT = ("bucket_of_16",)
+
 BRONZE_HELPERS = ("source_file", "ingestion_time", "ingestion_date")
 RECENT_DAYS = 7
 
@@ -82,19 +85,27 @@ def gold_rows(silver: DataFrame, table: str) -> DataFrame:
     return require_key(silver.select(*GOLD_COLUMNS[table]), KEYS[table][0])
 
 
-def merge_gold(target: DataFrame, rows: DataFrame, table: str) -> DataFrame:
-    """Update every gold column but the key, add new keys, keep the other rows."""
-    columns, keys = GOLD_COLUMNS[table], KEYS[table]
-    changed = [c for c in columns if c not in keys]
-    return merge_cols(target, rows, keys, set=same_named(changed), values=same_named(columns))
+def gold_map(table: str) -> ColumnMap:
+    """Update every gold column but the key; a new row takes all of them."""
+    columns = GOLD_COLUMNS[table]
+    return ColumnMap(same_named([c for c in columns if c not in KEYS[table]]), same_named(columns))
 
 
 def refresh_gold(
-    spark: SparkSession, table: str, silver_path: str, gold_path: str, fmt: str = "parquet", since=None
+    spark: SparkSession,
+    table: str,
+    silver_path: str,
+    gold_path: str,
+    fmt: str = "parquet",
+    since=None,
+    partition_by: Sequence[str] = GOLD_LAYOUT,
 ) -> None:
-    """Fold the silver rows that came in since the day of the last run (all for None) into gold."""
+    """Fold the silver rows that came in since the day of the last run (all for None) into gold.
+
+    A table of files is laid out in buckets of the key, and a run rewrites those that its rows fall
+    in; a transactional table is merged in place.
+    """
     rows = gold_rows(changed_since(read_table(spark, silver_path, fmt), since), table)
     upsert_table(
-        spark, gold_path, rows, KEYS[table], fmt,
-        merge=lambda target, source: merge_gold(target, source, table),
+        spark, gold_path, rows, KEYS[table], fmt, partition_by if fmt in FILE_FORMATS else (), columns=gold_map(table)
     )

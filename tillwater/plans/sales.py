@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.dates import date_key
-from tillwater.operators.upsert import merge_cols, same_named
+from tillwater.operators.upsert import same_named
 from tillwater.plans.retail import KEYS, changed_since
-from tillwater.sources.tables import publish, read_table, upsert_table
+from tillwater.sources.tables import ColumnMap, publish, read_table, upsert_table
 
 # Fixed values of the first build.
 DISCOUNT_RATE = 0.05
@@ -70,12 +70,9 @@ def increment_facts(purchases: DataFrame) -> DataFrame:
     ).select(*INCREMENT_COLUMNS)
 
 
-def merge_facts(facts: DataFrame, batch: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
-    """Upsert a batch; a column only the first build has keeps its value, NULL on new rows."""
-    changed = [c for c in INCREMENT_COLUMNS if c not in keys]
-    return merge_cols(
-        facts, batch, keys, set=same_named(changed), values=same_named(INCREMENT_COLUMNS)
-    )
+def fact_map(keys: Sequence[str] = FACT_KEYS) -> ColumnMap:
+    """Every column of the batch; one that only the first build has keeps its value, NULL on new rows."""
+    return ColumnMap(same_named([c for c in INCREMENT_COLUMNS if c not in keys]), same_named(INCREMENT_COLUMNS))
 
 
 def refresh_facts(
@@ -90,14 +87,14 @@ def refresh_facts(
 ) -> None:
     """Fold the silver purchases that came in since the day of the last run into the facts.
 
-    Partitioned facts rewrite touched partitions only.  With the partition column among the
-    keys, or ``partitions_move=False`` (a purchase line keeps its day), the other partitions
-    are not read either.
+    Partitioned facts rewrite touched partitions only, such as ``div_100_of_date_key`` for the months.
+    With the partition column among the keys, or ``partitions_move=False`` (a purchase line keeps
+    its day), the other partitions are not read either, and the touched ones once.  A
+    transactional table is merged in place.
     """
     batch = increment_facts(changed_since(read_table(spark, silver_path, fmt), since))
     upsert_table(
-        spark, facts_path, batch, keys, fmt, partition_by,
-        merge=lambda facts, batch: merge_facts(facts, batch, keys), partitions_move=partitions_move,
+        spark, facts_path, batch, keys, fmt, partition_by, columns=fact_map(keys), partitions_move=partitions_move
     )
 
 

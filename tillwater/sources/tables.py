@@ -1,16 +1,24 @@
-"""Layer tables: scan, publish, append, upsert and the landed-data check."""
+"""Layer tables: scan, publish, append, upsert and the landed-data check.
+
+A table of files may be laid out in hidden folders, whose names say how a row finds its own:
+``bucket_of_<n>`` by a hash of the keys, ``div_<n>_of_<column>`` by a whole-number column divided by n (100
+for the months of a yyyyMMdd key).  Writers derive them, readers do not see them, and an upsert
+rewrites the folders that its batch touches.
+"""
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwater.operators.keys import lookup_join
-from tillwater.operators.upsert import merge_all, merge_statement, require_single_match
+from tillwater.operators.upsert import merge_all, merge_cols, merge_statement, require_single_match
 from tillwater.sources import files
 
 # Formats whose table is just the files below its path.
@@ -19,6 +27,41 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 TYPED_FORMATS = {"parquet", "orc", "delta"}
 # The view that a MERGE reads its batch from.
 MERGE_SOURCE = "_upsert_source"
+BUCKETS = re.compile(r"bucket_of_(\d+)")
+QUOTIENT = re.compile(r"div_(\d+)_of_(\w+)")
+
+
+@dataclass(frozen=True)
+class ColumnMap:
+    """What a MERGE sets on a match and inserts otherwise, as SQL over ``source`` and ``target``."""
+
+    set: Mapping[str, str]
+    values: Mapping[str, str]
+
+
+def is_hidden(column: str) -> bool:
+    return bool(BUCKETS.fullmatch(column) or QUOTIENT.fullmatch(column))
+
+
+def _derived(column: str, keys: Sequence[str]) -> Column:
+    if found := BUCKETS.fullmatch(column):
+        # as text, so that a key keeps its folder when its type is widened
+        text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+        return F.pmod(F.xxhash64(*text), F.lit(int(found[1]))).cast("int")
+    size, name = QUOTIENT.fullmatch(column).groups()
+    return F.floor(F.col(name) / int(size)).cast("int")
+
+
+def laid_out(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the hidden columns among ``partition_by``."""
+    return df.withColumns({c: _derived(c, keys) for c in partition_by if is_hidden(c)})
+
+
+def layout_of(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
+    """The hidden columns that a table on disk is laid out by."""
+    if fmt not in FILE_FORMATS:
+        return []
+    return [c for c in spark.read.format(fmt).load(path).columns if is_hidden(c)]
 
 
 def _previous(path: str) -> str:
@@ -48,6 +91,11 @@ def mend(spark: SparkSession, path: str) -> bool:
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
+    rows = _with_folders(spark, path, fmt, schema)
+    return rows.drop(*[c for c in rows.columns if is_hidden(c)])
+
+
+def _with_folders(spark: SparkSession, path: str, fmt: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -82,9 +130,12 @@ def publish(
     fmt: str = "parquet",
     replace_schema: bool = False,
     partition_by: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> None:
     """Write ``df`` to ``path``; ``overwrite`` and ``append`` check the table's columns.
 
+    ``keys`` are what a hidden ``bucket_of_<n>`` layout in ``partition_by`` hashes.
+
     An overwrite of a file table is written next to it and moved into place, so
     ``df`` may read the table it replaces, and a failed job leaves the table alone.  A
     second publish between the two moves is refused, and so is a move onto a table that
@@ -94,9 +145,10 @@ def publish(
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     spark = df.sparkSession
+    df = laid_out(df, partition_by, keys)
     present = table_exists(spark, path)
     if present and fmt in TYPED_FORMATS and (mode == "append" or not replace_schema):
-        existing = read_table(spark, path, fmt).schema
+        existing = _with_folders(spark, path, fmt).schema
         if mode == "append":
             df = _as_existing(df, existing, partition_by)
         elif _types(df.schema, partition_by) != _types(existing, partition_by):
@@ -152,53 +204,74 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     check: bool = True,
     merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    columns: ColumnMap | None = None,
     partitions_move: bool = True,
 ) -> None:
     """Create the table on the first write; later replace rows by key and add new ones.
 
-    ``merge`` combines (target, source) where replacing whole rows is not wanted.
+    ``columns`` says what a match sets and what a new row gets, where replacing whole rows is not
+    wanted; a new table takes the batch as it is.  ``merge`` combines (target, source) in any other
+    way, and needs a table of files.
 
     With ``partition_by``, only the partitions that ``source`` touches are rewritten.  A
     batch that moves a row to another partition, or has NULL in a partition column,
     rewrites the whole table, which is exact in every case.  To tell, the keys of the
-    whole table are read; not so where the partition columns are among the keys, or where
-    the caller states that rows never change their partition (``partitions_move=False``).
+    whole table are read; not so where the partition columns are among the keys or hash
+    them (``bucket_of_<n>``), or where the caller states that rows never change their partition
+    (``partitions_move=False``).  A table that is laid out in hidden folders keeps its layout.
     The touched folders are committed one by one: a job that fails between them leaves some
     new and some old, and the same upsert run again puts that right.
 
-    A table of a transactional format is merged by its own MERGE.
+    A table of a transactional format is merged by its own MERGE, with the same ``columns``.
     """
+    if merge is not None and (columns is not None or fmt not in FILE_FORMATS):
+        raise ValueError("merge is for tables of files, and in place of columns")
     if not table_exists(spark, path):
-        publish(source, path, "overwrite", fmt, partition_by=partition_by)
+        publish(source, path, "overwrite", fmt, partition_by=partition_by, keys=keys)
         return
     source, batch = stage(source)
     try:
-        _upsert(spark, path, source, keys, fmt, partition_by, check, merge, partitions_move)
+        _upsert(spark, path, source, keys, fmt, partition_by, check, merge, columns, partitions_move)
     finally:
         files.delete(spark, batch)
 
 
-def _upsert(spark, path, source, keys, fmt, partition_by, check, merge, partitions_move) -> None:
-    target = read_table(spark, path, fmt)
-    if partition_by and fmt in FILE_FORMATS:
+def _merge_in_place(spark: SparkSession, source: DataFrame, statement: str) -> None:
+    source.createOrReplaceTempView(MERGE_SOURCE)
+    try:
+        spark.sql(statement)
+    finally:
+        spark.catalog.dropTempView(MERGE_SOURCE)
+
+
+def _upsert(spark, path, source, keys, fmt, partition_by, check, merge, columns, partitions_move) -> None:
+    if fmt not in FILE_FORMATS:
+        if check:
+            require_single_match(read_table(spark, path, fmt), source, keys)
+        maps = (columns.set, columns.values) if columns else ()
+        _merge_in_place(spark, source, merge_statement(f"{fmt}.`{path}`", MERGE_SOURCE, keys, *maps))
+        return
+    partition_by = layout_of(spark, path, fmt) or partition_by
+    source = laid_out(source, partition_by, keys)
+    target = _with_folders(spark, path, fmt)
+    if partition_by:
         # Directory names carry no types: read them with the types of the batch.
-        target = read_table(spark, path, fmt, _with_types_of(source, target.schema, partition_by))
+        target = _with_folders(spark, path, fmt, _with_types_of(source, target.schema, partition_by))
     if check:
         require_single_match(target, source, keys)
-    if merge is None and fmt not in FILE_FORMATS:
-        # a transactional table merges in place
-        source.createOrReplaceTempView(MERGE_SOURCE)
-        spark.sql(merge_statement(f"{fmt}.`{path}`", MERGE_SOURCE, keys))
-        return
-    if merge is None:
+    if columns is not None:
+        merge = lambda target, source: merge_cols(
+            target, source, keys, columns.set, columns.values, once=bool(partition_by)
+        )
+    elif merge is None:
         merge = lambda target, source: merge_all(target, source, keys)
-    if partition_by and fmt in FILE_FORMATS and not _moves(target, source, keys, partition_by, partitions_move):
-        merged = merge(touched_rows(target, source, partition_by), source)
+    if partition_by and not _moves(target, source, keys, partition_by, partitions_move):
+        merged = laid_out(merge(touched_rows(target, source, partition_by), source), partition_by, keys)
         _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
     else:
-        publish(merge(target, source), path, "overwrite", fmt, partition_by=partition_by)
+        publish(merge(target, source), path, "overwrite", fmt, partition_by=partition_by, keys=keys)
 
 
 def _with_types_of(
@@ -210,9 +283,13 @@ def _with_types_of(
 def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The target's rows in the partitions that ``source`` has rows for.
 
-    The batch's lowest and highest value per partition column become a filter that the scan
-    lists its folders by; the join makes the result exact, and can split a large partition.
+    The batch's buckets (as many as the layout has at most), or else its lowest and highest value
+    per partition column, become a filter that the scan lists its folders by; where bounds do
+    not say it all, a join makes the result exact, and can split a large partition.
     """
+    if len(partition_by) == 1 and BUCKETS.fullmatch(partition_by[0]):
+        touched = [r[0] for r in source.select(*partition_by).distinct().collect()]
+        return target.filter(F.col(partition_by[0]).isin(touched))
     bounds = source.agg(
         *[f(c).alias(f"{c}{place}") for c in partition_by for place, f in ((0, F.min), (1, F.max))]
     ).first()
@@ -234,7 +311,8 @@ def _moves(
         no_partition = no_partition | F.col(column).isNull()
     if not source.filter(no_partition).isEmpty():
         return True
-    if not partitions_move or set(partition_by) <= set(keys):
+    fixed = [c for c in partition_by if c in keys or BUCKETS.fullmatch(c) or (q := QUOTIENT.fullmatch(c)) and q[2] in keys]
+    if not partitions_move or len(fixed) == len(partition_by):
         return False
     stays = F.lit(True)
     for column in partition_by:

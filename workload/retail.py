@@ -8,7 +8,8 @@ from tillwater.operators.aggregates import high_water
 from tillwater.operators.keys import dedup_on, recent
 from tillwater.operators.upsert import merge_all, merge_cols, require_single_match
 from tillwater.plans import calendar, retail, sales
-from tillwater.sources.tables import stage
+from tillwater.sources.files import scratch_folder
+from tillwater.sources.tables import publish, read_table, stage
 from workload import duck
 from workload.registry import query
 from workload.standins import ctes, frame
@@ -182,26 +183,38 @@ def _gold(existing: str, batch: str, columns: str, key: str) -> str:
         WHERE NOT EXISTS (SELECT 1 FROM {batch} b WHERE b.{key} = e.{key})"""
 
 
-def _merge_gold(spark, sf_dir, table):
-    target, silver = frame(spark, sf_dir, f"gold_{table}"), frame(spark, sf_dir, table)
-    return retail.merge_gold(target, retail.gold_rows(silver, table), table)
+def _gold_twice(spark, sf_dir, table, late):
+    """Gold after two runs on stored tables: the rows of the first week, then those that came in since.
+
+    ``late``: which silver rows came in with the second run.
+    """
+    folder = scratch_folder(spark, f"gold-{table}")
+    silver, gold = f"{folder}/silver", f"{folder}/gold"
+    day = F.when(late, F.lit("2024-01-08")).otherwise(F.lit("2024-01-01")).cast("date")
+    rows = frame(spark, sf_dir, table).withColumn("ingestion_date", day)
+    publish(frame(spark, sf_dir, f"gold_{table}"), gold, partition_by=["bucket_of_8"], keys=retail.KEYS[table])
+    publish(rows.filter("ingestion_date < '2024-01-08'"), silver)
+    retail.refresh_gold(spark, table, silver, gold)
+    publish(rows, silver)
+    retail.refresh_gold(spark, table, silver, gold, since="2024-01-08")
+    return read_table(spark, gold)
 
 
 @query(ctes("gold_clients", "clients") + _gold(
     "gold_clients", "clients", "client_id, first_issue_date, first_redeem_date, age, gender", "client_id"))
 def gold_client(spark, sf_dir):
-    return _merge_gold(spark, sf_dir, "clients")
+    return _gold_twice(spark, sf_dir, "clients", F.col("first_redeem_date").isNull())
 
 
 @query(ctes("gold_products", "products") + _gold(
     "gold_products", "products", f"product_id, {PRODUCT_REST}", "product_id"))
 def gold_product(spark, sf_dir):
-    return _merge_gold(spark, sf_dir, "products")
+    return _gold_twice(spark, sf_dir, "products", F.col("first_issue_date") >= "2018-07-01")
 
 
 @query(ctes("gold_stores", "stores") + _gold("gold_stores", "stores", f"store_id, {STORE_REST}", "store_id"))
 def gold_store(spark, sf_dir):
-    return _merge_gold(spark, sf_dir, "stores")
+    return _gold_twice(spark, sf_dir, "stores", F.col("store_format") == "Supermarket")
 
 
 NEW_COLUMNS = """r.client_id, r.store_id,
@@ -219,11 +232,20 @@ SAME_LINE = "r.transaction_id = f.transaction_id AND r.product_id = f.product_id
     SELECT * REPLACE (CAST(product_quantity AS DOUBLE) AS product_quantity) FROM facts f
     WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE {SAME_LINE})""")
 def fact_sales_incr(spark, sf_dir):
-    """The newest purchases folded into the facts of the first build; all facts of a line change."""
+    """The newest purchases folded into stored facts of the first build, by month; all facts of a line change."""
+    folder = scratch_folder(spark, "facts")
+    silver, facts = f"{folder}/silver", f"{folder}/facts"
     built = sales.initial_facts(frame(spark, sf_dir, "purchases"), frame(spark, sf_dir, "products"))
-    facts = built.withColumn("product_quantity", F.col("product_quantity").cast("double"))
-    batch, _ = stage(sales.increment_facts(_batch(spark, sf_dir, "purchases")))
-    return sales.merge_facts(facts, batch)
+    publish(
+        built.withColumn("product_quantity", F.col("product_quantity").cast("double")), facts,
+        partition_by=["div_100_of_date_key"],
+    )
+    bronze = frame(spark, sf_dir, "bronze_purchases")
+    rows = retail.silver_rows(bronze, retail.KEYS["purchases"], AS_OF, keep_day=True)
+    publish(rows, silver)
+    # a purchase line keeps its day, and silver holds one row per line
+    sales.refresh_facts(spark, silver, facts, since="1998-06-01", partitions_move=False)
+    return read_table(spark, facts)
 
 
 ORDER_SPAN = """SELECT CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
