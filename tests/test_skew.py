@@ -50,7 +50,9 @@ def test_resolve_splits_a_hot_key(spark, eager_splits):
 
 
 def test_link_hashtags_splits_a_hot_tag(spark, eager_splits):
-    tagged = skewed(spark).select(F.concat("id", "pad").alias("post_id"), F.col("name").alias("hashtag_text"))
+    tagged = skewed(spark).select(
+        F.lit("A").alias("post_type"), F.concat("id", "pad").alias("post_id"), F.col("name").alias("hashtag_text")
+    )
     linked = platforms.link_hashtags(tagged, platforms.hashtag_table(tagged))
     assert "skew=true" in executed_plan(linked)
     assert linked.count() == 60_000
@@ -58,8 +60,9 @@ def test_link_hashtags_splits_a_hot_tag(spark, eager_splits):
 
 def test_usage_facts_split_a_hot_post(spark, eager_splits):
     df = skewed(spark)
-    links = df.select(F.col("name").alias("post_id"), "pad", F.col("id").alias("hashtag_id"))
-    posts = df.select(F.col("name").alias("post_id"), F.lit("2024-01-01").alias("post_date"))
+    post = F.lit("A").alias("post_type"), F.col("name").alias("post_id")
+    links = df.select(*post, "pad", F.col("id").alias("hashtag_id"))
+    posts = df.select(*post, F.lit("2024-01-01").alias("post_date"))
     facts = social_star.hashtag_usage(links, social_star.post_dates(posts, social_star.dim_date(posts)))
     assert "skew=true" in executed_plan(facts)
     assert facts.filter("date_id = 1").count() == 60_000

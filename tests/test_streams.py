@@ -41,6 +41,34 @@ def test_restart_adds_no_rows_and_partitions_by_date(spark, tmp_path):
     assert all(d.startswith(("ingestion_date=", "_", ".")) for d in os.listdir(out))
 
 
+def test_a_batch_that_is_run_again_adds_nothing_twice(spark, tmp_path, monkeypatch):
+    source, out, bad, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "out", "bad", "ckpt"))
+    _write(source, "a.txt", [GOOD, "junk"])
+    write, stops = products._write_batch, [True]
+
+    def stopping(rows_, path, number):
+        if path == bad and stops.pop() if stops else False:
+            raise RuntimeError("stopped between the two writes")
+        write(rows_, path, number)
+
+    monkeypatch.setattr(products, "_write_batch", stopping)
+    with pytest.raises(StreamingQueryException, match="between the two"):
+        products.listen(products.read_message_files(spark, source), out, bad, checkpoint, drain=True)
+    assert spark.read.parquet(out).count() == 1 and not os.path.exists(bad)
+    products.listen(products.read_message_files(spark, source), out, bad, checkpoint, drain=True)
+    assert spark.read.parquet(out).count() == 1 and spark.read.parquet(bad).count() == 1
+
+
+def test_a_batch_run_again_on_another_day_replaces_its_folders(spark, tmp_path):
+    out, bad = f"{tmp_path}/out", f"{tmp_path}/bad"
+    messages = spark.createDataFrame([(GOOD,), ("junk",)], "value string")
+    for number, day in ((0, "2024-01-01"), (1, "2024-01-01"), (1, "2024-01-02")):
+        products.write_both(messages, number, out, bad, day)
+    for path in (out, bad):
+        days = [(r.batch, str(r.ingestion_date)) for r in spark.read.parquet(path).collect()]
+        assert sorted(days) == [(0, "2024-01-01"), (1, "2024-01-02")]
+
+
 def test_time_limit_stops_the_query(spark, tmp_path):
     _write(f"{tmp_path}/in", "a.txt", [GOOD])
     stream = products.product_rows(products.read_message_files(spark, f"{tmp_path}/in"))

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import pytest
 from helpers import rows
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 from tillwater.operators.aggregates import first_date, id_lists, last_writer
 from tillwater.operators.shape import align_union, conform, harmonize
 from tillwater.plans import calendar, loads, platforms, retail, sales, social_entities, social_repair, social_star
-from tillwater.sources import files
+from tillwater.sources import files, manifest
 from tillwater.sources.csv import export_csv, read_csv
 from tillwater.sources.schemas import CLIENTS, SILVER_USER, layout
 from tillwater.operators.upsert import merge_statement
-from tillwater.sources.tables import ColumnMap, laid_out, landed, mend, publish, read_table, table_exists, upsert_table
+from tillwater.sources.tables import ColumnMap, laid_out, landed, mend, publish, read_table, replace_partitions, table_exists, upsert_table
 
 PAIR = "k int, v string"
 
@@ -112,6 +113,20 @@ def test_a_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
         assert rows(read_table(spark, path).filter("k = 3")) == [(3, "w")] and len(_dirs(path)) == 8
 
 
+def test_an_empty_partitioned_table_keeps_its_columns(spark, tmp_path):
+    path, none = f"{tmp_path}/t", frame(spark, [])
+    upsert_table(spark, path, none, ["k"], partition_by=["bucket_of_8"])
+    assert read_table(spark, path).dtypes == [("k", "int"), ("v", "string")] and read_table(spark, path).count() == 0
+    for _ in range(2):
+        upsert_table(spark, path, frame(spark, [(1, "a"), (2, "b")]), ["k"], partition_by=["bucket_of_8"])
+        assert rows(read_table(spark, path)) == [(1, "a"), (2, "b")]
+    replace_partitions(none.withColumn("day", F.lit("x")), f"{tmp_path}/days", "day")
+    replace_partitions(frame(spark, [(1, "a")]).withColumn("day", F.lit("x")), f"{tmp_path}/days", "day")
+    assert rows(read_table(spark, f"{tmp_path}/days")) == [(1, "a", "x")]
+    replace_partitions(none.withColumn("day", F.lit("x")), f"{tmp_path}/days", "day", ["x"])
+    assert read_table(spark, f"{tmp_path}/days").count() == 0
+
+
 def test_a_quotient_layout_rewrites_touched_months_only(spark, tmp_path):
     path, schema, layout = f"{tmp_path}/t", "k int, day int", ["div_100_of_day"]
     upsert_table(spark, path, frame(spark, [(1, 20240105), (2, 20240228), (3, 20240301)], schema), ["k"], partition_by=layout)
@@ -365,11 +380,12 @@ def test_social_layers_end_to_end(spark, tmp_path):
          ["7,Dan Lee,Dan,text,2024-01-01,1,,x/Dan Lee,1,1,1,1,,sale,1,,1,,1,true,,,,,1,"])
     bronze, silver, gold = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "gold"))
     social_repair.load_platforms(spark, folder, bronze, as_of="2024-02-01")
-    for _ in range(2):  # a second run changes nothing
-        platforms.refresh_silver(spark, bronze, silver, as_of="2024-02-01")
-        social_star.refresh_gold(spark, silver, gold)
+    for since in (None, "2024-02-01"):  # a second run changes nothing
+        read = platforms.refresh_silver(spark, bronze, silver, as_of="2024-02-01")
+        assert read == ({} if since else {name: ["2024-02-01"] for name in platforms.PLATFORMS})
+        social_star.refresh_gold(spark, silver, gold, since=since)
         users = read_table(spark, f"{silver}/user")
-        assert users.columns == SILVER_USER.names
+        assert users.drop("ingestion_date").columns == SILVER_USER.names
         assert {r.display_name for r in users.collect()} == {"Ann", "bob", "eve", "Dan Lee"}
         assert read_table(spark, f"{gold}/dim_user").count() == 4
         assert read_table(spark, f"{gold}/dim_post").count() == 5
@@ -424,11 +440,12 @@ def test_cross_platform_layers_end_to_end(spark, tmp_path):
     assert set(social_entities.platform_files(spark, str(tmp_path))) == set(paths)
     social_entities.load_entities(spark, str(tmp_path), bronze, as_of="2024-02-01")
     social_entities.refresh_silver(spark, bronze, silver)
+    assert set(social_entities.refresh_silver(spark, bronze, silver)) == set()
     posts = read_table(spark, f"{silver}/dim_posts").collect()
     # Moved back by one day once, not once per layer.
     assert {str(r.post_date) for r in posts} == {"2024-01-02"} and len(posts) == 4
     assert read_table(spark, f"{silver}/dim_hashtags").count() == 2
-    assert read_table(spark, f"{silver}/fact_user_mentions").filter("mentioned_user_id IS NULL").count() == 1
+    assert read_table(spark, f"{silver}/fact_user_mentions").filter("mentioned_user_id IS NULL").count() == 2  # one a platform
 
 
 def test_every_csv_of_a_folder_is_loaded(spark, tmp_path):
@@ -440,3 +457,99 @@ def test_every_csv_of_a_folder_is_loaded(spark, tmp_path):
     assert sorted((r.type_of_account, r.display_name) for r in users) == [
         ("Twitter", "[2]"), ("Twitter", "r-1"), ("facebook_datasets.csv", "ets"),
     ]
+
+
+def test_files_of_a_platform_are_aligned_by_name(spark, tmp_path):
+    _csv(str(tmp_path), "facebook-a.csv", "user_url,post_url,hashtag_comment", ["x/u1,x/p1,sale", "x/u2,x/p2,new"])
+    _csv(str(tmp_path), "facebook-b.csv", "post_url,hashtag_comment,user_url", ["x/p3,old,x/u3", ",none,x/u4", ",none,x/u5"])
+    _csv(str(tmp_path), "facebook-c.csv", "user_url", ["x/u6"])  # a layout without posts
+    (tmp_path / "facebook-d.csv").write_text("")
+    bronze = f"{tmp_path}/bronze"
+    social_entities.load_entities(spark, str(tmp_path), bronze, as_of="2024-02-01")
+    read = lambda name, *columns: rows(read_table(spark, f"{bronze}/{name}").select(*columns))
+    assert read("dim_users", "display_name") == [(f"u{k}",) for k in range(1, 7)]
+    assert read("dim_posts", "post_id") == [("p1",), ("p2",), ("p3",)]
+    assert read("dim_hashtags", "hashtag_text") == [("new",), ("none",), ("old",), ("sale",)]
+    # posts without any id stay apart
+    assert read("post_rejected", "platform", "post_url") == [("facebook", None)] * 2
+
+
+def test_a_load_replaces_its_platforms_only(spark, tmp_path):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    for name in ("A", "B"):
+        os.mkdir(tmp_path / name)
+        _csv(f"{tmp_path}/{name}", f"{name}-1.csv", "user_url,post_url,tagged_users", [f"u/{name},p/1,u/{name}"])
+        social_entities.load_entities(spark, f"{tmp_path}/{name}", bronze, as_of="2024-02-01")
+    assert social_entities.refresh_silver(spark, bronze, silver)["dim_posts"] == ["A", "B"]
+    before = _dirs(f"{silver}/dim_posts")
+    _csv(f"{tmp_path}/B", "B-1.csv", "user_url,post_url", ["u/B,p/7"])  # no mentions any more
+    social_entities.load_entities(spark, f"{tmp_path}/B", bronze, as_of="2024-02-01")
+    assert social_entities.refresh_silver(spark, bronze, silver)["dim_posts"] == ["B"]
+    assert _dirs(f"{silver}/dim_posts")["platform=A"] == before["platform=A"]
+    posts = read_table(spark, f"{silver}/dim_posts").select("platform", "post_id")
+    assert rows(posts.withColumn("post_id", F.col("post_id").cast("string"))) == [("A", "1"), ("B", "7")]
+    assert [r.platform for r in read_table(spark, f"{silver}/fact_user_mentions").collect()] == ["A"]
+    assert social_entities.refresh_silver(spark, bronze, silver) == {}
+
+
+def _instagram_day(spark, bronze, day, data):
+    schema = "comment_user_url string, post_id string, post_url string, hashtag_comment string, tagged_users_in_comment string"
+    came = {"ingestion_time": F.lit(day).cast("timestamp"), "ingestion_date": F.lit(day).cast("date")}
+    publish(frame(spark, data, schema).withColumns(came), f"{bronze}/instagram", "append", partition_by=["ingestion_date"])
+
+
+def test_a_second_run_reads_its_own_day_only(spark, tmp_path):
+    bronze, silver, gold = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "gold"))
+    ann, bob = "https://www.instagram.com/ann/", "https://www.instagram.com/bob/"
+    _instagram_day(spark, bronze, "2024-02-01", [(ann, "1", "p/1", '["sale"]', "bob"), (ann, "2", "p/2", None, "zoe")])
+    assert platforms.refresh_silver(spark, bronze, silver, as_of="2024-02-01") == {"instagram": ["2024-02-01"]}
+    social_star.refresh_gold(spark, silver, gold)
+    _instagram_day(spark, bronze, "2024-02-02", [(bob, "3", "p/3", '["new"]', "ann"), (ann, "1", "p/1", '["sale"]', "bob")])
+    todo = manifest.pending(spark, f"{silver}/manifest", "instagram", f"{bronze}/instagram", "ingestion_date")
+    batch = manifest.chosen(read_table(spark, f"{bronze}/instagram"), "ingestion_date", todo)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cast\(ingestion_date#\d+ as string\) = 2024-02-02", plan)
+    assert {os.path.basename(os.path.dirname(r[0])) for r in batch.select(F.input_file_name()).collect()} == {"ingestion_date=2024-02-02"}
+    for want in ({"instagram": ["2024-02-02"]}, {}):
+        assert platforms.refresh_silver(spark, bronze, silver, as_of="2024-02-02") == want
+        social_star.refresh_gold(spark, silver, gold, since="2024-02-02")
+        names = {r.user_id: r.display_name for r in read_table(spark, f"{silver}/user").collect()}
+        assert set(names.values()) == {"ann", "bob"}
+        posts = {r.post_id: str(r.post_date)[:10] for r in read_table(spark, f"{silver}/post").collect()}
+        assert posts == {"1": "2024-01-31", "2": "2024-01-31", "3": "2024-02-01"}
+        found = read_table(spark, f"{gold}/fact_user_mention").collect()
+        got = {(r.post_id, r.mentioned_name): (names.get(r.mentioned_user_id), r.date_id) for r in found}
+        # bob was not known on the first day
+        assert got == {("1", "bob"): ("bob", 1), ("2", "zoe"): (None, 1), ("3", "ann"): ("ann", 2)} and len(found) == 3
+        usage = read_table(spark, f"{gold}/fact_hashtag_usage").select("post_type", "post_id", "date_id")
+        assert rows(usage) == [("Instagram", "1", 1), ("Instagram", "3", 2)]
+    assert platforms.refresh_silver(spark, bronze, silver, as_of="2024-02-02") == {}
+
+
+def test_a_late_file_makes_its_day_new_again(spark, tmp_path):
+    table, notes = f"{tmp_path}/t", f"{tmp_path}/manifest"
+    assert manifest.pending(spark, notes, "t", table, "day") == {}
+    rows_ = frame(spark, [(1, "a b"), (2, None)], "k int, day string")
+    publish(rows_, table, partition_by=["day"])
+    todo = manifest.pending(spark, notes, "t", table, "day")
+    assert set(todo) == {"a b", manifest.NULL_FOLDER}
+    chosen = lambda values: [r.k for r in manifest.chosen(read_table(spark, table), "day", values).collect()]
+    assert sorted(chosen(todo)) == [1, 2] and chosen(["a b"]) == [1] and chosen([manifest.NULL_FOLDER]) == [2]
+    manifest.record(spark, notes, {"t": todo})
+    assert manifest.pending(spark, notes, "t", table, "day") == {}
+    publish(frame(spark, [(3, "a b")], "k int, day string"), table, "append", partition_by=["day"])
+    assert set(manifest.pending(spark, notes, "t", table, "day")) == {"a b"}
+    files.delete(spark, f"{table}/day=a b")
+    assert manifest.pending(spark, notes, "t", table, "day") == {"a b": manifest.GONE}
+    manifest.record(spark, notes, {"t": {"a b": manifest.GONE}})
+    assert manifest.pending(spark, notes, "t", table, "day") == {}
+
+
+def test_one_id_on_two_platforms(spark):
+    posts = frame(spark, [("A", "9", "2024-01-01"), ("B", "9", "2024-03-05"), ("B", "9", "2024-03-01"), ("B", "8", None)],
+                  "post_type string, post_id string, post_date string")
+    dates = frame(spark, [("2024-01-01", 7), ("2024-03-01", 3), ("2024-03-05", 1)], "full_date string, date_id int")
+    dated = social_star.post_dates(posts, dates.withColumn("full_date", F.to_date("full_date")))
+    assert rows(dated) == [("A", "9", 7), ("B", "8", None), ("B", "9", 3)]  # the earliest day, whatever its id
+    links = frame(spark, [("A", "9", "t"), ("B", "9", "t"), ("C", "9", "t")], "post_type string, post_id string, hashtag_id string")
+    assert rows(social_star.hashtag_usage(links, dated).select("usage_id", "date_id")) == [("A_9_t", 7), ("B_9_t", 3), ("C_9_t", None)]

@@ -42,6 +42,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("row_num", F.row_number().over(window)).filter("row_num = 1").drop("row_num")
 
 
+def least_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the first by the other columns in their order, NULLs last.
+
+    One grouping with partial aggregation, for rows that mostly repeat each other.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    ranked = F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"{c}__none"), F.col(c).alias(c))])
+    found = df.groupBy(*keys).agg(F.min(ranked).alias("_least"))
+    return found.select(*[F.col(c) if c in keys else F.col(f"_least.{c}").alias(c) for c in df.columns])
+
+
 def latest(df: DataFrame, keys: Sequence[str], ts: str, drop: Sequence[str] = ()) -> DataFrame:
     """The newest row per key by ``ts``, without the helper columns in ``drop``."""
     require_columns(df, [*keys, ts])

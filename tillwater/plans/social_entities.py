@@ -7,8 +7,7 @@ its user's id without a join.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +17,9 @@ from tillwater.functions.text import first_post_id, last_segment, normalize
 from tillwater.operators.aggregates import first_date
 from tillwater.operators.keys import dedup_on, lookup_join, require_key
 from tillwater.operators.shape import align_union, harmonize, typed_nulls
-from tillwater.sources import files
-from tillwater.sources.csv import read_csv
-from tillwater.sources.tables import publish, read_table, stage
+from tillwater.sources import files, manifest
+from tillwater.sources.csv import read_by_header
+from tillwater.sources.tables import read_table, replace_partitions, stage
 
 # Column names of the platforms and the common name; the first that applies wins
 # (fixed values, order matters).
@@ -44,13 +43,19 @@ USED_COLUMNS = [
 ]
 
 
-def unify(raw: Mapping[str, DataFrame]) -> DataFrame:
+def unify(raw: Mapping[str, DataFrame | Sequence[DataFrame]]) -> DataFrame:
     """The used columns of all platforms, as text, with the platform and its place.
 
-    ``has_posts`` tells whether the platform's layout can describe posts at all.
+    A platform whose files differ in their columns comes as a frame for each layout; each is
+    renamed by itself.  ``has_posts`` tells whether a row's layout can describe posts at all.
     """
     frames = []
-    for place, (platform, df) in enumerate(raw.items()):
+    layouts = [
+        (place, platform, df)
+        for place, (platform, found) in enumerate(raw.items())
+        for df in ([found] if isinstance(found, DataFrame) else found)
+    ]
+    for place, platform, df in layouts:
         rows = harmonize(df, RENAMES)
         present = [c for c in USED_COLUMNS if c in rows.columns]
         absent = {c: "string" for c in USED_COLUMNS if c not in rows.columns}
@@ -86,21 +91,30 @@ def _user_id(name: Column) -> Column:
     return hash_id("platform", name)
 
 
-def posts(rows: DataFrame, as_of=None) -> DataFrame:
-    """One row per platform and post id, dated a day before the platform's first comment."""
-    rows = rows.filter("has_posts")
-    # One row per platform, and the platforms are listed by the caller.
-    dates = first_date(rows, "comment_date", as_of, by=["platform"], name="post_date")
-    found = rows.select(
+def _post_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter("has_posts").select(
         "platform",
+        "comment_date",
         first_post_id("post_id", "url", "post_url").alias("post_id"),
         _user_id(last_segment("user_posted")).alias("user_id"),
         "post_url",
     )
+
+
+def _has_id() -> Column:
+    return F.coalesce(F.trim("post_id") != "", F.lit(False))
+
+
+def posts(rows: DataFrame, as_of=None) -> DataFrame:
+    """One row per platform and post id, dated a day before the platform's first comment."""
+    found = _post_rows(rows)
+    # One row per platform, and the platforms are listed by the caller.
+    dates = first_date(found, "comment_date", as_of, by=["platform"], name="post_date")
     return (
-        dedup_on(found, ["platform", "post_id"])
+        dedup_on(found.filter(_has_id()).drop("comment_date"), ["platform", "post_id"])
         .join(F.broadcast(dates), "platform")
         .select(
+            "platform",
             "post_id",
             "user_id",
             F.lit(None).cast("string").alias("post_content"),
@@ -110,10 +124,15 @@ def posts(rows: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def rejected_posts(rows: DataFrame) -> DataFrame:
+    """Posts without any id, which cannot be told apart: each row as it is."""
+    return _post_rows(rows).filter(~_has_id()).select("platform", "user_id", "post_url", "comment_date")
+
+
 def hashtags(rows: DataFrame) -> DataFrame:
     texts = rows.select("platform", normalize("hashtag_comment").alias("hashtag_text"))
     return require_key(texts, "hashtag_text").distinct().select(
-        "hashtag_text", hash_id("platform", "hashtag_text").alias("hashtag_id")
+        "platform", "hashtag_text", hash_id("platform", "hashtag_text").alias("hashtag_id")
     )
 
 
@@ -121,6 +140,7 @@ def post_hashtags(rows: DataFrame) -> DataFrame:
     return (
         require_key(rows, "post_url", "hashtag_comment")
         .select(
+            "platform",
             last_segment("post_url").alias("post_id"),
             hash_id("platform", normalize("hashtag_comment")).alias("hashtag_id"),
         )
@@ -129,7 +149,7 @@ def post_hashtags(rows: DataFrame) -> DataFrame:
 
 
 def mentions(rows: DataFrame) -> DataFrame:
-    """Distinct (post, mentioned user); the user id is NULL for a name nobody has.
+    """Distinct (platform, post, mentioned user); the user id is NULL for a name nobody has.
 
     A name is looked up among the users of the row's platform and of the platforms
     before it; the nearest one wins.  A directory row holds at most one entry per
@@ -139,11 +159,12 @@ def mentions(rows: DataFrame) -> DataFrame:
         rows.filter(F.col("post_url").isNotNull())
         .select(
             "place",
+            "platform",
             last_segment("post_url").alias("post_id"),
             F.explode(F.array("tagged_user_in", "tagged_users")).alias("mention"),
         )
         .filter(F.col("mention").isNotNull())
-        .select("place", "post_id", last_segment(F.trim("mention")).alias("display_name"))
+        .select("place", "platform", "post_id", last_segment(F.trim("mention")).alias("display_name"))
         .distinct()
     )
     directory = (
@@ -164,16 +185,17 @@ def mentions(rows: DataFrame) -> DataFrame:
     reachable = F.filter("known", lambda entry: entry["place"] <= F.col("place"))
     return (
         lookup_join(named, directory, ["display_name"])
-        .select("post_id", F.get(F.reverse(reachable), F.lit(0))["user_id"].alias("mentioned_user_id"))
+        .select("platform", "post_id", F.get(F.reverse(reachable), F.lit(0))["user_id"].alias("mentioned_user_id"))
         .distinct()
     )
 
 
 def entities(rows: DataFrame, as_of=None) -> dict[str, DataFrame]:
-    """The five tables of the unified rows."""
+    """The tables of the unified rows, each with its rows' platform."""
     return {
-        "dim_users": users(rows),
+        "dim_users": users(rows).withColumn("platform", F.col("type_of_account")),
         "dim_posts": posts(rows, as_of),
+        "post_rejected": rejected_posts(rows),
         "dim_hashtags": hashtags(rows),
         "fact_post_hashtags": post_hashtags(rows),
         "fact_user_mentions": mentions(rows),
@@ -185,15 +207,19 @@ def load_entities(
 ) -> None:
     """CSV files by platform, or a folder of them: read as strings, write the entities to bronze.
 
-    The CSV text is parsed once, into the few columns that the five tables share.
+    Files are aligned by the names in their headers, whatever the columns' order.  The CSV text is
+    parsed once, into the few columns that the tables share.  Bronze is partitioned by platform, and
+    the platforms that this load has replace their partitions; the others stay.
     """
     paths = platform_files(spark, source) if isinstance(source, str) else source
-    raw = {name: read_csv(spark, path, infer=False) for name, path in paths.items()}
+    raw = {name: read_by_header(spark, found) for name, found in paths.items()}
+    if not any(raw.values()):
+        return
     unified, staged = stage(unify(raw), "unified")
     try:
         for table, rows in entities(unified, as_of).items():
             stamped = rows.withColumn("ingestion_time", F.current_timestamp())
-            publish(stamped, f"{bronze_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)
+            replace_partitions(stamped, f"{bronze_path.rstrip('/')}/{table}", "platform", list(raw), fmt)
     finally:
         files.delete(spark, staged)
 
@@ -203,9 +229,7 @@ def platform_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     found: dict[str, list[str]] = {}
     for name in files.names(spark, folder):
         if name.lower().endswith(".csv"):
-            # readers take paths as patterns
-            path = f"{folder.rstrip('/')}/" + re.sub(r"([\\\[\]{}*?])", r"\\\1", name)
-            found.setdefault(name.partition("-")[0], []).append(path)
+            found.setdefault(name.partition("-")[0], []).append(f"{folder.rstrip('/')}/{files.as_pattern(name)}")
     return dict(sorted(found.items()))
 
 
@@ -218,14 +242,28 @@ def clean_hashtags(hashtags: DataFrame) -> DataFrame:
     return hashtags.withColumn("hashtag_text", F.lower("hashtag_text"))
 
 
-def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet") -> None:
-    cleaners = {
-        "dim_users": lambda df: df,
-        "dim_posts": clean_posts,
-        "dim_hashtags": clean_hashtags,
-        "fact_post_hashtags": lambda df: df,
-        "fact_user_mentions": lambda df: df,
-    }
-    for table, clean in cleaners.items():
-        rows = clean(read_table(spark, f"{bronze_path.rstrip('/')}/{table}", fmt))
-        publish(rows, f"{silver_path.rstrip('/')}/{table}", "overwrite", fmt, replace_schema=True)
+CLEANERS = {"dim_posts": clean_posts, "dim_hashtags": clean_hashtags}
+TABLES = ("dim_users", "dim_posts", "post_rejected", "dim_hashtags", "fact_post_hashtags", "fact_user_mentions")
+
+
+def refresh_silver(
+    spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet", cleaners=CLEANERS
+) -> dict[str, list[str]]:
+    """Clean the platforms of bronze that changed since the last run, and replace their partitions of silver.
+
+    What earlier runs have cleaned is neither read nor written; a manifest beside the silver tables
+    says what that is.  Returns the platforms by table.
+    """
+    bronze, silver = bronze_path.rstrip("/"), silver_path.rstrip("/")
+    notes, done = f"{silver}/manifest", {}
+    for table in TABLES:
+        todo = manifest.pending(spark, notes, table, f"{bronze}/{table}", "platform")
+        if not todo:
+            continue
+        rows = manifest.chosen(read_table(spark, f"{bronze}/{table}", fmt), "platform", todo)
+        clean = cleaners.get(table, lambda df: df)
+        replace_partitions(clean(rows), f"{silver}/{table}", "platform", [] if manifest.WHOLE in todo else list(todo), fmt)
+        done[table] = todo
+    if done:
+        manifest.record(spark, notes, done)
+    return {table: sorted(todo) for table, todo in done.items()}

@@ -7,6 +7,7 @@ and are the same on every run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tillwater.functions.hashing import draws, option_at, row_id, row_numbers
@@ -113,10 +114,12 @@ def repair_tiktok(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def load_platforms(
-    spark: SparkSession, folder: str, bronze_path: str, fmt: str = "parquet", as_of=None
+    spark: SparkSession, folder: str, bronze_path: str, fmt: str = "parquet", as_of=None, by_day: bool = True
 ) -> None:
     """Read the four platforms' CSV files, repair three of them, append each to bronze.
 
+    ``by_day`` adds an ingestion_date partition, by which the next layer reads new days only.
+
     Every row says when it was ingested and from which file, so that a second run of a file
     can be told from new data and silver can date a post by its arrival.
     """
@@ -135,4 +138,6 @@ def load_platforms(
         "tiktok": repair_tiktok(tiktok, as_of),
     }
     for name, repaired in tables.items():
-        publish(repaired, f"{bronze}/{name}", "append", fmt)
+        if by_day:
+            repaired = repaired.withColumn("ingestion_date", F.to_date("ingestion_time"))
+        publish(repaired, f"{bronze}/{name}", "append", fmt, partition_by=("ingestion_date",) if by_day else ())

@@ -1,7 +1,13 @@
-"""Gold social star: user, post, hashtag and date dimensions, usage and mention facts."""
+"""Gold social star: user, post, hashtag and date dimensions, usage and mention facts.
+
+A post is named by its platform and id, in the dimension and in the facts: one id may stand for
+posts of two platforms.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,14 +16,21 @@ from tillwater.operators.aggregates import high_water
 from tillwater.operators.keys import date_ids, lookup_join, only_new, require_key
 from tillwater.operators.shape import typed_nulls
 from tillwater.sources import files
-from tillwater.sources.tables import publish, read_table, stage, table_exists, upsert_table
+from tillwater.sources.tables import FILE_FORMATS, publish, read_table, stage, table_exists, upsert_table
 
+POST_KEYS = ["post_type", "post_id"]
 DIMENSION_KEYS = {
     "dim_user": ["user_id"],
-    "dim_post": ["post_type", "post_id"],
+    "dim_post": POST_KEYS,
     "dim_hashtag": ["hashtag_id"],
     "dim_date": ["full_date"],
 }
+FACT_KEYS = {
+    "fact_hashtag_usage": [*POST_KEYS, "hashtag_id"],
+    "fact_user_mention": [*POST_KEYS, "mentioned_name"],
+}
+# How new gold tables are laid out; large ones take more buckets.
+LAYOUT = ("bucket_of_16",)
 
 
 def dim_user(users: DataFrame) -> DataFrame:
@@ -68,25 +81,22 @@ def dim_date(posts: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def post_dates(posts: DataFrame, dates: DataFrame) -> DataFrame:
-    """(post_id, date_id), one row per post: its earliest date; NULL without one.
+    """(post_type, post_id, date_id), one row per post: its earliest date; NULL without one.
 
     ``dates`` has one row per calendar day (at most 3.7 million, years 1 to 9999, a few
     bytes each), so it is broadcast; a shuffle would put all posts of a day together.
     """
-    return (
-        posts.select("post_id", F.to_date("post_date").alias("full_date"))
-        .join(F.broadcast(dates), "full_date", "left")
-        .groupBy("post_id")
-        .agg(F.min("date_id").alias("date_id"))
-    )
+    # ids need not be in the order of days, so the earliest day is found before its id
+    first = posts.groupBy(*POST_KEYS).agg(F.min(F.to_date("post_date")).alias("full_date"))
+    return first.join(F.broadcast(dates), "full_date", "left").select(*POST_KEYS, "date_id")
 
 
 def hashtag_usage(post_hashtags: DataFrame, dated: DataFrame) -> DataFrame:
     """Keeps pairs whose post has no date or is not known."""
     links = post_hashtags.withColumn("post_id", F.col("post_id").cast("string"))
-    return lookup_join(links, dated, ["post_id"]).select(
-        composite_id("post_id", "hashtag_id").alias("usage_id"),
-        "post_id",
+    return lookup_join(links, dated, POST_KEYS).select(
+        composite_id(composite_id("post_type", "post_id"), "hashtag_id").alias("usage_id"),
+        *POST_KEYS,
         "hashtag_id",
         "date_id",
         F.lit(1).alias("usage_count"),
@@ -94,9 +104,11 @@ def hashtag_usage(post_hashtags: DataFrame, dated: DataFrame) -> DataFrame:
 
 
 def user_mention(mentions: DataFrame, dated: DataFrame) -> DataFrame:
-    return lookup_join(mentions, dated, ["post_id"]).select(
-        composite_id("post_id", "mentioned_user_id").alias("mention_id"),
-        "post_id",
+    """Keeps mentions whose post is not known; the user and the id are NULL for a name nobody has."""
+    return lookup_join(mentions, dated, POST_KEYS).select(
+        composite_id(composite_id("post_type", "post_id"), "mentioned_user_id").alias("mention_id"),
+        *POST_KEYS,
+        "mentioned_name",
         "mentioned_user_id",
         "date_id",
     )
@@ -122,30 +134,69 @@ def star(
     }
 
 
-def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> None:
-    """Upsert the dimensions by key and replace the facts.
+def _of_posts(links: DataFrame, came: DataFrame, posts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The links that came in, and those of posts that did."""
+    theirs = lookup_join(links, posts.select(*POST_KEYS).distinct(), POST_KEYS, "left_semi")
+    return theirs.unionByName(came).dropDuplicates(list(keys))
+
+
+def refresh_gold(
+    spark: SparkSession,
+    silver_path: str,
+    gold_path: str,
+    fmt: str = "parquet",
+    since=None,
+    layout: Sequence[str] = LAYOUT,
+) -> None:
+    """Fold silver into the star: all of it, or what came in since the day of the last run.
 
-    Days that the date dimension holds keep their ids, and only new days are numbered, above
-    the highest; so the facts, written anew from all silver rows, say the same as before.
+    With ``since``, dimensions are upserted by the rows that came in, and facts by the links that
+    came in and those of posts that did; of the other links only the post keys are read, and of
+    the other posts only those that such links name.  Without it, facts are replaced.  Days that
+    the date dimension holds keep their ids, and only new days are numbered, above the highest.
     """
+    gold = gold_path.rstrip("/")
     silver = {
         name: read_table(spark, f"{silver_path.rstrip('/')}/{name}", fmt)
         for name in ("user", "post", "hashtag", "post_hashtag", "user_mentions")
     }
-    dates_path = f"{gold_path.rstrip('/')}/dim_date"
-    known, staged = None, None
-    if table_exists(spark, dates_path):
-        # read once: the table is replaced below while the facts still look its ids up
-        known, staged = stage(read_table(spark, dates_path, fmt), "dates")
-    tables = star(
-        silver["user"], silver["post"], silver["hashtag"], silver["post_hashtag"], silver["user_mentions"], known
-    )
-    for name, rows in tables.items():
-        path = f"{gold_path.rstrip('/')}/{name}"
-        if name in DIMENSION_KEYS:
+    came = {
+        name: rows if since is None else rows.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
+        for name, rows in silver.items()
+    }
+    folders = []
+    try:
+        known = None
+        if table_exists(spark, f"{gold}/dim_date"):
+            # read once: the table is replaced below while the facts still look its ids up
+            known, folder = stage(read_table(spark, f"{gold}/dim_date", fmt), "dates")
+            folders.append(folder)
+        dates, folder = stage(dim_date(came["post"], known), "dates")
+        folders.append(folder)
+        dimensions = {
+            "dim_user": dim_user(came["user"]),
+            "dim_post": dim_post(came["post"]),
+            "dim_hashtag": dim_hashtag(came["hashtag"]),
+            "dim_date": dates,
+        }
+        for name, rows in dimensions.items():
             keys = DIMENSION_KEYS[name]
-            upsert_table(spark, path, require_key(rows, *keys), keys, fmt)
-        else:
-            publish(rows, path, "overwrite", fmt, replace_schema=True)
-    if staged:
-        files.delete(spark, staged)
+            spread = layout if name != "dim_date" and fmt in FILE_FORMATS else ()
+            upsert_table(spark, f"{gold}/{name}", require_key(rows, *keys), keys, fmt, spread)
+        for name, links, fact in (
+            ("fact_hashtag_usage", "post_hashtag", hashtag_usage),
+            ("fact_user_mention", "user_mentions", user_mention),
+        ):
+            keys, path = FACT_KEYS[name], f"{gold}/{name}"
+            spread = layout if fmt in FILE_FORMATS else ()
+            if since is None or not table_exists(spark, path):
+                rows = fact(silver[links], post_dates(silver["post"], dates))
+                publish(rows, path, "overwrite", fmt, replace_schema=True, partition_by=spread, keys=keys)
+                continue
+            touched, folder = stage(_of_posts(silver[links], came[links], came["post"], keys), "links")
+            folders.append(folder)
+            theirs = lookup_join(silver["post"], touched.select(*POST_KEYS).distinct(), POST_KEYS, "left_semi")
+            upsert_table(spark, path, fact(touched, post_dates(theirs, dates)), keys, fmt, spread, check=False)
+    finally:
+        for folder in folders:
+            files.delete(spark, folder)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwater.functions.dates import as_timestamp
+from tillwater.sources import files
 
 
 def read_csv(
@@ -52,6 +55,20 @@ def read_folder(spark: SparkSession, folder: str, as_of=None) -> DataFrame:
     return with_provenance(raw, as_of)
 
 
+def read_by_header(spark: SparkSession, paths: str | Sequence[str]) -> list[DataFrame]:
+    """CSV files as strings, one scan for all files of one header line.
+
+    A scan takes its columns from one header, so files whose columns stand in another order, or are
+    others, need a scan of their own; the caller aligns them by name.  Empty files give nothing.
+    """
+    found = [f for p in ([paths] if isinstance(paths, str) else paths) for f in files.expand(spark, p)]
+    by_header: dict[str, list[str]] = {}
+    for path, header in zip(found, files.first_lines(spark, found)):
+        if header is not None:
+            by_header.setdefault(header.removeprefix("\ufeff"), []).append(files.as_pattern(path))
+    return [read_csv(spark, same, infer=False) for same in by_header.values()]
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header: parallel part files, or one file where the caller asks for it.
 

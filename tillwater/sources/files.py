@@ -1,8 +1,11 @@
-"""Folders on the cluster's shared file system."""
+"""Files and folders on the cluster's shared file system."""
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +42,55 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path) if status.isFile())
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the folders in a folder, sorted."""
+    fs, path = _resolve(spark, folder)
+    return sorted(status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory())
+
+
+def mark(spark: SparkSession, folder: str) -> str:
+    """Text that changes with the files of a folder: how many, bytes, time of the last change."""
+    fs, path = _resolve(spark, folder)
+    held = fs.getContentSummary(path)
+    return f"{held.getFileCount()}-{held.getLength()}-{fs.getFileStatus(path).getModificationTime()}"
+
+
+def as_pattern(path: str) -> str:
+    """A path as readers take it, who read patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def expand(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a file, a folder or a pattern stands for, sorted; hidden ones are left out."""
+    fs, path = _resolve(spark, pattern)
+    found = []
+    for status in fs.globStatus(path) or []:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [s.getPath().toString() for s in inside if s.isFile() and s.getPath().getName()[0] not in "._"]
+    return sorted(found)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str], at_once: int = 16) -> list[str | None]:
+    """The first line of each file, None for an empty one; as much work for the driver as listing the files."""
+    jvm = spark.sparkContext._jvm
+
+    def first(path: str) -> str | None:
+        fs, target = _resolve(spark, path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(target), "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first, paths))
+
+
+def escaped_value(spark: SparkSession, value: str) -> str:
+    """A partition value as its folder's name has it."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

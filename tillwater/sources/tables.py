@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
 
 from tillwater.operators.keys import lookup_join
 from tillwater.operators.upsert import merge_all, merge_cols, merge_statement, require_single_match
@@ -27,6 +27,8 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 TYPED_FORMATS = {"parquet", "orc", "delta"}
 # The view that a MERGE reads its batch from.
 MERGE_SOURCE = "_upsert_source"
+# The folder that Spark writes rows without a partition value to.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 BUCKETS = re.compile(r"bucket_of_(\d+)")
 QUOTIENT = re.compile(r"div_(\d+)_of_(\w+)")
 
@@ -99,7 +101,10 @@ def _with_folders(spark: SparkSession, path: str, fmt: str, schema: StructType |
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    rows = reader.load(path)
+    # a partition column of a table without rows has no type
+    untyped = [f.name for f in rows.schema.fields if isinstance(f.dataType, NullType)]
+    return rows.withColumns({c: F.col(c).cast("string") for c in untyped}) if untyped else rows
 
 
 def _types(schema: StructType, skip: Sequence[str]) -> dict[str, str]:
@@ -168,6 +173,7 @@ def publish(
     else:
         staged = f"{path.rstrip('/')}.incoming-{uuid.uuid4().hex}"
         writer.save(staged)
+        _keep_schema(df, staged, fmt, partition_by)
         if files.exists(spark, path):
             files.delete(spark, _previous(path))
             files.move(spark, path, _previous(path))
@@ -175,6 +181,50 @@ def publish(
         files.delete(spark, _previous(path))
 
 
+def replace_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence[str] = (), fmt: str = "parquet"
+) -> None:
+    """Replace the partitions that ``df`` has rows for, and empty those of ``values`` that it has none for.
+
+    Other partitions stay as they are.  Folders are committed one by one, as in
+    :func:`upsert_table`; the same step run again puts a run right that was cut short.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, path):
+        publish(df, path, "overwrite", fmt, partition_by=[column])
+        return
+    if fmt not in FILE_FORMATS:
+        listed = ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+        where = f"CAST({column} AS STRING) IN ({listed})" if values else "true"
+        _gathered(df, [column]).write.format(fmt).mode("overwrite").option("replaceWhere", where).save(path)
+        return
+    existing = _with_folders(spark, path, fmt)
+    if set(df.columns) != set(existing.columns):
+        raise ValueError(f"columns differ from the table: {sorted(set(df.columns) ^ set(existing.columns))}")
+    rows, batch = stage(df)
+    try:
+        held = {str(r[0]) for r in rows.select(column).distinct().collect()} if values else set()
+        _gathered(rows, [column]).write.format(fmt).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(column).save(path)
+        for value in values:
+            if value not in held:
+                files.delete(spark, f"{path.rstrip('/')}/{column}={files.escaped_value(spark, value)}")
+        _keep_schema(df, path, fmt, [column])
+    finally:
+        files.delete(spark, batch)
+
+
+def _keep_schema(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]) -> None:
+    """Give a partitioned table without rows, which has no files, an empty one that says its columns."""
+    spark = df.sparkSession
+    if not partition_by or any(name.startswith(f"{partition_by[0]}=") for name in files.subfolders(spark, path)):
+        return
+    nowhere = "/".join(f"{c}={NULL_FOLDER}" for c in partition_by)
+    inside = StructType([f for f in df.schema.fields if f.name not in partition_by])
+    spark.createDataFrame([], inside).write.format(fmt).save(f"{path.rstrip('/')}/{nowhere}")
+
+
 def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition folder together, so that it gets few, full files.
 

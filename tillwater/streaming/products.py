@@ -1,8 +1,9 @@
 """Product messages: JSON stream to typed bronze rows, bad messages to quarantine.
 
-Stateless: each micro-batch is a projection, so there is nothing to shuffle or keep.
-The file sink commits each batch once, and a restart on the same checkpoint adds none
-of the rows already written.
+Stateless: each micro-batch is a projection, so there is nothing to shuffle or keep.  One
+query reads the topic; each batch is parsed once, and both outputs are written from what was
+parsed.  A batch that is run again, after a stop between the two writes or before Spark noted it
+as done, replaces what it had written: every batch has partition folders of its own.
 """
 
 from __future__ import annotations
@@ -17,10 +18,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillwater.functions.dates import as_timestamp
 from tillwater.functions.text import level
+from tillwater.sources import files
 from tillwater.sources.schemas import PRODUCT_MESSAGE, PRODUCTS
+from tillwater.sources.tables import stage
 
 CORRUPT = "_corrupt_record"
 PARTITION = "ingestion_date"
+#: The batch that wrote a row; with the run's first day it names the folder that a repeated batch replaces.
+BATCH = "batch"
 
 
 def broker_options(
@@ -78,11 +83,8 @@ def _parsed(messages: DataFrame) -> DataFrame:
     return parsed.withColumn("fits", fits)
 
 
-def product_rows(messages: DataFrame, as_of=None) -> DataFrame:
-    """Typed product rows of the messages that fit, with ingestion time and date."""
-    stamp = as_timestamp(as_of)
-    expanded = _parsed(messages).filter("fits").select("p.*")
-    return expanded.select(
+def _typed(parsed: DataFrame, stamp: Column) -> DataFrame:
+    return parsed.filter("fits").select("p.*").select(
         F.col("productId").cast("string").alias("product_id"),
         *[level("categoryIds", n).alias(f"level_{n}") for n in (1, 2, 3, 4)],
         F.col("brandName").alias("brand_name"),
@@ -94,12 +96,18 @@ def product_rows(messages: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def _bad(parsed: DataFrame, stamp: Column) -> DataFrame:
+    return parsed.filter("NOT fits").select("message", stamp.alias("ingestion_time"), F.to_date(stamp).alias(PARTITION))
+
+
+def product_rows(messages: DataFrame, as_of=None) -> DataFrame:
+    """Typed product rows of the messages that fit, with ingestion time and date."""
+    return _typed(_parsed(messages), as_timestamp(as_of))
+
+
 def quarantined(messages: DataFrame, as_of=None) -> DataFrame:
     """The messages that do not fit, unchanged."""
-    stamp = as_timestamp(as_of)
-    return _parsed(messages).filter("NOT fits").select(
-        "message", stamp.alias("ingestion_time"), F.to_date(stamp).alias(PARTITION)
-    )
+    return _bad(_parsed(messages), as_timestamp(as_of))
 
 
 def write_stream(
@@ -145,6 +153,30 @@ def run_for(queries: Sequence[StreamingQuery], minutes: float = 30) -> None:
             query.stop()
 
 
+def _write_batch(rows: DataFrame, path: str, number: int) -> None:
+    """Write a batch's rows into folders of its number, in place of those of an earlier try.
+
+    An earlier try may have been on another day, so its folders are looked up and not only overwritten.
+    """
+    spark = rows.sparkSession
+    if files.exists(spark, path):
+        for day in files.subfolders(spark, path):
+            if day.startswith(f"{PARTITION}="):
+                files.delete(spark, f"{path}/{day}/{BATCH}={number}")
+    rows.withColumn(BATCH, F.lit(number)).write.partitionBy(PARTITION, BATCH).mode("append").parquet(path)
+
+
+def write_both(messages: DataFrame, number: int, path: str, quarantine_path: str, as_of=None) -> None:
+    """Parse a batch once, and write its products and its bad messages."""
+    stamp = F.lit(messages.sparkSession.range(1).select(as_timestamp(as_of)).first()[0])
+    parsed, staged = stage(_parsed(messages), "messages")
+    try:
+        _write_batch(_typed(parsed, stamp), path.rstrip("/"), number)
+        _write_batch(_bad(parsed, stamp), quarantine_path.rstrip("/"), number)
+    finally:
+        files.delete(messages.sparkSession, staged)
+
+
 def listen(
     messages: DataFrame,
     path: str,
@@ -152,17 +184,21 @@ def listen(
     checkpoint: str,
     minutes: float = 30,
     drain: bool = False,
+    every: str = "1 minute",
 ) -> None:
     """Products to ``path`` and bad messages to ``quarantine_path`` until the time is up.
 
-    ``drain`` reads all there is, however long that takes.  Each output is a query of its
-    own, since the file sink commits a batch of one query once.
+    ``drain`` reads all there is, however long that takes.  The paths belong to one ``checkpoint``, whose
+    batch numbers they are laid out by.
     """
-    queries = [
-        write_stream(product_rows(messages), path, f"{checkpoint}/products", drain=drain),
-        write_stream(quarantined(messages), quarantine_path, f"{checkpoint}/bad", drain=drain),
-    ]
-    run_for(queries, 0 if drain else minutes)
+    trigger = {"availableNow": True} if drain else {"processingTime": every}
+    query = (
+        messages.writeStream.foreachBatch(lambda batch, number: write_both(batch, number, path, quarantine_path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+    run_for([query], 0 if drain else minutes)
 
 
 def bronze_products(rows: DataFrame) -> DataFrame:

@@ -20,8 +20,10 @@ from tillwater.operators.keys import resolve, surrogate
 from tillwater.operators.shape import harmonize
 from tillwater.plans import social_repair
 from tillwater.plans.retail import described_stores
-from tillwater.plans.social_entities import RENAMES, clean_posts
+from tillwater.plans.social_entities import RENAMES, clean_posts, refresh_silver
+from tillwater.sources.files import scratch_folder
 from tillwater.sources.schemas import layout
+from tillwater.sources.tables import read_table, replace_partitions
 from tillwater.streaming.products import parse_json
 from workload import duck
 from workload.registry import SQL, query
@@ -469,6 +471,15 @@ def harmonize_names(spark, sf_dir):
 @query("""SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key,
     CAST(CAST(ts AS DATE) - 1 AS DATE) AS day_before FROM events""")
 def post_date_shift(spark, sf_dir):
-    """Integer date key, and the date moved back by a day."""
-    posts = frame(spark, sf_dir, "events").select("event_id", date_key("ts").alias("date_key"), F.to_date("ts").alias("post_date"))
-    return clean_posts(posts, days_back=1).withColumnRenamed("post_date", "day_before")
+    """Integer date key, and the date moved back by a day: two platforms of bronze cleaned by one run, two by the next."""
+    folder = scratch_folder(spark, "shift")
+    posts = frame(spark, sf_dir, "events").select(
+        "event_id", date_key("ts").alias("date_key"), F.to_date("ts").alias("post_date"), F.col("event_type").alias("platform")
+    )
+    first = F.col("platform").isin("click", "view")
+    for rows in (posts.filter(first), posts.filter(~first)):
+        replace_partitions(rows, f"{folder}/bronze/dim_posts", "platform")
+        cleaners = {"dim_posts": lambda found: clean_posts(found, days_back=1)}
+        refresh_silver(spark, f"{folder}/bronze", f"{folder}/silver", cleaners=cleaners)
+    cleaned = read_table(spark, f"{folder}/silver/dim_posts")
+    return cleaned.select("event_id", "date_key", F.col("post_date").alias("day_before"))

@@ -66,13 +66,19 @@ def csv_schema(spark, sf_dir):
 def platform_from_file(spark, sf_dir):
     """The platform from the file name: a folder of files per event type, loaded as social entities.
 
-    Each event is a user of its own, whose name holds the event's values.
+    Each event is a user of its own, whose name holds the event's values.  A platform's files have
+    their columns in two orders.
     """
     events = frame(spark, sf_dir, "events")
     folder = scratch_folder(spark, "platforms")
     values = [F.coalesce(c.cast("string"), F.lit("")) for c in (F.col("event_id"), F.col("user_id"), F.to_date("ts"))]
-    rows = events.select(F.concat(F.lit("u/"), F.concat_ws("_", *values)).alias("user_url"), "event_type")
-    rows.write.partitionBy("event_type").option("header", True).csv(folder)
+    name = F.concat_ws("_", *values)
+    rows = events.select(
+        F.concat(F.lit("u/"), name).alias("user_url"), F.concat(F.lit("p/"), name).alias("post_url"), "event_type", "value"
+    )
+    orders = {"first": (["user_url", "post_url"], "value < 50"), "other": (["post_url", "user_url"], "NOT value < 50 OR value IS NULL")}
+    for order, (columns, part) in orders.items():
+        rows.filter(part).select(*columns, "event_type").write.partitionBy("event_type").option("header", True).csv(f"{folder}/{order}")
     _name_files_by_platform(spark, folder)
     social_entities.load_entities(spark, f"{folder}/named", f"{folder}/bronze", as_of="2024-01-01")
     value = F.split("display_name", "_")
@@ -88,7 +94,7 @@ def _name_files_by_platform(spark, folder):
     hadoop = context._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(folder).getFileSystem(context._jsc.hadoopConfiguration())
     fs.mkdirs(hadoop.Path(f"{folder}/named"))
-    for number, part in enumerate(fs.globStatus(hadoop.Path(f"{folder}/event_type=*/part-*"))):
+    for number, part in enumerate(fs.globStatus(hadoop.Path(f"{folder}/*/event_type=*/part-*"))):
         platform = part.getPath().getParent().getName().split("=", 1)[1]
         fs.rename(part.getPath(), hadoop.Path(f"{folder}/named/{platform}-{number}.csv"))
 

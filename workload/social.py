@@ -47,30 +47,41 @@ def social_users(spark, sf_dir):
     return social_entities.users(_unified(spark, sf_dir))
 
 
-@query(ctes(*RAW, unified=UNIFIED, found=f"""SELECT platform,
+FOUND_POSTS = f"""SELECT platform,
         coalesce(nullif(post_id, ''), {duck.last_segment('url')}, {duck.last_segment('post_url')}) AS post_id,
-        {USER_ID} AS user_id, post_url FROM unified WHERE platform <> 'Twitter'""",
+        {USER_ID} AS user_id, post_url, comment_date FROM unified WHERE platform <> 'Twitter'"""
+
+
+@query(ctes(*RAW, unified=UNIFIED, found=FOUND_POSTS,
        dates="""SELECT platform, CAST(min(TRY_CAST(comment_date AS TIMESTAMP)) AS DATE) - 1 AS post_date
         FROM unified GROUP BY platform""") + f"""
-    SELECT p.post_id, p.user_id, CAST(NULL AS VARCHAR) AS post_content, d.post_date, p.post_url
-    FROM ({duck.first_row('*', 'found', 'platform, post_id', 'user_id NULLS LAST, post_url NULLS LAST')}) p
+    SELECT p.platform, p.post_id, p.user_id, CAST(NULL AS VARCHAR) AS post_content, d.post_date, p.post_url
+    FROM ({duck.first_row('*', "(SELECT * FROM found WHERE trim(post_id) <> '')", 'platform, post_id',
+                          'user_id NULLS LAST, post_url NULLS LAST')}) p
     JOIN dates d ON p.platform = d.platform""")
 def social_posts(spark, sf_dir):
     return social_entities.posts(_unified(spark, sf_dir), AS_OF)
 
 
+@query(ctes(*RAW, unified=UNIFIED, found=FOUND_POSTS)
+       + "SELECT platform, user_id, post_url, comment_date FROM found WHERE coalesce(trim(post_id), '') = ''")
+def social_posts_rejected(spark, sf_dir):
+    """Posts without any id stay rows of their own."""
+    return social_entities.rejected_posts(_unified(spark, sf_dir))
+
+
 TAG_TEXT = "trim(lower(hashtag_comment))"
 
 
 @query(ctes(*RAW, unified=UNIFIED) + f"""
-    SELECT DISTINCT {TAG_TEXT} AS hashtag_text, {duck.hash_id('platform', TAG_TEXT)} AS hashtag_id
+    SELECT DISTINCT platform, {TAG_TEXT} AS hashtag_text, {duck.hash_id('platform', TAG_TEXT)} AS hashtag_id
     FROM unified WHERE hashtag_comment IS NOT NULL""")
 def social_hashtags(spark, sf_dir):
     return social_entities.hashtags(_unified(spark, sf_dir))
 
 
 @query(ctes(*RAW, unified=UNIFIED) + f"""
-    SELECT DISTINCT {duck.last_segment('post_url')} AS post_id, {duck.hash_id('platform', TAG_TEXT)} AS hashtag_id
+    SELECT DISTINCT platform, {duck.last_segment('post_url')} AS post_id, {duck.hash_id('platform', TAG_TEXT)} AS hashtag_id
     FROM unified WHERE post_url IS NOT NULL AND hashtag_comment IS NOT NULL""")
 def social_post_hashtags(spark, sf_dir):
     return social_entities.post_hashtags(_unified(spark, sf_dir))
@@ -78,15 +89,15 @@ def social_post_hashtags(spark, sf_dir):
 
 # Twitter rows have no post_url, so their mentions join in through another stand-in below.
 MENTIONS = f"""
-    SELECT DISTINCT post_id, mentioned_user_id FROM (
-        SELECT n.place, n.post_id, n.name, arg_max(d.user_id, d.place) AS mentioned_user_id
+    SELECT DISTINCT platform, post_id, mentioned_user_id FROM (
+        SELECT n.place, n.platform, n.post_id, n.name, arg_max(d.user_id, d.place) AS mentioned_user_id
         FROM named n LEFT JOIN directory d ON d.name = n.name AND d.place <= n.place
-        GROUP BY n.place, n.post_id, n.name)"""
+        GROUP BY n.place, n.platform, n.post_id, n.name)"""
 DIRECTORY = f"""SELECT DISTINCT place, {USER_NAME} AS name, {USER_ID} AS user_id FROM unified
     WHERE {USER_NAME} IS NOT NULL"""
-NAMED = f"""SELECT DISTINCT place, {duck.last_segment('post_url')} AS post_id,
+NAMED = f"""SELECT DISTINCT place, platform, {duck.last_segment('post_url')} AS post_id,
         {duck.last_segment('trim(mention)')} AS name
-    FROM (SELECT place, post_url, unnest([tagged_user_in, tagged_users]) AS mention FROM unified
+    FROM (SELECT place, platform, post_url, unnest([tagged_user_in, tagged_users]) AS mention FROM unified
           WHERE post_url IS NOT NULL) WHERE mention IS NOT NULL"""
 
 
@@ -185,9 +196,9 @@ def platform_rejected(spark, sf_dir):
     return _silver(spark, sf_dir)["post_rejected"]
 
 
-TAGGED = f"""SELECT DISTINCT CAST(post_id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
+TAGGED = f"""SELECT DISTINCT 'Instagram' AS post_type, CAST(post_id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
     FROM (SELECT post_id, unnest({duck.tags('hashtag_comment', True)}) AS tag FROM instagram)"""
-TAGGED_X = f"""SELECT DISTINCT CAST(id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
+TAGGED_X = f"""SELECT DISTINCT 'Twitter' AS post_type, CAST(id AS VARCHAR) AS post_id, trim(lower(tag)) AS hashtag_text
     FROM (SELECT id, unnest({duck.tags('hashtags', False)}) AS tag FROM twitter)"""
 TAG_ID = duck.hash_id("'hashtag'", "hashtag_text")
 
@@ -199,13 +210,13 @@ def platform_hashtags(spark, sf_dir):
 
 
 @query(ctes("instagram", "twitter", tagged=f"{TAGGED} UNION {TAGGED_X}")
-       + f"SELECT DISTINCT post_id, {TAG_ID} AS hashtag_id FROM tagged")
+       + f"SELECT DISTINCT post_type, post_id, {TAG_ID} AS hashtag_id FROM tagged")
 def platform_post_hashtags(spark, sf_dir):
     return _silver(spark, sf_dir)["post_hashtag"]
 
 
 @query(ctes("instagram", "twitter", tagged=f"{TAGGED} UNION {TAGGED_X}", known=TAGGED_X)
-       + f"""SELECT DISTINCT post_id, {TAG_ID} AS hashtag_id FROM tagged
+       + f"""SELECT DISTINCT post_type, post_id, {TAG_ID} AS hashtag_id FROM tagged
        WHERE hashtag_text IN (SELECT hashtag_text FROM known)""")
 def post_hashtag(spark, sf_dir):
     """Tags of both platforms joined by text to the hashtag table of one."""
@@ -214,20 +225,63 @@ def post_hashtag(spark, sf_dir):
     return platforms.link_hashtags(rows.tagged, known)
 
 
-def _mentioned(users: str, source: str, post_id: str, column: str) -> str:
-    return f"""SELECT DISTINCT n.post_id, d.user_id AS mentioned_user_id FROM (
+def _mentioned(kind: str, users: str, source: str, post_id: str, column: str) -> str:
+    return f"""SELECT '{kind}' AS post_type, n.post_id, n.name AS mentioned_name, d.user_id AS mentioned_user_id FROM (
         SELECT DISTINCT CAST({post_id} AS VARCHAR) AS post_id, {duck.last_segment(f'trim({column})')} AS name
         FROM {source} WHERE {column} IS NOT NULL AND {column} <> 'unknown') n
-      LEFT JOIN (SELECT display_name AS name, min(user_id) AS user_id FROM ({users}) GROUP BY 1) d ON d.name = n.name"""
+      LEFT JOIN (SELECT display_name AS name, min(user_id) AS user_id FROM ({users}) GROUP BY 1) d ON d.name = n.name
+      WHERE n.name IS NOT NULL"""
 
 
-@query(ctes("instagram", "twitter") + "SELECT DISTINCT * FROM ("
-       + _mentioned(INSTAGRAM_USERS, "instagram", "post_id", "tagged_users_in_comment") + " UNION ALL "
-       + _mentioned(TWITTER_USERS, "twitter", "id", "tagged_users") + ")")
+MENTIONED = (_mentioned("Instagram", INSTAGRAM_USERS, "instagram", "post_id", "tagged_users_in_comment") + " UNION ALL "
+             + _mentioned("Twitter", TWITTER_USERS, "twitter", "id", "tagged_users"))
+
+
+@query(ctes("instagram", "twitter") + MENTIONED)
 def platform_mentions(spark, sf_dir):
     return _silver(spark, sf_dir)["user_mentions"]
 
 
+# Which rows of bronze came in on the second day.
+LATE_ROWS = {
+    "facebook": "date_created >= '2024-01-15'", "instagram": "comment_date >= '2024-01-15'",
+    "tiktok": "coalesce(post_date_created, '') >= '2024-01-15'", "twitter": "coalesce(date_posted, '') >= '2024-01-15'",
+}
+
+
+def _silver_twice(spark, sf_dir, name):
+    """A silver table after two days of bronze, each folded in by a run of its own."""
+    folder = scratch_folder(spark, "silver-twice")
+    for day, late in (("2024-02-01", "NOT ({})"), ("2024-02-02", "{}")):
+        for platform, condition in LATE_ROWS.items():
+            rows = frame(spark, sf_dir, platform).filter(late.format(condition))
+            stamped = rows.withColumns({"ingestion_time": F.lit(day).cast("timestamp"), "ingestion_date": F.lit(day).cast("date")})
+            publish(stamped, f"{folder}/bronze/{platform}", "append", partition_by=["ingestion_date"])
+        platforms.refresh_silver(spark, f"{folder}/bronze", f"{folder}/silver", as_of=day, layout=["bucket_of_4"])
+    return read_table(spark, f"{folder}/silver/{name}").drop("ingestion_date")
+
+
+EACH_DATED_POST = " UNION ALL ".join(
+    rows.replace("TIMESTAMP '2024-01-31 00:00:00'",
+                 f"CASE WHEN {late} THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-31 00:00:00' END")
+    for rows, late in zip(EACH_POST, LATE_ROWS.values())
+)
+
+
+@query(ctes("facebook", "instagram", "tiktok", "twitter", rows=EACH_DATED_POST)
+       + duck.first_row("post_id, user_id, post_content, post_date, post_url, post_type", HAS_ID,
+                        "post_type, post_id", f"post_date, {POST_ORDER}"))
+def platform_posts_twice(spark, sf_dir):
+    """Posts after two runs: the second reads its own day only, and leaves the dates of known posts alone."""
+    return _silver_twice(spark, sf_dir, "post")
+
+
+@query(ctes("instagram", "twitter") + MENTIONED)
+def platform_mentions_twice(spark, sf_dir):
+    """Mentions after two runs: names that were not known at first are resolved when their users come in."""
+    return _silver_twice(spark, sf_dir, "user_mentions")
+
+
 # --- gold star ------------------------------------------------------------------------
 
 @query(ctes("silver_users") + """SELECT user_id, display_name, biography, is_verified, followed AS followers_count,
@@ -255,8 +309,9 @@ def dim_hashtag(spark, sf_dir):
 
 DATES = """SELECT d AS full_date, CAST(row_number() OVER (ORDER BY d NULLS FIRST) AS INTEGER) AS date_id
     FROM (SELECT DISTINCT CAST(post_date AS DATE) AS d FROM {}) """
-DATED = """SELECT p.post_id, min(d.date_id) AS date_id FROM {} p
-    LEFT JOIN dates d ON d.full_date = CAST(p.post_date AS DATE) GROUP BY p.post_id"""
+DATED = """SELECT p.post_type, p.post_id, d.date_id FROM (
+        SELECT post_type, post_id, min(CAST(post_date AS DATE)) AS d FROM {} GROUP BY post_type, post_id) p
+    LEFT JOIN dates d ON d.full_date = p.d"""
 
 
 @query(ctes("silver_posts") + DATES.format("silver_posts"))
@@ -264,30 +319,51 @@ def date_ids(spark, sf_dir):
     return social_star.dim_date(frame(spark, sf_dir, "silver_posts"))
 
 
-@query(ctes("silver_posts", days="SELECT CAST(post_date AS DATE) AS d, min(post_id % 2) AS late FROM ("
-                            "SELECT CAST(post_id AS BIGINT) AS post_id, post_date FROM silver_posts) "
-                            "WHERE post_date < TIMESTAMP '2024-01-10' OR post_id % 2 = 1 GROUP BY 1 HAVING d IS NOT NULL")
-       + """SELECT d AS full_date, CAST(row_number() OVER (ORDER BY late, d) AS INTEGER) AS date_id FROM days""")
-def date_ids_twice(spark, sf_dir):
-    """Date ids after a second run of the gold step: the first run's days keep theirs."""
+def _star_twice(spark, sf_dir, name):
+    """A gold table after two runs: posts and links of the first days, then those that came in since.
+
+    A link may come in before or after its post, and one id stands for posts of two platforms.
+    """
     folder = scratch_folder(spark, "gold-twice")
-    posts = frame(spark, sf_dir, "silver_posts")
-    late = F.col("post_id").cast("bigint") % 2 == 1
-    early = posts.filter(~late & (F.col("post_date") < "2024-01-10"))
-    links = frame(spark, sf_dir, "post_links")
+    first = frame(spark, sf_dir, "repeated_posts").groupBy("post_type", "post_id").agg(F.min("post_date").alias("post_date"))
+    posts = first.select(
+        "post_id", F.lit("u").alias("user_id"), F.lit("text").alias("post_content"), "post_date",
+        F.lit("url").alias("post_url"), "post_type",
+        F.when(F.col("post_date") < "2024-01-10", F.lit("2024-02-01")).otherwise("2024-02-08").cast("date").alias("ingestion_date"),
+    )
+    links = frame(spark, sf_dir, "post_links").withColumn(
+        "ingestion_date", F.when(F.col("hashtag_id") < 25, F.lit("2024-02-01")).otherwise("2024-02-08").cast("date")
+    )
     tag = F.concat(F.lit("tag "), F.col("hashtag_id").cast("string"))
     tables = {
-        "user": frame(spark, sf_dir, "silver_users"),
-        "hashtag": links.select(F.col("hashtag_id").alias("hastag_id"), tag.alias("hashtag_text")).distinct(),
-        "post_hashtag": links.select("post_id", "hashtag_id").distinct(),
-        "user_mentions": links.select("post_id", "mentioned_user_id").distinct(),
-    }
-    for name, rows in tables.items():
-        publish(rows, f"{folder}/silver/{name}")
-    for rows in (early, posts.filter(late | (F.col("post_date") < "2024-01-10"))):
-        publish(rows, f"{folder}/silver/post")
-        social_star.refresh_gold(spark, f"{folder}/silver", f"{folder}/gold")
-    return read_table(spark, f"{folder}/gold/dim_date")
+        "user": frame(spark, sf_dir, "silver_users").withColumn("ingestion_date", F.lit("2024-02-01").cast("date")),
+        "post": posts,
+        "hashtag": links.groupBy(F.col("hashtag_id").alias("hastag_id"), tag.alias("hashtag_text")).agg(
+            F.min("ingestion_date").alias("ingestion_date")
+        ),
+        "post_hashtag": links.select("post_type", "post_id", "hashtag_id", "ingestion_date"),
+        "user_mentions": links.filter("mentioned_name IS NOT NULL").select(
+            "post_type", "post_id", "mentioned_name", "mentioned_user_id", "ingestion_date"
+        ),
+    }
+    for since, rows in ((None, "ingestion_date < '2024-02-08'"), ("2024-02-08", "true")):
+        for table, all_rows in tables.items():
+            publish(all_rows.filter(rows), f"{folder}/silver/{table}")
+        social_star.refresh_gold(spark, f"{folder}/silver", f"{folder}/gold", since=since, layout=["bucket_of_4"])
+    return read_table(spark, f"{folder}/gold/{name}")
+
+
+# Days of the first run keep their ids, the others are numbered above.
+DATES_TWICE = """SELECT d AS full_date, CAST(row_number() OVER (ORDER BY late, d) AS INTEGER) AS date_id FROM (
+    SELECT CAST(post_date AS DATE) AS d, min(CASE WHEN post_date < TIMESTAMP '2024-01-10' THEN 0 ELSE 1 END) AS late
+    FROM first_posts WHERE post_date IS NOT NULL GROUP BY 1)"""
+FIRST_POSTS = "SELECT post_type, post_id, min(post_date) AS post_date FROM repeated_posts GROUP BY post_type, post_id"
+
+
+@query(ctes("repeated_posts", first_posts=FIRST_POSTS) + DATES_TWICE)
+def date_ids_twice(spark, sf_dir):
+    """Date ids after a second run of the gold step: the first run's days keep theirs."""
+    return _star_twice(spark, sf_dir, "dim_date")
 
 
 def _dated(spark, sf_dir):
@@ -296,23 +372,37 @@ def _dated(spark, sf_dir):
 
 
 STAR = ctes("post_links", "repeated_posts", dates=DATES.format("repeated_posts"), dated=DATED.format("repeated_posts"))
+STAR_TWICE = ctes("post_links", "repeated_posts", first_posts=FIRST_POSTS, dates=DATES_TWICE, dated=DATED.format("first_posts"))
+USAGE = """SELECT l.post_type || '_' || l.post_id || '_' || l.hashtag_id AS usage_id, l.post_type, l.post_id, l.hashtag_id,
+    d.date_id, 1 AS usage_count FROM post_links l LEFT JOIN dated d ON d.post_id = l.post_id AND d.post_type = l.post_type"""
+MENTIONED_POSTS = """SELECT l.post_type || '_' || l.post_id || '_' || l.mentioned_user_id AS mention_id, l.post_type, l.post_id,
+    l.mentioned_name, l.mentioned_user_id, d.date_id
+    FROM post_links l LEFT JOIN dated d ON d.post_id = l.post_id AND d.post_type = l.post_type"""
 
 
 @query(STAR + "SELECT * FROM dated")
 def post_dates(spark, sf_dir):
-    """Date id of every post id; the posts occur more than once."""
+    """Date id of every post; posts occur more than once, and on two platforms under one id."""
     return _dated(spark, sf_dir)
 
 
-@query(STAR + """SELECT l.post_id || '_' || l.hashtag_id AS usage_id, l.post_id, l.hashtag_id, d.date_id,
-    1 AS usage_count FROM post_links l LEFT JOIN dated d ON d.post_id = l.post_id""")
+@query(STAR + USAGE)
 def hashtag_usage(spark, sf_dir):
-    links = frame(spark, sf_dir, "post_links").select("post_id", "hashtag_id")
+    links = frame(spark, sf_dir, "post_links").select("post_type", "post_id", "hashtag_id")
     return social_star.hashtag_usage(links, _dated(spark, sf_dir))
 
 
-@query(STAR + """SELECT l.post_id || '_' || l.mentioned_user_id AS mention_id, l.post_id, l.mentioned_user_id,
-    d.date_id FROM post_links l LEFT JOIN dated d ON d.post_id = l.post_id""")
+@query(STAR_TWICE + USAGE)
+def hashtag_usage_twice(spark, sf_dir):
+    return _star_twice(spark, sf_dir, "fact_hashtag_usage")
+
+
+@query(STAR + MENTIONED_POSTS)
 def user_mention(spark, sf_dir):
-    links = frame(spark, sf_dir, "post_links").select("post_id", "mentioned_user_id")
+    links = frame(spark, sf_dir, "post_links").select("post_type", "post_id", "mentioned_name", "mentioned_user_id")
     return social_star.user_mention(links, _dated(spark, sf_dir))
+
+
+@query(STAR_TWICE + MENTIONED_POSTS + " WHERE l.mentioned_name IS NOT NULL")
+def user_mention_twice(spark, sf_dir):
+    return _star_twice(spark, sf_dir, "fact_user_mention")

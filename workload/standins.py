@@ -196,21 +196,26 @@ SELECT 'u' || CAST(user_id AS STRING) AS user_id,
 FROM {events} GROUP BY user_id
 """
 
-# Two posts for one id now and then, and ids of no post: link tables of the star.
+# Links of posts: some of a second platform under the same id, some of no post, some mentions of nobody.
 STANDINS["post_links"] = """
-SELECT CASE WHEN event_id % 31 = 4 THEN 'gone-' || CAST(event_id AS STRING)
+SELECT CASE WHEN event_id % 5 = 0 THEN 'mirror' ELSE event_type END AS post_type,
+       CASE WHEN event_id % 31 = 4 THEN 'gone-' || CAST(event_id AS STRING)
             ELSE CAST(event_id AS STRING) END AS post_id,
        user_id % 40 AS hashtag_id,
        CASE WHEN event_id % 23 = 9 THEN CAST(NULL AS STRING)
+            ELSE 'user ' || CAST((user_id * 7) % 1000 AS STRING) END AS mentioned_name,
+       CASE WHEN event_id % 23 = 9 OR event_id % 19 = 2 THEN CAST(NULL AS STRING)
             ELSE 'u' || CAST((user_id * 7) % 1000 AS STRING) END AS mentioned_user_id
 FROM {events}
 """
 
-# Each post once more with a later date, so that post_id is not unique.
+# Some posts once more with other dates, on their own platform and on another one, so that neither
+# the id alone nor the platform and the id are unique.
 STANDINS["repeated_posts"] = """
-SELECT post_id, post_date FROM {silver_posts}
+SELECT post_type, post_id, post_date FROM {silver_posts}
 UNION ALL
-SELECT post_id, CAST(o_orderdate AS TIMESTAMP) AS post_date
+SELECT CASE WHEN o_orderstatus = 'F' THEN post_type ELSE 'mirror' END AS post_type, post_id,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS TIMESTAMP) ELSE post_date END AS post_date
 FROM {silver_posts} JOIN {orders} ON post_id = CAST(o_orderkey AS STRING)
 """
 
@@ -265,7 +270,8 @@ SELECT CASE WHEN event_id % 9 = 0 THEN CAST(NULL AS STRING)
        CASE WHEN event_id % 8 = 0 THEN CAST(NULL AS STRING)
             ELSE 'https://www.tiktok.com/@shop/video/' || CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING)
             END AS post_url,
-       CASE event_id % 3 WHEN 0 THEN CAST(7200000000000000000 + event_id AS STRING) WHEN 1 THEN '7123456789012345678'
+       CASE WHEN event_id % 72 = 0 THEN CAST(NULL AS STRING)
+            WHEN event_id % 3 = 0 THEN CAST(7200000000000000000 + event_id AS STRING) WHEN event_id % 3 = 1 THEN '7123456789012345678'
             ELSE CAST(NULL AS STRING) END AS post_id,
        CASE WHEN event_id % 6 = 1 THEN 'yesterday' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS post_date_created,
        CASE WHEN event_id % 6 = 2 THEN CAST(NULL AS STRING)
