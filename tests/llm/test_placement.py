@@ -213,3 +213,30 @@ def test_packed_pieces_read_back(documents, odd_documents):
         ends = np.cumsum([n for _, n in sorted(pieces)])
         assert [o for o, _ in sorted(pieces)] == [0, *ends[:-1]] and ends[-1] <= 128
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_configurations_of_large_pieces_carry_the_plan():
+    draw = random.Random(9)
+    counts = Counter(min(2047, max(20, int(draw.lognormvariate(6.4, 0.8)))) for _ in range(12_000))
+    least = -(-sum(length * n for length, n in counts.items()) // 2048)
+    made = packing.plan(dict(counts))
+    assert made.sequences <= least * 1.003
+    large, used = Counter(), Counter()
+    for length, _, count, sequence, offset in made.places:
+        for k in range(count):
+            used[sequence + k] += length
+            large[sequence + k] += length > max(packing.LARGE) * 2048
+    assert max(used.values()) <= 2048 and sum(used.values()) == sum(length * n for length, n in counts.items())
+    grouped = packing.grouped_plan(dict(counts), 2048, packing.GROUPS, packing.LARGE[0])
+    assert grouped.sequences == made.sequences
+    assert sum(n >= 2 for n in large.values()) > 0.25 * made.sequences
+
+
+def test_the_last_piece_of_a_configuration_is_the_largest_that_fits():
+    supply = packing._Supply({1000: [(900, 1), (1000, 2)], 1040: [(1010, 1), (1040, 1)]})
+    assert supply.choose([1000, 1000], 2048) == [1000, 1040]
+    for length in (1040, 1010):
+        supply.take(length, 1)
+    assert supply.choose([1000, 1000], 2048) == [1000, 1000]
+    supply.take(1000, 2)
+    assert supply.choose([1000, 1000], 2048) == []

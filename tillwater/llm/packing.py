@@ -4,12 +4,13 @@ Every document becomes its token ids and an end id 0; one longer than a sequence
 pieces of the full length, the first of which may be shorter. Only the histogram of piece
 lengths (at most one row per length) reaches the driver, which plans the sequences:
 
-1. full pieces fill a sequence each; the other lengths above a share ``LARGE`` of a sequence
-   (the best of a few shares) are sorted and split into groups of equal cardinality, and each length is rounded up to its group's largest;
+1. full pieces fill a sequence each; the other lengths above a share ``LARGE`` of a sequence (the best
+   of a few shares) are sorted and split into groups of equal cardinality, and each length is rounded
+   up to its group's largest;
 2. with the few rounded sizes, configurations (sets of sizes that fit a sequence) are
    optimised by column generation: a linear program whose columns come from a knapsack;
-3. the whole parts of the solution are filled with actual lengths, largest first, which
-   leaves each sequence the room that the rounding took;
+3. the whole parts of the solution are filled with actual lengths, largest first; the last piece of
+   a sequence is the largest that fits, which wins back the room that the rounding took;
 4. what is left, and all small pieces, goes best-fit, longest first, into the sequence with
    the least room that suffices, or opens a new one.
 
@@ -38,9 +39,10 @@ from tillwater.llm.tokens import Encoder, vocabulary
 
 CAPACITY = 2048
 #: Pieces longer than this share of a sequence are grouped, the others are small: each share is
-#: tried, and the plan with the fewest sequences is taken.
-LARGE = (1 / 2, 2 / 5, 1 / 4, 1 / 8)
-GROUPS = 48
+#: tried, and the plan with the fewest sequences is taken. Above a half, no two grouped pieces fit
+#: together, and configurations would decide nothing.
+LARGE = (2 / 5, 1 / 3, 1 / 4)
+GROUPS = 32
 #: Columns that the linear program may generate.
 COLUMNS = 400
 #: Buckets that share the pieces of one length while they are numbered.
@@ -185,6 +187,44 @@ class Plan:
                 self.close(first + full, n - full, room)
 
 
+class _Supply:
+    """The actual lengths of the groups, and how many pieces of each are left."""
+
+    def __init__(self, groups: dict[int, list[tuple[int, int]]]):
+        self.left: dict[int, int] = defaultdict(int)
+        self.lengths = {size: sorted({length for length, _ in group}) for size, group in groups.items()}
+        for group in groups.values():
+            for length, n in group:
+                self.left[length] += n
+        self.all = sorted(self.left)
+
+    def count(self, length: int) -> int:
+        return self.left[length]
+
+    def take(self, length: int, count: int) -> None:
+        self.left[length] -= count
+        if not self.left[length]:
+            self.all.remove(length)
+
+    def choose(self, slots: list[int], capacity: int) -> list[int]:
+        """Actual lengths for the slots of a configuration, none if one cannot be filled.
+
+        A slot takes its group's largest length, and the last one the largest of all groups that fits:
+        the lengths before it are below their groups' sizes, and it makes up for them.
+        """
+        chosen: list[int] = []
+        for at, size in enumerate(slots):
+            last = at == len(slots) - 1
+            lengths = self.all if last else self.lengths[size]
+            k = bisect.bisect_right(lengths, capacity - sum(chosen) if last else size) - 1
+            while k >= 0 and self.left[lengths[k]] <= chosen.count(lengths[k]):
+                k -= 1
+            if k < 0:
+                return []
+            chosen.append(lengths[k])
+        return chosen
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
     """Sequences for ``counts`` (pieces by length): the best plan over the shares of ``LARGE``."""
     least = -(-sum(length * n for length, n in counts.items()) // capacity)
@@ -210,22 +250,18 @@ def grouped_plan(counts: dict[int, int], capacity: int, groups: int, share: floa
         merged: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for size, group in zip(sizes, grouped):
             merged[size].extend(group)  # groups that round to one size are one
-        supply = {size: list(group) for size, group in merged.items()}
-        order = sorted(supply)
-        for used, times in configurations(order, [sum(n for _, n in supply[s]) for s in order], capacity):
-            wanted = {size: int(k) for size, k in zip(order, used) if k}
-            # as long as every slot of the configuration can be filled
-            while times and all(sum(n for _, n in supply[s]) >= k for s, k in wanted.items()):
-                run = min([times, *(max(1, supply[s][-1][1] // k) for s, k in wanted.items())])
+        supply = _Supply(merged)
+        order = sorted(merged)
+        for used, times in configurations(order, [sum(n for _, n in merged[s]) for s in order], capacity):
+            slots = [size for size, k in sorted(zip(order, used), reverse=True) for _ in range(int(k))]
+            while times and (lengths := supply.choose(slots, capacity)):
+                run = min(times, *(supply.count(length) // lengths.count(length) for length in lengths))
                 sequence, offset = out.open(run), 0
-                for size in sorted(wanted, reverse=True):
-                    for _ in range(wanted[size]):
-                        length, n = supply[size].pop()
-                        if n > run:
-                            supply[size].append((length, n - run))
-                        left[length] -= run
-                        out.place(length, run, sequence, offset)
-                        offset += length
+                for length in lengths:
+                    supply.take(length, run)
+                    left[length] -= run
+                    out.place(length, run, sequence, offset)
+                    offset += length
                 if offset < capacity:
                     out.close(sequence, run, capacity - offset)
                 times -= run
