@@ -1,5 +1,6 @@
 """Quality rules and the weakly supervised classifier."""
 
+import random
 import re
 from collections import Counter
 
@@ -110,3 +111,68 @@ def test_the_classifier_takes_odd_rows(odd_documents):
     scores = quality_classifier.score(odd_documents)
     assert scores.count() == odd_documents.count() and scores.where("score IS NULL OR score < 0 OR score > 1").isEmpty()
     assert quality_classifier.score(odd_documents.limit(0)).count() == 0
+
+
+def test_posteriors_equal_a_plain_walk_over_documents():
+    """Expectation maximisation document by document, without patterns or arrays."""
+    from math import exp, log
+
+    draw = random.Random(4)
+    documents = []
+    for k in range(300):
+        bad = k % 5 == 0
+        documents.append("".join(
+            draw.choices("gb-", [(0.1, 0.8, 0.1), (0.3, 0.4, 0.3)][j > 0] if bad else (0.8, 0.03, 0.17))[0] for j in range(3)
+        ))
+    belief, table = quality_classifier.posteriors(dict(Counter(documents)))
+
+    def prior(c, j):
+        weight = quality_classifier.PRIOR * len(documents)
+        return [weight * x for x in ((0.9, 0.004, 0.096) if c == 0 else (0.05, 0.9, 0.05))] if c == 0 or j == c - 1 else [1, 1, 1]
+
+    share = [[1.0 if c == (1 + d.index("b") if "b" in d else 0) else 1e-6 for c in range(4)] for d in documents]
+    for _ in range(quality_classifier.ROUNDS):
+        share = [[x / sum(row) for x in row] for row in share]
+        size = [1.0 + sum(row[c] for row in share) for c in range(4)]
+        rate = {}
+        for c in range(4):
+            for j in range(3):
+                found = prior(c, j)[:]
+                for row, d in zip(share, documents):
+                    found["gb-".index(d[j])] += row[c]
+                rate[c, j] = [x / sum(found) for x in found]
+        share = [
+            [exp(log(size[c] / sum(size)) + sum(log(rate[c, j]["gb-".index(v)]) for j, v in enumerate(d))) for c in range(4)]
+            for d in documents
+        ]
+    for d, row in zip(documents, share):
+        assert abs(belief[d] - row[0] / sum(row)) < 1e-6
+    assert all(abs(table[c, j, k] - rate[c, j][k]) < 1e-6 for c in range(4) for j in range(3) for k in range(3))
+
+
+def test_the_scorer_equals_plain_gradient_steps():
+    from math import exp, sqrt
+
+    rows, good, buckets = [([0, 2], [3, 1]), ([1], [2]), ([], []), ([1, 2], [1, 1])], [1.0, 0.0, 0.5, 0.2], 3
+    weights, bias, pace, bias_pace = [0.0] * buckets, 0.0, [1e-8] * buckets, 1e-8
+    for _ in range(quality_classifier.STEPS):
+        errors = []
+        for (b, c), g in zip(rows, good):
+            z = bias + sum(n / sum(c) * weights[k] for k, n in zip(b, c))
+            errors.append(1 / (1 + exp(-z)) - g)
+        for k in range(buckets):
+            slope = sum(e * n / sum(c) for (b, c), e in zip(rows, errors) for j, n in zip(b, c) if j == k) / len(rows)
+            slope += quality_classifier.RIDGE * weights[k] / len(rows)
+            pace[k] += slope**2
+            weights[k] -= 10.0 * slope / sqrt(pace[k])
+        bias_slope = sum(errors) / len(rows)
+        bias_pace += bias_slope**2
+        bias -= 0.5 * bias_slope / sqrt(bias_pace)
+    made = quality_classifier.train(rows, np.array(good), buckets)
+    assert np.allclose(made, [*weights, bias], atol=1e-9)
+
+
+def test_long_shapes_are_told_apart_to_the_end(spark):
+    rows = spark.createDataFrame([(1, "-a" * 9 + "-B"), (2, "-a" * 9 + "-1")], "doc_id bigint, text string")
+    one, other = (r._tokens for r in quality_classifier.tokens(rows, rows.text, 4096).collect())
+    assert one != other

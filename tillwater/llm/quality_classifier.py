@@ -31,6 +31,9 @@ STEPS = 400
 RIDGE = 1e-4
 #: Probability of good quality from which a document is kept.
 THRESHOLD = 0.4
+#: Weight of what is held of the labellers beforehand, as a share of the documents: the classes have few
+#: symptoms in common, and without it some labellers' classes would take in good documents.
+PRIOR = 0.25
 GOOD, BAD, NONE = "g", "b", "-"
 
 
@@ -97,9 +100,9 @@ def posteriors(patterns: dict[str, int], rounds: int = ROUNDS) -> tuple[dict[str
     share = np.full((1 + labellers, len(names)), 1e-6)
     for at, p in enumerate(names):
         share[1 + p.index(BAD) if BAD in p else 0, at] = 1.0
-    # beforehand, at the weight of half the corpus: bad votes on good documents are rare, and a
-    # labeller finds most documents of its own kind; all else is left to the counts
-    weight = 0.5 * count.sum()
+    # beforehand: bad votes on good documents are rare, and a labeller finds most documents of its own
+    # kind; all else is left to the counts
+    weight = PRIOR * count.sum()
     prior = np.ones((1 + labellers, labellers, 3))
     prior[0] = weight * np.array([0.9, 0.004, 0.096])
     prior[1 + np.arange(labellers), np.arange(labellers)] = weight * np.array([0.05, 0.9, 0.05])
@@ -127,7 +130,7 @@ def tokens(df: DataFrame, text: Column, buckets: int) -> DataFrame:
     )
     both = F.concat(
         F.array(F.concat(F.lit("n"), length.cast("string"))),
-        F.transform("_shapes", lambda s: F.concat(F.lit("s"), F.substring(s, 1, 12))),
+        F.transform("_shapes", lambda s: F.concat(F.lit("s"), s)),
         marks,
     )
     bucket = F.transform(both, lambda t: F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int"))
