@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwater.operators.aggregates import first_date, id_lists, last_writer
 from tillwater.operators.shape import align_union, conform, harmonize
-from tillwater.plans import calendar, loads, platforms, retail, sales, social_entities, social_repair, social_star
+from tillwater.plans import calendar, loads, marketplace, platforms, retail, sales, social_entities, social_repair, social_star
 from tillwater.sources import files, manifest
 from tillwater.sources.csv import export_csv, read_csv
 from tillwater.sources.schemas import CLIENTS, SILVER_USER, layout
@@ -553,3 +553,24 @@ def test_one_id_on_two_platforms(spark):
     assert rows(dated) == [("A", "9", 7), ("B", "8", None), ("B", "9", 3)]  # the earliest day, whatever its id
     links = frame(spark, [("A", "9", "t"), ("B", "9", "t"), ("C", "9", "t")], "post_type string, post_id string, hashtag_id string")
     assert rows(social_star.hashtag_usage(links, dated).select("usage_id", "date_id")) == [("A_9_t", 7), ("B_9_t", 3), ("C_9_t", None)]
+
+
+def test_a_feed_replaces_the_edges_of_its_products_only(spark, tmp_path):
+    schema = "id string, product_name string, price double, categories string"
+    listed = lambda *ids: "[" + ",".join('{"categoryId":"%s"}' % c for c in ids) + "]"
+    shop, edges = f"{tmp_path}/shop", lambda: rows(read_table(spark, f"{tmp_path}/shop/category_edges"))
+    first = [(f"v1|{k}|0", "n", 1.0, listed("a", "b")) for k in range(1, 9)] + [("v1|x|0", "n", 1.0, listed("z"))]
+    marketplace.refresh(spark, frame(spark, first, schema), shop, layout=["bucket_of_8"])
+    assert edges() == [(k, c) for k in range(1, 9) for c in "ab"]
+    before = _dirs(f"{shop}/category_edges")
+    second = frame(spark, [("v1|2|0", "new", 2.0, listed("b", "c", "c")), ("v1|9|0", "n", 1.0, "junk"), ("v1|3|0", "n", 1.0, None)], schema)
+    want = [(k, c) for k in range(1, 9) for c in {2: "bc", 3: ""}.get(k, "ab")]
+    for _ in range(2):
+        marketplace.refresh(spark, second, shop, layout=["bucket_of_8"])
+        assert edges() == want
+    after = _dirs(f"{shop}/category_edges")
+    assert any(before[d] == after.get(d) for d in before) and any(before[d] != after.get(d) for d in before)
+    assert {r.product_id: r.product_name for r in read_table(spark, f"{shop}/products").collect()}[2] == "new"
+    nothing = frame(spark, [(f"v1|{k}|0", "n", 1.0, None) for k in range(1, 10)], schema)
+    marketplace.refresh(spark, nothing, shop, layout=["bucket_of_8"])
+    assert edges() == [] and read_table(spark, f"{shop}/category_edges").columns == ["product_id", "category_id"]

@@ -215,6 +215,56 @@ def replace_partitions(
         files.delete(spark, batch)
 
 
+def replace_groups(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str],
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Replace all rows of the given ``groups`` (one row per key) by ``rows``; a group may be left with none.
+
+    In a table of files that is laid out in buckets of the keys only the groups' buckets are read
+    and written; a transactional table is overwritten in one commit.
+    """
+    if not table_exists(spark, path):
+        publish(rows, path, "overwrite", fmt, partition_by=partition_by if fmt in FILE_FORMATS else (), keys=keys)
+        return
+    partition_by = layout_of(spark, path, fmt)
+    new, batch = stage(laid_out(rows, partition_by, keys))
+    named, folder = stage(laid_out(groups.select(*keys), partition_by, keys))
+    try:
+        target = _with_folders(spark, path, fmt, _typed_like(spark, path, fmt, named, partition_by))
+        held = touched_rows(target, named, partition_by) if partition_by else target
+        kept = lookup_join(held, named.select(*keys), keys, "left_anti")
+        merged = kept.unionByName(new)
+        if not partition_by:
+            publish(merged, path, "overwrite", fmt)
+            return
+        merged, result = stage(merged)
+        try:
+            left = {r[0] for r in merged.select(*partition_by).distinct().collect()}
+            _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(*partition_by).save(path)
+            for (bucket,) in named.select(*partition_by).distinct().collect():
+                if bucket not in left:  # no row is left in this bucket
+                    files.delete(spark, f"{path.rstrip('/')}/{partition_by[0]}={bucket}")
+            _keep_schema(merged, path, fmt, partition_by)
+        finally:
+            files.delete(spark, result)
+    finally:
+        files.delete(spark, batch)
+        files.delete(spark, folder)
+
+
+def _typed_like(spark: SparkSession, path: str, fmt: str, df: DataFrame, partition_by: Sequence[str]) -> StructType | None:
+    """The table's schema with the types of ``df`` for its folders' values."""
+    return _with_types_of(df, _with_folders(spark, path, fmt).schema, partition_by) if partition_by else None
+
+
 def _keep_schema(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]) -> None:
     """Give a partitioned table without rows, which has no files, an empty one that says its columns."""
     spark = df.sparkSession

@@ -271,15 +271,28 @@ def market_id(spark, sf_dir):
     return marketplace.shop_products(_market(spark, sf_dir))
 
 
-@query(f"""WITH m AS ({MARKET}),
+EDGES = f"""WITH m AS ({MARKET}),
     e AS (SELECT {MARKET_ID} AS product_id,
         unnest(json_extract_string(categories, '$[*].categoryId')) AS category_id
-        FROM m WHERE json_valid(categories))
-    SELECT product_id, category_id FROM e WHERE category_id IS NOT NULL""")
+        FROM m WHERE json_valid(categories))"""
+
+
+@query(EDGES + " SELECT product_id, category_id FROM e WHERE category_id IS NOT NULL")
 def category_edges(spark, sf_dir):
     return marketplace.category_edges(_market(spark, sf_dir))
 
 
+@query(EDGES + " SELECT DISTINCT product_id, category_id FROM e WHERE category_id IS NOT NULL AND product_id IS NOT NULL")
+def category_edges_twice(spark, sf_dir):
+    """Stored edges after two feeds: other categories of all products, then the present ones."""
+    folder = scratch_folder(spark, "market")
+    items = _market(spark, sf_dir)
+    before = items.withColumn("categories", F.lit('[{"categoryId":"old"},{"categoryId":"1"}]'))
+    for feed in (before, items):
+        marketplace.refresh(spark, feed, f"{folder}/shop", layout=["bucket_of_4"])
+    return read_table(spark, f"{folder}/shop/category_edges")
+
+
 @query(ctes("clients") + "SELECT count(*) AS files_rows, count(DISTINCT client_id) AS clients FROM clients")
 def folder_sweep(spark, sf_dir):
     """All CSV files of a folder in one scan."""
