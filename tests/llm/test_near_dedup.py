@@ -88,9 +88,43 @@ def test_odd_rows(odd_documents):
     assert near_dedup.keep(odd_documents.limit(0)).count() == 0
 
 
-def test_components_of_chains_stars_and_nothing(spark):
-    links = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 20)] + [(200, 200)]
-    df = spark.createDataFrame(links, "a bigint, b bigint")
-    got = {r.node: r.root for r in components.components(df).collect()}
-    assert got == {**{k: 0 for k in range(31)}, **{100 + k: 100 for k in range(20)}}
+def roots_of(links):
+    parent = {x: x for link in links for x in link}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("hub_links, held", [(10_000, 1 << 20), (5, 1 << 20), (5, 3)])
+def test_components_of_chains_stars_and_nothing(spark, monkeypatch, hub_links, held):
+    monkeypatch.setattr(components, "HUB_LINKS", hub_links)
+    draw = random.Random(1)
+    links = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(2000, 2000)]
+    links += [(1500, 3000 + k) for k in range(90)] + [(3050, 1100)]  # a hub that hangs on another one
+    links += [(draw.randrange(5000, 5400), draw.randrange(5000, 5400)) for _ in range(260)]
+    df = spark.createDataFrame(links, "a bigint, b bigint").repartition(7)
+    found = components.components(df).collect()
+    assert {r.node: r.root for r in found} == roots_of([x for x in links if x[0] != x[1]])
+    assert len({r.node for r in found}) == len(found)
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_a_task_that_holds_few_nodes_keeps_what_hangs_together(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(components, "HELD_NODES", 3)
+    draw = random.Random(2)
+    links = sorted({(min(x), max(x)) for x in ((draw.randrange(60), draw.randrange(60)) for _ in range(70)) if x[0] != x[1]})
+    links += [(5, k) for k in range(100, 130)]
+    both = sorted([(a, 0, b) for a, b in links] + [(b, 0, a) for a, b in links])
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*both)], ["u", "spread", "v"])
+    out = [r for made in components._round(iter([batch])) for r in made.to_pylist()]
+    assert roots_of([(r["u"], r["v"]) for r in out]) == roots_of(links)
+    assert sorted(r["u"] for r in out if r["home"]) == sorted({x for link in links for x in link})
