@@ -106,6 +106,27 @@ def test_learns_insults_also_with_gaps(spark):
     assert spaced > 0.5 and inserted > clean
 
 
+def test_insults_with_an_inserted_character_are_found_and_clean_documents_left_alone():
+    """Learnt from the given labels; a fifth of them is held out."""
+    import duckdb
+
+    rows = duckdb.sql("""SELECT doc_id, coalesce(text, ''), toxic > 0 FROM '/root/testdata/sf0.1/documents.parquet'
+        JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) WHERE length(text) <= 20000 ORDER BY doc_id""").fetchall()
+    held = [zlib.crc32(str(k).encode()) % 5 == 0 for k, _, _ in rows]
+    taught = [r for r, out in zip(rows, held) if not out]
+    model = toxicity.train([t for _, t, _ in taught], np.array([y for _, _, y in taught]))
+    scores = np.array(model.score([t for (_, t, _), out in zip(rows, held) if out])) >= 0.5
+    toxic = np.array([y for (_, _, y), out in zip(rows, held) if out])
+    assert scores[~toxic].mean() < 0.03 and scores[toxic].mean() > 0.8
+    said = lambda word: model.score([f"you are a {word} today."])[0] >= 0.5
+    known = [w for w in ("worthless", "trash", "stupid", "clown", "idiot", "scum", "loser") if said(w)]
+    assert len(known) >= 6
+    broken = [w[:at] + mark + w[at:] for w in known for at in range(1, len(w)) for mark in "x-*.1"]
+    assert np.mean([said(w) for w in broken]) > 0.8
+    assert all(said(" ".join(w)) for w in known)  # spaced out, behind an article
+    assert not any(said(w) for w in ("plumber", "teacher", "student", "cloud", "trader", "score"))
+
+
 def test_without_labels_every_score_is_zero(spark):
     docs = spark.createDataFrame([(1, "text"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

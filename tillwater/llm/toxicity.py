@@ -1,8 +1,9 @@
 r"""Toxicity: a subsequence string kernel, Nyström landmarks and a linear support vector machine.
 
 Units are lower-cased words without marks at their ends (long ones in overlapping pieces), with
-a sign for the word's start; three or more single letters in a row are one unit, so a spaced-out
-insult is one too. The kernel of two units counts common subsequences of ``LENGTH`` characters,
+a sign for the word's start, which with three letters makes the shortest unit; three or more single
+letters in a row are one unit, with and without the first of them, so a spaced-out insult is one
+too, also behind a word of one letter. The kernel of two units counts common subsequences of ``LENGTH`` characters,
 each weighed by ``DECAY`` per character that it spans, so gaps and inserted characters cost
 little. Sentences are sets of units: their kernel is the sum of unit kernels to the power
 ``POWER`` (a multi-instance kernel, in which near-equal units count most).
@@ -10,8 +11,9 @@ little. Sentences are sets of units: their kernel is the sum of unit kernels to
 Landmarks are units that the labelled training sentences tell apart best. A sentence's features
 are its kernels with the landmarks, whitened by the landmarks' own kernel matrix (Nyström), on
 which a squared-hinge SVM is trained: all sentences of clean documents against, in each toxic
-document, the sentence that scores highest, chosen anew each round. A document's score is a
-logistic function of its best sentence.
+document, the sentence that scores highest, chosen anew each round, and against toxic sentences
+with a character put into their telling units, so that what an insertion leaves of a kernel
+suffices. A document's score is a logistic function of its best sentence.
 
 Being linear, the model is one number per unit. Each Python worker keeps the numbers of units
 it has met; the memo is bounded and changes no result.
@@ -21,7 +23,8 @@ at most ``TRAIN_CHARS`` characters. Scoring reads every whole text.
 
 Defined results: a NULL or empty text has no sentence and gets the score of one without any
 landmark; NULL ids are scored and held out; of labels that disagree on an id the toxic one
-counts, NULL labels none; repeated rows are scored each; without labels of both classes every
+counts, NULL labels none; of several texts of one labelled id the first in order is learnt from; repeated
+rows are scored each; without labels of both classes every
 score is 0; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -47,6 +50,9 @@ _FULL = "^abcdef"
 #: Kernels below this (after the power) count as none.
 FLOOR = 0.17
 RIDGE = 1e-4
+#: Toxic sentences are learnt once more in so many forms, with one of these put into the units that give
+#: them away, and weigh as much as the others together; clean sentences weigh so much more than toxic ones.
+INSERTIONS, MARKS, CLEAN = 3, "-*x", 6.0
 ROUNDS = 5
 #: Sentence scores (margins at -1 and 1) above this say no more than this.
 CLIP = 1.5
@@ -59,16 +65,22 @@ _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
 _ENDS = ".,;:!?\"'()[]{}<>#*$%&|-_~+=/\\`´’‘“”«»…"
 
 
+def _closed_up(spaced: re.Match) -> str:
+    """Single letters in a row as one word, and once more without the first: it may be a word of its own."""
+    word = re.sub(r"[ \t]+", "", spaced[0])
+    return f"{word} {word[1:]}"
+
+
 def sentences(text: str) -> list[list[str]]:
     """The units of each sentence of ``text``."""
-    joined = _SPACED.sub(lambda m: re.sub(r"[ \t]+", "", m[0]), text.lower())
+    joined = _SPACED.sub(_closed_up, text.lower())
     out = []
     for sentence in _SENTENCE.split(joined):
         found = []
         for word in sentence.split():
             word = word.strip(_ENDS)
             if len(word) < UNIT:
-                if len(word) >= LENGTH:
+                if len(word) + 1 >= LENGTH:
                     found.append("^" + word)
             else:
                 found.append("^" + word[: UNIT - 1])
@@ -190,8 +202,8 @@ class Model:
         return out
 
 
-def choose_landmarks(docs: list[list[list[str]]], toxic: np.ndarray, count: int) -> list[str]:
-    """Units and word beginnings that tell the classes apart, no two nearly alike."""
+def choose_landmarks(docs: list[list[list[str]]], toxic: np.ndarray, count: int) -> tuple[list[str], dict[str, float]]:
+    """Units and word beginnings that tell the classes apart, no two nearly alike, and how well units do."""
     holders: dict[str, set[int]] = defaultdict(set)
     seen = Counter()
     for k, split in enumerate(docs):
@@ -226,7 +238,7 @@ def choose_landmarks(docs: list[list[list[str]]], toxic: np.ndarray, count: int)
                 continue
         chosen.append(unit)
         sizes = sizes_of(chosen)
-    return chosen
+    return chosen, rated
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
@@ -245,9 +257,14 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
+def _broken(unit: str) -> list[str]:
+    """The unit with one character put in at each place after the first letter."""
+    return [unit[:at] + mark + unit[at:] for at in range(2, len(unit)) for mark in MARKS]
+
+
 def train(texts: list[str], toxic: np.ndarray, count: int = LANDMARKS) -> Model:
     docs = [sentences(t) for t in texts]
-    landmarks = choose_landmarks(docs, toxic, count) if toxic.any() and not toxic.all() else []
+    landmarks, rated = choose_landmarks(docs, toxic, count) if toxic.any() and not toxic.all() else ([], {})
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 0.0, 0.0)
     model = Model(landmarks, np.zeros(len(landmarks)), 0.0, 1.0, 0.0)
@@ -259,6 +276,12 @@ def train(texts: list[str], toxic: np.ndarray, count: int = LANDMARKS) -> Model:
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
 
+    # toxic sentences once more, with a character put into the units that give them away
+    broken = {u: _broken(u) for u in landmarks if rated.get(u, 0) > 0}
+    new = sorted({v for u, found in broken.items() for v in found} - set(active))
+    for unit, row in zip(new, unit_features(new, landmarks, model.sizes)):
+        if row.any():
+            active[unit] = row
     owner, rows, empty = [], [], 0
     for k, split in enumerate(docs):
         for found in split:
@@ -268,13 +291,23 @@ def train(texts: list[str], toxic: np.ndarray, count: int = LANDMARKS) -> Model:
                 rows.append(np.sum(near, axis=0))
             else:
                 empty += not toxic[k]
+    extra = []
+    for k in np.flatnonzero(toxic):
+        for found in docs[k]:
+            hit = [u for u in found if u in broken]
+            for at in range(INSERTIONS if hit else 0):
+                near = [active[u] for u in found if u in active and u not in broken]
+                near += [active[v] for u in hit if (v := broken[u][(k + at * 7) % len(broken[u])]) in active]
+                if near:
+                    extra.append(np.sum(near, axis=0))
     owner, raw = np.array(owner), np.array(rows)
     x = raw @ root
     clean = ~toxic[owner]
+    inserted = np.array(extra).reshape(-1, len(landmarks)) @ root
     against = np.vstack([x[clean], np.zeros((1, x.shape[1]))])
-    # clean sentences weigh as much together as toxic documents, those without landmarks little
+    # clean sentences weigh CLEAN times as much together as toxic documents, those without landmarks little
     counts = np.concatenate([np.ones(clean.sum()), [min(empty, clean.sum()) + 1]])
-    counts *= toxic.sum() / counts.sum()
+    counts *= CLEAN * toxic.sum() / counts.sum()
     score = raw.sum(axis=1)
     for _ in range(ROUNDS):
         best: dict[int, int] = {}
@@ -283,9 +316,9 @@ def train(texts: list[str], toxic: np.ndarray, count: int = LANDMARKS) -> Model:
                 best[owner[at]] = at
         found = x[sorted(best.values())]
         w = squared_hinge(
-            np.vstack([found, against]),
-            np.concatenate([np.ones(len(found)), -np.ones(len(against))]),
-            np.concatenate([np.ones(len(found)), counts]),
+            np.vstack([found, inserted, against]),
+            np.concatenate([np.ones(len(found) + len(inserted)), -np.ones(len(against))]),
+            np.concatenate([np.ones(len(found)), np.full(len(inserted), len(found) / max(1, len(inserted))), counts]),
         )
         score = x @ w[:-1] + w[-1]
     model.weights, model.bias = root @ w[:-1], float(w[-1])
@@ -327,7 +360,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     chosen = usable.where("toxic").orderBy(*order).limit(train_rows).union(
         usable.where("NOT toxic").orderBy(*order).limit(train_rows)
     )
-    sample = short.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # at most 2 x train_rows ids
+    picked = short.join(F.broadcast(chosen), "doc_id")  # at most 2 x train_rows ids
+    sample = picked.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = sample.orderBy("doc_id").toPandas()
     return train(rows["text"].tolist(), rows["toxic"].to_numpy(bool))
 
