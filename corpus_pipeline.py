@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwater.llm import mixing, near_dedup, packing, quality_classifier, quality_rules
 from tillwater.llm.common import scratch_path, table
+from tillwater.sources import files
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,11 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each one gives is written and read again."""
+    """All stages over ``documents``; what each one gives is written, read by the next one, and then deleted."""
     docs = table(spark, sf_dir, "documents")
     base = scratch_path(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         path = f"{base}/{k}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            files.delete(spark, f"{base}/{k - 1}")
     return docs
