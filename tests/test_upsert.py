@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tillwater.operators.keys import dedup_on, latest, resolve
-from tillwater.operators.upsert import merge_all, merge_cols, require_single_match, same_named
+from tillwater.operators.upsert import merge_all, merge_cols, merge_cols_in_place, require_single_match, same_named
 from tillwater.plans import retail, sales
 
 PAIR = "k int, v string"
@@ -160,3 +160,17 @@ def test_a_merge_that_reads_once_scans_each_side_once(spark, tmp_path):
     target, source = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("target", "source"))
     plan = merge_cols(target, source, ["k"], {"v": "source.v"}, same_named(["k", "v"]), once=True)
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+@pytest.mark.parametrize("shares", [1, 3])
+def test_a_merge_by_place_agrees_and_shuffles_once(spark, shares):
+    target = spark.createDataFrame(
+        [(1, "x", 1, 7), (2, "y", 2, 7), (2, "z", 3, 7), (None, "n", 4, 8), (5, "e", 5, 8)], "k int, v string, w int, p int"
+    )
+    source = spark.createDataFrame([(2, "Y", 7), (3, "z", 7), (None, "m", 8), (5, None, 8), (6, "s", 9), (6, "t", 9)], "k int, v string, p int")
+    maps = {"v": "concat(target.v, source.v)"}, same_named(["k", "v", "p"])
+    merged = merge_cols_in_place(target, source, ["k"], *maps, ["p"], shares)
+    assert merged.schema == target.schema
+    assert rows(merged) == rows(merge_cols(target, source, ["k"], *maps, once=True))
+    merged.collect()
+    assert merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1

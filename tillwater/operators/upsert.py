@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tillwater.operators.keys import lookup_join, require_key
 
@@ -105,6 +106,63 @@ def _merged_once(target, source, keys, set, values) -> DataFrame:
     return both.select(*columns)
 
 
+def mergeable_in_place(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether equal keys and places hash alike on both sides, as :func:`merge_cols_in_place` needs it."""
+    kinds = [(target.schema[c].dataType, source.schema[c].dataType) for c in columns]
+    return all(a == b and not isinstance(a, (FloatType, DoubleType)) for a, b in kinds)
+
+
+def merge_cols_in_place(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    set: Mapping[str, str],
+    values: Mapping[str, str],
+    places: Sequence[str],
+    shares: int = 1,
+) -> DataFrame:
+    """:func:`merge_cols` where a key has the same ``places`` (partition columns) on both sides, in one shuffle.
+
+    Rows of both sides go by place and one of ``shares`` hashes of the key, so that each task holds
+    whole shares of a few places and the result can be written by place as it lies.  A key has one
+    source row at most.
+    """
+    located = [*keys, *places]
+    rest = {"target": [c for c in target.columns if c not in located], "source": [c for c in source.columns if c not in located]}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*located, F.struct(F.lit(True).alias("_here"), *rest[name]).alias(name))
+
+    both = side(target, "target").unionByName(side(source, "source"), allowMissingColumns=True)
+    share = F.pmod(F.xxhash64(*keys), F.lit(shares))
+    dealt = both.withColumn("_share", share).repartition(*places, "_share")
+    same_key = Window.partitionBy(*places, "_share", *keys)
+    keyed = F.lit(True)
+    for key in keys:
+        keyed = keyed & F.col(key).isNotNull()
+    found = dealt.withColumns(
+        {
+            "_is_target": F.col("target").isNotNull(),
+            "_known": keyed & F.max(F.col("target").isNotNull()).over(same_key),
+            "source": F.when(keyed & F.col("target").isNotNull(), F.first("source", ignorenulls=True).over(same_key)).otherwise(
+                F.col("source")
+            ),
+        }
+    ).filter("_is_target OR NOT _known")
+
+    def whole(name: str) -> Column:
+        return F.struct(*located, *[F.col(f"{name}.{c}").alias(c) for c in rest[name]]).alias(name)
+
+    changed = F.col("source._here").isNotNull()
+    rows = found.select("_is_target", changed.alias("_changed"), whole("target"), whole("source"))
+    columns = []
+    for c in target.columns:
+        kind, kept = target.schema[c].dataType, F.col(f"target.{c}")
+        on_match = F.when(F.col("_changed"), F.expr(set[c]).cast(kind)).otherwise(kept) if c in set else kept
+        columns.append(F.when(F.col("_is_target"), on_match).otherwise(F.expr(values.get(c, "NULL")).cast(kind)).alias(c))
+    return rows.select(*columns)
+
+
 def same_named(columns: Sequence[str]) -> dict[str, str]:
     """A column map that takes each column from the source column of that name."""
     return {c: f"source.{c}" for c in columns}

@@ -94,8 +94,9 @@ def refresh_facts(
     """
     batch = increment_facts(changed_since(read_table(spark, silver_path, fmt), since))
     upsert_table(
-        spark, facts_path, batch, keys, fmt, partition_by, columns=fact_map(keys), partitions_move=partitions_move
-    )
+        spark, facts_path, batch, keys, fmt, partition_by, columns=fact_map(keys), partitions_move=partitions_move,
+        stored=True,
+    )
 
 
 def build_warehouse(

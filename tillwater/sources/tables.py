@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
 from tillwater.operators.keys import lookup_join
-from tillwater.operators.upsert import merge_all, merge_cols, merge_statement, require_single_match
+from tillwater.operators.upsert import (
+    merge_all, merge_cols, merge_cols_in_place, merge_statement, mergeable_in_place, require_single_match,
+)
 from tillwater.sources import files
 
 # Formats whose table is just the files below its path.
@@ -27,6 +29,8 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv"}
 TYPED_FORMATS = {"parquet", "orc", "delta"}
 # The view that a MERGE reads its batch from.
 MERGE_SOURCE = "_upsert_source"
+# About how many rows of a folder one task merges.
+ROWS_AT_ONCE = 1_000_000
 # The folder that Spark writes rows without a partition value to.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 BUCKETS = re.compile(r"bucket_of_(\d+)")
@@ -306,6 +310,7 @@ def upsert_table(
     merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     columns: ColumnMap | None = None,
     partitions_move: bool = True,
+    stored: bool = False,
 ) -> None:
     """Create the table on the first write; later replace rows by key and add new ones.
 
@@ -322,6 +327,12 @@ def upsert_table(
     The touched folders are committed one by one: a job that fails between them leaves some
     new and some old, and the same upsert run again puts that right.
 
+    Where rows keep their partition, ``columns`` are merged folder by folder, in one shuffle of the batch
+    and the touched rows, and written as they lie.
+
+    ``stored`` says that the batch is a plain selection from a stored table, other than ``path``,
+    which is read again where needed and not staged.
+
     A table of a transactional format is merged by its own MERGE, with the same ``columns``.
     """
     if merge is not None and (columns is not None or fmt not in FILE_FORMATS):
@@ -329,11 +340,12 @@ def upsert_table(
     if not table_exists(spark, path):
         publish(source, path, "overwrite", fmt, partition_by=partition_by, keys=keys)
         return
-    source, batch = stage(source)
+    source, batch = (source, None) if stored else stage(source)
     try:
         _upsert(spark, path, source, keys, fmt, partition_by, check, merge, columns, partitions_move)
     finally:
-        files.delete(spark, batch)
+        if batch:
+            files.delete(spark, batch)
 
 
 def _merge_in_place(spark: SparkSession, source: DataFrame, statement: str) -> None:
@@ -366,14 +378,35 @@ def _upsert(spark, path, source, keys, fmt, partition_by, check, merge, columns,
     elif merge is None:
         merge = lambda target, source: merge_all(target, source, keys)
     if partition_by and not _moves(target, source, keys, partition_by, partitions_move):
-        merged = laid_out(merge(touched_rows(target, source, partition_by), source), partition_by, keys)
-        _gathered(merged, partition_by).write.format(fmt).mode("overwrite").option(
+        held = touched_rows(target, source, partition_by)
+        fixed = not partitions_move or _is_fixed(keys, partition_by)
+        if check and columns is not None and fixed and mergeable_in_place(target, source, [*keys, *partition_by]):
+            shares = _shares(held, source, partition_by)
+            merged = merge_cols_in_place(held, source, keys, columns.set, columns.values, partition_by, shares)
+            ready = laid_out(merged, partition_by, keys)
+        else:
+            ready = _gathered(laid_out(merge(held, source), partition_by, keys), partition_by)
+        ready.write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).save(path)
     else:
         publish(merge(target, source), path, "overwrite", fmt, partition_by=partition_by, keys=keys)
 
 
+def _is_fixed(keys: Sequence[str], partition_by: Sequence[str]) -> bool:
+    """Whether the keys alone say a row's partition."""
+    return all(
+        c in keys or BUCKETS.fullmatch(c) or (q := QUOTIENT.fullmatch(c)) and q[2] in keys for c in partition_by
+    )
+
+
+def _shares(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> int:
+    """In how many parts to merge the largest folder; a count per folder, which needs no other column."""
+    places = target.select(*partition_by).unionByName(source.select(*partition_by))
+    largest = places.groupBy(*partition_by).count().agg(F.max("count")).first()[0] or 0
+    return -(-largest // ROWS_AT_ONCE) or 1
+
+
 def _with_types_of(
     source: DataFrame, existing: StructType, columns: Sequence[str]
 ) -> StructType:
@@ -385,7 +418,8 @@ def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[st
 
     The batch's buckets (as many as the layout has at most), or else its lowest and highest value
     per partition column, become a filter that the scan lists its folders by; where bounds do
-    not say it all, a join makes the result exact, and can split a large partition.
+    not say it all, a join makes the result exact.  Its other side has one row per folder, which the
+    driver lists anyhow, so it is broadcast and the target is not shuffled.
     """
     if len(partition_by) == 1 and BUCKETS.fullmatch(partition_by[0]):
         touched = [r[0] for r in source.select(*partition_by).distinct().collect()]
@@ -395,7 +429,7 @@ def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[st
     ).first()
     for column in partition_by:
         target = target.filter(F.col(column).between(bounds[f"{column}0"], bounds[f"{column}1"]))
-    return lookup_join(target, source.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    return target.join(F.broadcast(source.select(*partition_by).distinct()), list(partition_by), "left_semi")
 
 
 def _moves(
@@ -411,8 +445,7 @@ def _moves(
         no_partition = no_partition | F.col(column).isNull()
     if not source.filter(no_partition).isEmpty():
         return True
-    fixed = [c for c in partition_by if c in keys or BUCKETS.fullmatch(c) or (q := QUOTIENT.fullmatch(c)) and q[2] in keys]
-    if not partitions_move or len(fixed) == len(partition_by):
+    if not partitions_move or _is_fixed(keys, partition_by):
         return False
     stays = F.lit(True)
     for column in partition_by:
