@@ -574,3 +574,30 @@ def test_a_feed_replaces_the_edges_of_its_products_only(spark, tmp_path):
     nothing = frame(spark, [(f"v1|{k}|0", "n", 1.0, None) for k in range(1, 10)], schema)
     marketplace.refresh(spark, nothing, shop, layout=["bucket_of_8"])
     assert edges() == [] and read_table(spark, f"{shop}/category_edges").columns == ["product_id", "category_id"]
+
+
+def test_a_key_of_two_folders_is_matched_in_both(spark, tmp_path):
+    path, schema, maps = f"{tmp_path}/t", "k int, v string, day int", ColumnMap(
+        {"v": "source.v", "day": "source.day"}, {"k": "source.k", "v": "source.v", "day": "source.day"}
+    )
+    old = [(1, "a", 20240105), (1, "b", 20240228), (2, "c", 20240201)]
+    publish(frame(spark, old, schema), path, partition_by=["div_100_of_day"], keys=["k"])
+    publish(frame(spark, [(1, "A", 20240106), (2, "C", 20240202)], schema), f"{tmp_path}/batch")
+    batch = read_table(spark, f"{tmp_path}/batch")
+    upsert_table(spark, path, batch, ["k"], columns=maps, partitions_move=False, stored=True)
+    assert rows(read_table(spark, path)) == [(1, "A", 20240106), (1, "A", 20240106), (2, "C", 20240202)]
+
+
+def test_a_stored_batch_is_merged_by_folder_without_staging(spark, tmp_path, monkeypatch):
+    from tillwater.sources import tables
+
+    path, schema = f"{tmp_path}/t", "k int, v string, day int"
+    maps = ColumnMap({"v": "source.v"}, {"k": "source.k", "v": "source.v", "day": "source.day"})
+    publish(frame(spark, [(1, "a", 20240105), (2, "b", 20240228)], schema), path, partition_by=["div_100_of_day"], keys=["k"])
+    publish(frame(spark, [(2, "B", 20240227), (3, "c", 20240301)], schema), f"{tmp_path}/batch")
+    monkeypatch.setattr(tables, "stage", None)
+    monkeypatch.setattr(tables, "_gathered", None)  # no second shuffle
+    monkeypatch.setattr(tables, "ROWS_AT_ONCE", 1)
+    batch = read_table(spark, f"{tmp_path}/batch")
+    upsert_table(spark, path, batch, ["k"], columns=maps, partitions_move=False, stored=True)
+    assert rows(read_table(spark, path)) == [(1, "a", 20240105), (2, "B", 20240228), (3, "c", 20240301)]

@@ -327,7 +327,7 @@ def upsert_table(
     The touched folders are committed one by one: a job that fails between them leaves some
     new and some old, and the same upsert run again puts that right.
 
-    Where rows keep their partition, ``columns`` are merged folder by folder, in one shuffle of the batch
+    Where no key lies in two folders, ``columns`` are merged folder by folder, in one shuffle of the batch
     and the touched rows, and written as they lie.
 
     ``stored`` says that the batch is a plain selection from a stored table, other than ``path``,
@@ -379,8 +379,8 @@ def _upsert(spark, path, source, keys, fmt, partition_by, check, merge, columns,
         merge = lambda target, source: merge_all(target, source, keys)
     if partition_by and not _moves(target, source, keys, partition_by, partitions_move):
         held = touched_rows(target, source, partition_by)
-        fixed = not partitions_move or _is_fixed(keys, partition_by)
-        if check and columns is not None and fixed and mergeable_in_place(target, source, [*keys, *partition_by]):
+        by_folder = check and columns is not None and mergeable_in_place(target, source, [*keys, *partition_by])
+        if by_folder and (_is_fixed(keys, partition_by) or _in_one_place(held, source, keys, partition_by)):
             shares = _shares(held, source, partition_by)
             merged = merge_cols_in_place(held, source, keys, columns.set, columns.values, partition_by, shares)
             ready = laid_out(merged, partition_by, keys)
@@ -400,6 +400,13 @@ def _is_fixed(keys: Sequence[str], partition_by: Sequence[str]) -> bool:
     )
 
 
+def _in_one_place(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> bool:
+    """Whether no key lies in two folders of the rows at hand; by hashes, so that a chance hit says no."""
+    both = target.select(*keys, *partition_by).unionByName(source.select(*keys, *partition_by)).dropna(subset=list(keys))
+    places = both.select(F.xxhash64(*keys).alias("key"), F.xxhash64(*partition_by).alias("place"))
+    return places.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("high")).filter("low <> high").isEmpty()
+
+
 def _shares(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> int:
     """In how many parts to merge the largest folder; a count per folder, which needs no other column."""
     places = target.select(*partition_by).unionByName(source.select(*partition_by))
