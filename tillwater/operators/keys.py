@@ -33,12 +33,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     """One row per key in ``order``; ties are broken by all other columns.
 
     The filter sits right above ``row_number``, so each map task keeps one row per
-    key before the shuffle and a hot key costs at most one row per task.
+    key before the shuffle and a hot key costs at most one row per task.  A hash of the keys leads
+    the sort: numbers tell most rows apart, where texts that begin alike are compared in full.
     """
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    window = Window.partitionBy(*keys).orderBy(*order, *rest)
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order, *rest)
     return df.withColumn("row_num", F.row_number().over(window)).filter("row_num = 1").drop("row_num")
 
 
@@ -74,12 +75,13 @@ def lookup_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "
     Adaptive execution splits a skewed partition only where both sides were shuffled
     for this join, and where no later step relies on the join's partitioning.  A dim that
     was just grouped by the key, or a later grouping by it, rules the split out.  A hash of
-    the key as one more join column gives the join a partitioning that nothing else uses.
+    the key as one more join column gives the join a partitioning that nothing else uses, and
+    as the first one it keeps the sort from comparing texts.
     A dim within the broadcast limit is broadcast and nothing is shuffled.
     """
     tag = F.xxhash64(*keys)
     joined = df.withColumn("_key_hash", tag).join(
-        dim.withColumn("_key_hash", tag), [*keys, "_key_hash"], how
+        dim.withColumn("_key_hash", tag), ["_key_hash", *keys], how
     )
     return joined.drop("_key_hash")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,9 @@ from tillwater.functions.text import (
 from tillwater.operators.keys import dedup_on, least_per_key, lookup_join, resolve
 from tillwater.operators.shape import align_union, typed_nulls
 from tillwater.sources import manifest
-from tillwater.sources.tables import FILE_FORMATS, read_table, replace_partitions, table_exists, upsert_table
+from tillwater.sources.tables import (
+    FILE_FORMATS, at_once, read_table, replace_partitions, table_exists, upsert_table,
+)
 
 TAG_SCOPE = "hashtag"
 # One id may stand for posts of two platforms.
@@ -64,16 +67,17 @@ def _came(df: DataFrame, as_of) -> Column:
 
 
 def _users(
-    df: DataFrame, user_id: Column, display_name: Column, biography: Column, user_type: str, as_of
+    df: DataFrame, of: Sequence[str], user_id: Column, display_name: Column, biography: Column, user_type: str, as_of
 ) -> DataFrame:
-    return df.select(
+    """The users of some rows, with few repeats: what the columns ``of`` hold is put together before ids are made of it."""
+    return df.select(*of, _came(df, as_of)).distinct().select(
         user_id.cast("string").alias("user_id"),
         display_name.alias("display_name"),
         biography.alias("biography"),
         F.lit(True).alias("is_verified"),
         *typed_nulls({"following": "int", "followed": "int", "post": "int"}),
         F.lit(user_type).alias("user_type"),
-        _came(df, as_of),
+        "ingestion_date",
     )
 
 
@@ -149,7 +153,7 @@ def facebook(df: DataFrame, as_of=None) -> PlatformRows:
     name, user_id = "Facebook", F.col("user_id")
     post_id = first_post_id(F.col("post_id").cast("string"), F.lit(None).cast("string"), "post_url")
     return PlatformRows(
-        users=_users(df, user_id, F.col("user_name"), F.col("user_url"), name, as_of),
+        users=_users(df, ["user_id", "user_name", "user_url"], user_id, F.col("user_name"), F.col("user_url"), name, as_of),
         posts=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), name, as_of),
     )
 
@@ -159,7 +163,7 @@ def instagram(df: DataFrame, as_of=None) -> PlatformRows:
     url = F.coalesce("comment_user_url", F.lit(""))
     user_id = hash_id(F.lit(name), url)
     return PlatformRows(
-        users=_users(df, user_id, instagram_handle(url, url), url, name, as_of),
+        users=_users(df, ["comment_user_url"], user_id, instagram_handle(url, url), url, name, as_of),
         posts=_posts(df, post_id, user_id, F.lit(None), F.col("post_url"), name, as_of),
         tagged=tagged_posts(df, post_id, "hashtag_comment", True, name, as_of),
         mentioned=_mentioned(df, post_id, ["tagged_users_in_comment"], name, as_of),
@@ -170,7 +174,7 @@ def tiktok(df: DataFrame, as_of=None) -> PlatformRows:
     name, url = "TikTok", F.coalesce("commenter_url", F.lit(""))
     user_id = hash_id(F.lit(name), url)
     return PlatformRows(
-        users=_users(df, user_id, tiktok_handle(url, url), url, name, as_of),
+        users=_users(df, ["commenter_url"], user_id, tiktok_handle(url, url), url, name, as_of),
         posts=_posts(df, F.col("post_id"), user_id, F.lit(None), F.col("post_url"), name, as_of),
     )
 
@@ -181,7 +185,7 @@ def twitter(df: DataFrame, as_of=None) -> PlatformRows:
     display_name = twitter_name("user_posted", F.coalesce("user_posted", F.lit("")))
     user_id = hash_id(F.lit(name), display_name)
     return PlatformRows(
-        users=_users(df, user_id, display_name, twitter_profile(display_name), name, as_of),
+        users=_users(df, ["user_posted"], user_id, display_name, twitter_profile(display_name), name, as_of),
         posts=_posts(df, post_id, user_id, F.col("description"), F.col("url"), name, as_of),
         tagged=tagged_posts(df, post_id, "hashtags", False, name, as_of),
         mentioned=_mentioned(df, post_id, ["tagged_users"], name, as_of),
@@ -287,12 +291,15 @@ def refresh_silver(
         name: manifest.chosen(read_table(spark, f"{bronze}/{name}", fmt), "ingestion_date", days) for name, days in todo.items()
     }
     rows = platform_rows(batch, as_of)
-    for name, table in batch_tables(rows).items():
+
+    def fold(name: str, table: DataFrame) -> None:
         if name == "post_rejected":
             arrival = F.concat_ws(" ", "post_type", "ingestion_date").alias("arrival")
             replace_partitions(table.select("*", arrival), f"{silver}/{name}", "arrival", fmt=fmt)
         else:
             _fold(spark, f"{silver}/{name}", table, name, fmt, layout)
+
+    at_once(spark, [partial(fold, name, table) for name, table in batch_tables(rows).items()], fmt)
     mentioned = _open_mentions(spark, silver, rows, fmt, as_of)
     if mentioned is not None:
         asked = mentioned.select(F.col("post_type").alias("user_type"), F.col("mentioned_name").alias("display_name"))

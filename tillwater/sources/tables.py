@@ -11,8 +11,10 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
@@ -140,10 +142,13 @@ def publish(
     replace_schema: bool = False,
     partition_by: Sequence[str] = (),
     keys: Sequence[str] = (),
+    gathered: bool = True,
 ) -> None:
     """Write ``df`` to ``path``; ``overwrite`` and ``append`` check the table's columns.
 
     ``keys`` are what a hidden ``bucket_of_<n>`` layout in ``partition_by`` hashes.
+    ``gathered=False`` writes rows of partition folders from the tasks they are in, without a shuffle: for a
+    batch of one folder or few, such as a day's load.
 
     An overwrite of a file table is written next to it and moved into place, so
     ``df`` may read the table it replaces, and a failed job leaves the table alone.  A
@@ -165,7 +170,7 @@ def publish(
                 "columns differ from the table; pass replace_schema=True to replace them"
             )
 
-    writer = _gathered(df, partition_by).write.format(fmt)
+    writer = (_gathered(df, partition_by) if gathered else df).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -299,6 +304,17 @@ def stage(df: DataFrame, purpose: str = "batch") -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(folder), folder
 
 
+def at_once(spark: SparkSession, steps: Sequence[Callable[[], None]], fmt: str = "parquet") -> None:
+    """Run steps on different tables side by side, so that tasks of one fill the cores that another leaves idle.
+
+    All steps end before the first error is raised.  Tables of a transactional format go one after
+    the other, as their MERGE reads a view of one name.
+    """
+    with ThreadPoolExecutor(len(steps) if fmt in FILE_FORMATS else 1) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            running.result()
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tillwater.plans import platforms, social_entities, social_star
 from tillwater.sources.files import scratch_folder
-from tillwater.sources.tables import publish, read_table
+from tillwater.sources.tables import at_once, publish, read_table
 from workload import duck
 from workload.columns import AS_OF, INSTAGRAM_HANDLE, TIKTOK_HANDLE, TWITTER_NAME
 from workload.registry import query
@@ -253,10 +255,13 @@ def _silver_twice(spark, sf_dir, name):
     """A silver table after two days of bronze, each folded in by a run of its own."""
     folder = scratch_folder(spark, "silver-twice")
     for day, late in (("2024-02-01", "NOT ({})"), ("2024-02-02", "{}")):
-        for platform, condition in LATE_ROWS.items():
+
+        def land(platform, condition):
             rows = frame(spark, sf_dir, platform).filter(late.format(condition))
             stamped = rows.withColumns({"ingestion_time": F.lit(day).cast("timestamp"), "ingestion_date": F.lit(day).cast("date")})
-            publish(stamped, f"{folder}/bronze/{platform}", "append", partition_by=["ingestion_date"])
+            publish(stamped, f"{folder}/bronze/{platform}", "append", partition_by=["ingestion_date"], gathered=False)
+
+        at_once(spark, [partial(land, *rows) for rows in LATE_ROWS.items()])
         platforms.refresh_silver(spark, f"{folder}/bronze", f"{folder}/silver", as_of=day, layout=["bucket_of_4"])
     return read_table(spark, f"{folder}/silver/{name}").drop("ingestion_date")
 
