@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tillwater.operators.keys import dedup_on
+from tillwater.operators.keys import dedup_on, least_per_key
 from tillwater.plans import platforms
-from tillwater.sources.tables import at_once, publish, read_table
+from tillwater.sources.tables import at_once, publish, read_table, stage
 
 
 def plan_of(df):
@@ -66,3 +66,32 @@ def test_steps_on_different_tables_run_side_by_side(spark):
         busy.release()
 
     at_once(spark, [alone] * 3, "delta")
+
+
+def test_one_column_beside_the_key_is_grouped_without_a_sort(spark):
+    seen = spark.createDataFrame([("p", "a", "2024-02-02"), ("p", "a", "2024-02-01"), ("p", "b", None), (None, "b", None), ("p", "a", None)],
+                                 "post_id string, name string, day string").withColumn("day", F.to_date("day"))
+    found = least_per_key(seen, ["post_id", "name"])
+    assert [(r[0], r[1], str(r[2])) for r in rows(found)] == [("p", "a", "2024-02-01"), ("p", "b", "None"), (None, "b", "None")]
+    assert "SortAggregate" not in plan_of(found)
+
+
+def test_mentions_of_a_batch_are_derived_once(spark, tmp_path, monkeypatch):
+    staged = []
+
+    def noted(df, purpose="batch"):
+        found = stage(df, purpose)
+        staged.append((purpose, found[0].count()))
+        return found
+
+    monkeypatch.setattr(platforms, "stage", noted)
+    tweets = spark.range(40).select(
+        (F.col("id") % 2).cast("string").alias("id"), F.lit("Ann").alias("user_posted"), F.lit("x").alias("description"),
+        F.lit("u").alias("url"), F.lit("Ann").alias("tagged_users"), F.lit(None).cast("string").alias("hashtags"),
+        F.lit("2024-02-01").cast("date").alias("ingestion_date"),
+    )
+    publish(tweets, f"{tmp_path}/bronze/twitter", partition_by=["ingestion_date"])
+    platforms.refresh_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", as_of="2024-02-01")
+    assert staged == [("mentions", 2)]
+    named = read_table(spark, f"{tmp_path}/silver/user_mentions").collect()
+    assert sorted(r.post_id for r in named) == ["0", "1"] and all(r.mentioned_user_id for r in named)

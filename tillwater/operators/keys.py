@@ -49,6 +49,9 @@ def least_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     One grouping with partial aggregation, for rows that mostly repeat each other.
     """
     rest = [c for c in df.columns if c not in keys]
+    if len(rest) == 1:
+        # no struct, which grouping would have to sort for
+        return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0])).select(*df.columns)
     ranked = F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"{c}__none"), F.col(c).alias(c))])
     found = df.groupBy(*keys).agg(F.min(ranked).alias("_least"))
     return found.select(*[F.col(c) if c in keys else F.col(f"_least.{c}").alias(c) for c in df.columns])

@@ -22,9 +22,9 @@ from tillwater.functions.text import (
 )
 from tillwater.operators.keys import dedup_on, least_per_key, lookup_join, resolve
 from tillwater.operators.shape import align_union, typed_nulls
-from tillwater.sources import manifest
+from tillwater.sources import files, manifest
 from tillwater.sources.tables import (
-    FILE_FORMATS, at_once, read_table, replace_partitions, table_exists, upsert_table,
+    FILE_FORMATS, at_once, read_table, replace_partitions, stage, table_exists, upsert_table,
 )
 
 TAG_SCOPE = "hashtag"
@@ -144,8 +144,12 @@ def _mentioned(df: DataFrame, post_id: Column, columns: Sequence[str], kind: str
 
 def resolve_mentions(mentioned: DataFrame, users: DataFrame) -> DataFrame:
     """One row per post and name with the user of the post's platform; unknown names give NULL."""
+    return _resolved(least_per_key(mentioned, KEYS["user_mentions"]), users)
+
+
+def _resolved(mentioned: DataFrame, users: DataFrame) -> DataFrame:
     names = users.select(F.col("user_type").alias("post_type"), F.col("display_name").alias("mentioned_name"), "user_id")
-    found = resolve(least_per_key(mentioned, KEYS["user_mentions"]), names, ["post_type", "mentioned_name"], "user_id")
+    found = resolve(mentioned, names, ["post_type", "mentioned_name"], "user_id")
     return found.select(*KEYS["user_mentions"], F.col("user_id").alias("mentioned_user_id"), "ingestion_date")
 
 
@@ -302,8 +306,13 @@ def refresh_silver(
     at_once(spark, [partial(fold, name, table) for name, table in batch_tables(rows).items()], fmt)
     mentioned = _open_mentions(spark, silver, rows, fmt, as_of)
     if mentioned is not None:
-        asked = mentioned.select(F.col("post_type").alias("user_type"), F.col("mentioned_name").alias("display_name"))
-        users = lookup_join(read_table(spark, f"{silver}/user", fmt), asked.distinct(), ["user_type", "display_name"], "left_semi")
-        _fold(spark, f"{silver}/user_mentions", resolve_mentions(mentioned, users), "user_mentions", fmt, layout)
+        # asked for twice: which names there are, and whose they are
+        mentioned, folder = stage(least_per_key(mentioned, KEYS["user_mentions"]), "mentions")
+        try:
+            asked = mentioned.select(F.col("post_type").alias("user_type"), F.col("mentioned_name").alias("display_name"))
+            users = lookup_join(read_table(spark, f"{silver}/user", fmt), asked.distinct(), ["user_type", "display_name"], "left_semi")
+            _fold(spark, f"{silver}/user_mentions", _resolved(mentioned, users), "user_mentions", fmt, layout)
+        finally:
+            files.delete(spark, folder)
     manifest.record(spark, notes, todo)
     return {name: sorted(days) for name, days in todo.items()}
