@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tillwater.operators.keys import dedup_on, least_per_key
-from tillwater.plans import platforms
+from tillwater.operators.upsert import merge_all
+from tillwater.plans import platforms, social_star
 from tillwater.sources.tables import at_once, publish, read_table, stage
 
 
@@ -95,3 +96,23 @@ def test_mentions_of_a_batch_are_derived_once(spark, tmp_path, monkeypatch):
     assert staged == [("mentions", 2)]
     named = read_table(spark, f"{tmp_path}/silver/user_mentions").collect()
     assert sorted(r.post_id for r in named) == ["0", "1"] and all(r.mentioned_user_id for r in named)
+
+
+def test_links_of_posts_that_came_are_taken_once(spark):
+    links = spark.createDataFrame(
+        [("A", "1", "t", "2024-01-01"), ("A", "1", "u", "2024-01-01"), ("A", "1", "v", "2024-02-08"), ("A", "2", "t", "2024-01-01"),
+         ("A", "2", "w", "2024-02-09"), ("A", "3", "t", None), ("A", "4", "t", None), ("A", "1", "t", "2024-02-08")],
+        "post_type string, post_id string, hashtag_id string, ingestion_date string",
+    ).withColumn("ingestion_date", F.to_date("ingestion_date"))
+    posts = spark.createDataFrame([("A", "1"), ("A", "1"), ("A", "3")], "post_type string, post_id string")
+    found = social_star._of_posts(links, posts, "2024-02-08", ["post_type", "post_id", "hashtag_id"])
+    assert rows(found) == [("A", "1", "t"), ("A", "1", "u"), ("A", "1", "v"), ("A", "2", "w"), ("A", "3", "t")]
+    assert "SortAggregate" not in plan_of(found)
+
+
+def test_merge_matches_keys_by_hash_and_by_value(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "k string, v int")
+    merged = merge_all(target, spark.createDataFrame([("b", 2), (None, 2)], "k string, v int"), ["k"])
+    assert rows(merged) == [("a", 1), ("b", 2), (None, 1), (None, 2)] and "xxhash64(k" in plan_of(merged)
+    wide = spark.createDataFrame([(1, 1), (2, 1)], "k bigint, v int")
+    assert rows(merge_all(wide, spark.createDataFrame([(2, 2)], "k int, v int"), ["k"])) == [(1, 1), (2, 2)]

@@ -41,7 +41,10 @@ def require_single_match(target: DataFrame, source: DataFrame, keys: Sequence[st
 
 def merge_all(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows, and the target rows whose key the source does not have."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    taken = source.select(*keys)
+    # equal keys of unlike types hash apart
+    alike = [f.dataType for f in target.select(*keys).schema] == [f.dataType for f in taken.schema]
+    kept = lookup_join(target, taken, keys, "left_anti") if alike else target.join(taken, list(keys), "left_anti")
     return kept.unionByName(source)
 
 

@@ -6,17 +6,18 @@ posts of two platforms.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwater.functions.text import composite_id
 from tillwater.operators.aggregates import high_water
-from tillwater.operators.keys import date_ids, lookup_join, only_new, require_key
+from tillwater.operators.keys import date_ids, dedup_on, lookup_join, only_new, require_key
 from tillwater.operators.shape import typed_nulls
 from tillwater.sources import files
-from tillwater.sources.tables import FILE_FORMATS, publish, read_table, stage, table_exists, upsert_table
+from tillwater.sources.tables import FILE_FORMATS, at_once, publish, read_table, stage, table_exists, upsert_table
 
 POST_KEYS = ["post_type", "post_id"]
 DIMENSION_KEYS = {
@@ -134,10 +135,14 @@ def star(
     }
 
 
-def _of_posts(links: DataFrame, came: DataFrame, posts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The links that came in, and those of posts that did."""
-    theirs = lookup_join(links, posts.select(*POST_KEYS).distinct(), POST_KEYS, "left_semi")
-    return theirs.unionByName(came).dropDuplicates(list(keys))
+def _came(since) -> Column:
+    return F.coalesce(F.col("ingestion_date") >= F.lit(since).cast("date"), F.lit(False))
+
+
+def _of_posts(links: DataFrame, posts: DataFrame, since, keys: Sequence[str]) -> DataFrame:
+    """The links that came in, and the older ones of posts that did; one row per key."""
+    theirs = lookup_join(links.filter(~_came(since)), posts.select(*POST_KEYS), POST_KEYS, "left_semi")
+    return dedup_on(theirs.unionByName(links.filter(_came(since))).drop("ingestion_date"), keys)
 
 
 def refresh_gold(
@@ -161,7 +166,7 @@ def refresh_gold(
         for name in ("user", "post", "hashtag", "post_hashtag", "user_mentions")
     }
     came = {
-        name: rows if since is None else rows.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
+        name: rows if since is None else rows.filter(_came(since))
         for name, rows in silver.items()
     }
     folders = []
@@ -179,24 +184,30 @@ def refresh_gold(
             "dim_hashtag": dim_hashtag(came["hashtag"]),
             "dim_date": dates,
         }
-        for name, rows in dimensions.items():
+
+        def fold(name: str, rows: DataFrame) -> None:
             keys = DIMENSION_KEYS[name]
             spread = layout if name != "dim_date" and fmt in FILE_FORMATS else ()
             upsert_table(spark, f"{gold}/{name}", require_key(rows, *keys), keys, fmt, spread)
-        for name, links, fact in (
-            ("fact_hashtag_usage", "post_hashtag", hashtag_usage),
-            ("fact_user_mention", "user_mentions", user_mention),
-        ):
+
+        def link(name: str, links: str, fact: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
             keys, path = FACT_KEYS[name], f"{gold}/{name}"
             spread = layout if fmt in FILE_FORMATS else ()
             if since is None or not table_exists(spark, path):
                 rows = fact(silver[links], post_dates(silver["post"], dates))
                 publish(rows, path, "overwrite", fmt, replace_schema=True, partition_by=spread, keys=keys)
-                continue
-            touched, folder = stage(_of_posts(silver[links], came[links], came["post"], keys), "links")
+                return
+            touched, folder = stage(_of_posts(silver[links], came["post"], since, keys), "links")
             folders.append(folder)
-            theirs = lookup_join(silver["post"], touched.select(*POST_KEYS).distinct(), POST_KEYS, "left_semi")
+            theirs = lookup_join(silver["post"], touched.select(*POST_KEYS), POST_KEYS, "left_semi")
             upsert_table(spark, path, fact(touched, post_dates(theirs, dates)), keys, fmt, spread, check=False)
+
+        at_once(spark, [partial(fold, name, rows) for name, rows in dimensions.items()], fmt)
+        facts = (
+            ("fact_hashtag_usage", "post_hashtag", hashtag_usage),
+            ("fact_user_mention", "user_mentions", user_mention),
+        )
+        at_once(spark, [partial(link, *fact) for fact in facts], fmt)
     finally:
         for folder in folders:
             files.delete(spark, folder)
